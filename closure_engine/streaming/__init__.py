@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The programs this library re-expresses read bounded edge lists only (no
+stream source, watermark or stateful operator), so there is nothing to
+build here.  A bounded edge table that arrives as files can be read with
+``closure_engine.sources.read_edge_text`` once it is complete.
+"""
