@@ -41,14 +41,23 @@ def orient(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
                     F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("b"))
 
 
-def out_lists(oriented: DataFrame) -> DataFrame:
-    """``(a, out)``: out-neighbours of each vertex, at most sqrt(2m) ids each."""
-    return oriented.groupBy("a").agg(F.collect_list("b").alias("out"))
+def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """``(a, out)``: out-neighbours of each vertex, at most sqrt(2m) ids each.
+
+    The lists are hash-partitioned by ``a`` into an explicit number of
+    partitions (default: the session's ``spark.sql.shuffle.partitions``).
+    AQE would otherwise coalesce them by bytes, but the intersection work
+    that follows grows with the square of the list lengths, not with their
+    bytes, so a byte-sized partitioning would starve that stage of tasks.
+    """
+    n = num_partitions or int(oriented.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return oriented.repartition(n, "a").groupBy("a").agg(F.collect_list("b").alias("out"))
 
 
-def closing(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def closing(canonical: DataFrame, degrees: DataFrame | None = None,
+            num_partitions: int | None = None) -> DataFrame:
     """``(a, b, common)`` for oriented edges: ``common`` closes a triangle with a->b."""
-    lists = out_lists(orient(canonical, degrees))
+    lists = out_lists(orient(canonical, degrees), num_partitions)
     edges_with_a = lists.select("a", F.explode("out").alias("b"), F.col("out").alias("out_a"))
     list_b = lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
     return (edges_with_a.join(list_b, "b")
