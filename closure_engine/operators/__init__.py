@@ -21,6 +21,8 @@ from closure_engine.operators.measures import (
 )
 from closure_engine.operators.messages import aggregate_messages, message_rounds
 from closure_engine.operators.triangles import (
+    SkewConfig,
+    hub_vertices,
     closing,
     common_neighbour_counts,
     common_neighbour_sums,
@@ -34,7 +36,7 @@ from closure_engine.operators.triangles import (
 )
 
 __all__ = [
-    "Closure", "aggregate_messages", "average_closure", "canonical_edges", "closing", "closure",
+    "Closure", "SkewConfig", "aggregate_messages", "hub_vertices", "average_closure", "canonical_edges", "closing", "closure",
     "common_neighbour_counts", "common_neighbour_sums", "common_neighbours", "degree",
     "drop_exact_duplicates", "drop_loops", "endpoints", "half_edges", "join_vertices",
     "local_closure", "message_rounds", "neighbour_list", "neighbour_set", "orient", "summarize",

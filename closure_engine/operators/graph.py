@@ -47,17 +47,28 @@ def join_vertices(left: DataFrame, right: DataFrame, value: str, new_value: str
 
 
 def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
-                 id: str = "id", attrs: list[str] | None = None) -> DataFrame:
+                 id: str = "id", attrs: list[str] | None = None, skew_safe: bool = True) -> DataFrame:
     """Each edge with both endpoints' attributes as ``src_<attr>`` / ``dst_<attr>``.
 
-    Two equi-joins on the vertex id.  The planner broadcasts the vertex side
-    only when AQE measures it under the broadcast threshold; otherwise both are
-    sort-merge joins, and AQE splits the partitions of hub vertices.
+    Two equi-joins on the vertex id (``vertices`` has one row per id; edges
+    whose endpoint has no row keep null attributes).  With ``skew_safe`` the
+    hub endpoints (bounded set, from the edge degrees) read a broadcast copy
+    of their rows and only the other edges are shuffled; without it, plain
+    joins are left to the planner.
     """
+    from closure_engine.operators import skew
+    from closure_engine.operators.adjacency import degree
+
     attrs = attrs if attrs is not None else [c for c in vertices.columns if c != id]
     sv = vertices.select(F.col(id).alias(src), *[F.col(a).alias(f"{src}_{a}") for a in attrs])
     dv = vertices.select(F.col(id).alias(dst), *[F.col(a).alias(f"{dst}_{a}") for a in attrs])
-    return edges.join(sv, src, "left").join(dv, dst, "left")
+    if not skew_safe:
+        return edges.join(sv, src, "left").join(dv, dst, "left")
+    hubs = skew.hot_keys(degree(edges, src, dst), "id", "degree")
+    hot_s = skew.hot_lookup(sv, src, hubs.select(F.col("id").alias(src)))
+    hot_d = skew.hot_lookup(dv, dst, hubs.select(F.col("id").alias(dst)))
+    j = skew.split_join(edges, sv, src, hot_s, "left")
+    return skew.split_join(j, dv, dst, hot_d, "left")
 
 
 def prefixed(col_name: str, side: str) -> Column:

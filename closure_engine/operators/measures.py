@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from closure_engine.functions.exprs import guarded_ratio, int_div, local_ratio, triplets_of
 from closure_engine.operators.adjacency import degree as _degree
 from closure_engine.operators.clean import canonical_edges
-from closure_engine.operators.triangles import triangle_counts
+from closure_engine.operators.triangles import SkewConfig, triangle_counts
 
 def zero():
     return F.lit(0).cast("bigint")
@@ -46,14 +46,14 @@ def _graph_vertices(degrees: DataFrame, vertices: DataFrame | None) -> DataFrame
 
 
 def local_closure(canonical: DataFrame, vertices: DataFrame | None = None,
-                  degrees: DataFrame | None = None) -> DataFrame:
+                  degrees: DataFrame | None = None, cfg: SkewConfig | None = None) -> DataFrame:
     """Per vertex ``(id, degree, triangles, triplets, local)``.
 
     ``degrees`` and the triangle counts are both aggregated by ``id``, so the
     final join reuses that hash partitioning instead of shuffling again.
     """
     deg = degrees if degrees is not None else _degree(canonical, "u", "v")
-    tri = triangle_counts(canonical, deg)
+    tri = triangle_counts(canonical, deg, cfg)
     base = _graph_vertices(deg, vertices)
     j = base.join(tri, "id", "left")
     t = F.coalesce("triangles", zero())
@@ -116,7 +116,8 @@ class Closure:
 
 
 def closure(edges: DataFrame, vertices: DataFrame | None = None, src: str = "src", dst: str = "dst",
-            persist: bool = False, average_digits: int | None = None) -> Closure:
+            persist: bool = False, average_digits: int | None = None,
+            cfg: SkewConfig | None = None) -> Closure:
     """Everything from a raw edge table: clean once, then local, global and average.
 
     ``persist=True`` keeps the canonical edge set (MEMORY_AND_DISK) when the
@@ -127,5 +128,5 @@ def closure(edges: DataFrame, vertices: DataFrame | None = None, src: str = "src
     if persist:
         from pyspark import StorageLevel
         canon = canon.persist(StorageLevel.MEMORY_AND_DISK)
-    per_vertex = local_closure(canon, vertices)
+    per_vertex = local_closure(canon, vertices, cfg=cfg)
     return Closure(canon, per_vertex, summarize(per_vertex, average_digits))

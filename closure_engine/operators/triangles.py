@@ -16,58 +16,113 @@ Plan (all built-in DataFrame operators):
    edge ends plus one row per closing vertex, summed with partial
    (map-side) aggregation.
 
-Skew: the join that brings ``N+(b)`` to the edges of ``b`` is keyed by ``b``;
-a hub with many in-edges is a skewed key that AQE's skew-join splits, and the
-vertex-sized side is broadcast only when AQE measures it under the threshold.
+Skew: a hub may touch a third of all edges.  The degree lookups of the
+orientation are split joins (hub rows read a broadcast hub table whose size
+is bounded by construction), and the join that brings ``N+(b)`` to the
+in-edges of ``b`` is salted by ``b``'s degree.  Every group-by is a partial
+aggregate, so hot ids are combined map-side before any shuffle.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closure_engine.functions.exprs import sort3
+from closure_engine.operators import skew
 from closure_engine.operators.adjacency import degree as _degree
 
 
-def orient(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
-    """Oriented edges ``(a, b)``: ``a`` precedes ``b`` in ``(degree, id)`` order."""
+@dataclass(frozen=True)
+class SkewConfig:
+    """Hot-vertex handling (see :mod:`closure_engine.operators.skew`).
+
+    ``max_hot`` bounds the broadcast hub table, ``min_hot_rows`` is the
+    smallest degree that can make a hub, and ``split_rows`` is the number of
+    in-edges of one vertex handled per salted group in the closing join.
+    """
+
+    max_hot: int = skew.MAX_HOT_KEYS
+    min_hot_rows: int = skew.MIN_HOT_ROWS
+    split_rows: int = skew.SPLIT_ROWS
+
+
+def hub_vertices(degrees: DataFrame, cfg: SkewConfig | None = None) -> DataFrame:
+    """``(id, degree)`` of hubs: at most ``cfg.max_hot`` rows, chosen lazily."""
+    cfg = cfg or SkewConfig()
+    return skew.hot_keys(degrees, "id", "degree", cfg.max_hot, cfg.min_hot_rows)
+
+
+def orient(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConfig | None = None,
+           hubs: DataFrame | None = None) -> DataFrame:
+    """Oriented edges ``(a, b, da, db)``: ``a`` precedes ``b`` in ``(degree, id)`` order.
+
+    Both degree lookups are split joins: edges of hub endpoints read the
+    broadcast hub table, all others shuffle-join the degree table.
+    """
     deg = degrees if degrees is not None else _degree(canonical, "u", "v")
-    du = deg.select(F.col("id").alias("u"), F.col("degree").alias("du"))
-    dv = deg.select(F.col("id").alias("v"), F.col("degree").alias("dv"))
-    j = canonical.join(du, "u").join(dv, "v")
+    hubs = hubs if hubs is not None else hub_vertices(deg, cfg)
+
+    def side(name: str, deg_name: str) -> tuple[DataFrame, DataFrame]:
+        cols = [F.col("id").alias(name), F.col("degree").alias(deg_name)]
+        return deg.select(*cols), hubs.select(*cols)
+
+    du, hu = side("u", "du")
+    dv, hv = side("v", "dv")
+    j = skew.split_join(skew.split_join(canonical, du, "u", hu), dv, "v", hv)
     u_first = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
-    return j.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("a"),
-                    F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("b"))
+    pick = lambda x, y: F.when(u_first, F.col(x)).otherwise(F.col(y))
+    return j.select(pick("u", "v").alias("a"), pick("v", "u").alias("b"),
+                    pick("du", "dv").alias("da"), pick("dv", "du").alias("db"))
 
 
 def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """``(a, out)``: out-neighbours of each vertex, at most sqrt(2m) ids each.
 
-    The lists are hash-partitioned by ``a`` into an explicit number of
-    partitions (default: the session's ``spark.sql.shuffle.partitions``).
-    AQE would otherwise coalesce them by bytes, but the intersection work
-    that follows grows with the square of the list lengths, not with their
-    bytes, so a byte-sized partitioning would starve that stage of tasks.
+    Hash-partitioned by ``a`` into an explicit number of partitions (default:
+    the session's ``spark.sql.shuffle.partitions``).  AQE would otherwise
+    coalesce them by bytes, but the intersection work that follows grows with
+    the square of the list lengths, not with their bytes.
     """
     n = num_partitions or int(oriented.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return oriented.repartition(n, "a").groupBy("a").agg(F.collect_list("b").alias("out"))
 
 
-def closing(canonical: DataFrame, degrees: DataFrame | None = None,
+def closing(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConfig | None = None,
             num_partitions: int | None = None) -> DataFrame:
-    """``(a, b, common)`` for oriented edges: ``common`` closes a triangle with a->b."""
-    lists = out_lists(orient(canonical, degrees), num_partitions)
-    edges_with_a = lists.select("a", F.explode("out").alias("b"), F.col("out").alias("out_a"))
-    list_b = lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
-    return (edges_with_a.join(list_b, "b")
+    """``(a, b, common)`` for oriented edges: ``common`` closes a triangle with a->b.
+
+    Each out-list row is exploded in place into its edges ``a->b`` (carrying
+    ``N+(a)``, no shuffle), which then meet ``N+(b)`` on ``(b, salt)``.  A hub
+    ``b`` (from the bounded broadcast hub table) has ``1 + degree //
+    split_rows`` salts: its in-edges are spread over that many groups by a
+    hash of ``a`` and its (short) out-list is copied once per salt; every
+    other vertex has the single salt 0.
+    """
+    cfg = cfg or SkewConfig()
+    deg = degrees if degrees is not None else _degree(canonical, "u", "v")
+    hubs = hub_vertices(deg, cfg)
+    lists = out_lists(orient(canonical, deg, cfg, hubs).select("a", "b"), num_partitions)
+    salts = F.broadcast(hubs.select(
+        F.col("id").alias("b"), skew.n_salts(F.col("degree"), cfg.split_rows).alias("n_salt")))
+    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
+    edges = (lists.select("a", F.explode("out").alias("b"), F.col("out").alias("out_a"))
+             .join(salts, "b", "left")
+             .select("a", "b", "out_a", F.pmod(F.xxhash64("a"), n_salt).cast("int").alias("salt")))
+    list_b = (lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
+              .join(salts, "b", "left")
+              .select("b", "out_b", F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt")))
+    return (edges.join(list_b, ["b", "salt"])
             .select("a", "b", F.array_intersect("out_a", "out_b").alias("common"))
             .where(F.size("common") > 0))
 
 
-def triangle_list(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def triangle_list(canonical: DataFrame, degrees: DataFrame | None = None,
+                  cfg: SkewConfig | None = None) -> DataFrame:
     """Every triangle once, as ``(a, b, c)`` with ``a < b < c``."""
-    t = closing(canonical, degrees).select("a", "b", F.explode("common").alias("c"))
+    t = closing(canonical, degrees, cfg).select("a", "b", F.explode("common").alias("c"))
     x, y, z = sort3("a", "b", "c")
     return t.select(x.alias("a"), y.alias("b"), z.alias("c"))
 
@@ -80,46 +135,51 @@ def _vertex_contributions(close: DataFrame) -> DataFrame:
     return close.select(F.explode(F.concat(ends, thirds)).alias("m")).select("m.id", "m.n")
 
 
-def triangle_counts(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def triangle_counts(canonical: DataFrame, degrees: DataFrame | None = None,
+                    cfg: SkewConfig | None = None) -> DataFrame:
     """``(id, triangles)`` for vertices on at least one triangle (no zero rows)."""
-    return (_vertex_contributions(closing(canonical, degrees))
+    return (_vertex_contributions(closing(canonical, degrees, cfg))
             .groupBy("id").agg(F.sum("n").alias("triangles")))
 
 
-def triangles_per_vertex(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def triangles_per_vertex(canonical: DataFrame, degrees: DataFrame | None = None,
+                         cfg: SkewConfig | None = None) -> DataFrame:
     """``(id, triangles)`` for every vertex of the graph, 0 when on no triangle."""
     deg = degrees if degrees is not None else _degree(canonical, "u", "v")
-    t = triangle_counts(canonical, deg)
+    t = triangle_counts(canonical, deg, cfg)
     return (deg.select("id").join(t, "id", "left")
             .select("id", F.coalesce("triangles", F.lit(0).cast("bigint")).alias("triangles")))
 
 
-def triangles_total(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def triangles_total(canonical: DataFrame, degrees: DataFrame | None = None,
+                    cfg: SkewConfig | None = None) -> DataFrame:
     """One row ``triangles``: the number of distinct triangles (sum of intersection sizes)."""
-    return (closing(canonical, degrees)
+    return (closing(canonical, degrees, cfg)
             .agg(F.coalesce(F.sum(F.size("common").cast("bigint")), F.lit(0).cast("bigint")).alias("triangles")))
 
 
-def common_neighbours(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def common_neighbours(canonical: DataFrame, degrees: DataFrame | None = None,
+                      cfg: SkewConfig | None = None) -> DataFrame:
     """Long form of ``N(u) & N(v)`` per edge: ``(u, v, w)`` for each common neighbour w.
 
     Each triangle ``a<b<c`` gives its three edges their third vertex.
     """
-    t = triangle_list(canonical, degrees)
+    t = triangle_list(canonical, degrees, cfg)
     rows = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v"), F.col("c").alias("w")),
                    F.struct(F.col("a").alias("u"), F.col("c").alias("v"), F.col("b").alias("w")),
                    F.struct(F.col("b").alias("u"), F.col("c").alias("v"), F.col("a").alias("w")))
     return t.select(F.explode(rows).alias("r")).select("r.u", "r.v", "r.w")
 
 
-def common_neighbour_counts(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def common_neighbour_counts(canonical: DataFrame, degrees: DataFrame | None = None,
+                            cfg: SkewConfig | None = None) -> DataFrame:
     """``(u, v, n_common)`` = |N(u) & N(v)| for every canonical edge, 0 included.
 
     The edge ``a->b`` holds ``size(common)``; each closing ``c`` adds 1 to
     ``(a,c)`` and ``(b,c)``.  Union with all edges at 0, then one partial
     aggregate: no join back to the edge set.
     """
-    close = closing(canonical, degrees)
+    close = closing(canonical, degrees, cfg)
     k = F.size("common").cast("bigint")
     one = F.lit(1).cast("bigint")
 
@@ -134,15 +194,17 @@ def common_neighbour_counts(canonical: DataFrame, degrees: DataFrame | None = No
     return zeros.unionByName(contrib).groupBy("u", "v").agg(F.sum("n").alias("n_common"))
 
 
-def common_neighbour_sums(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def common_neighbour_sums(canonical: DataFrame, degrees: DataFrame | None = None,
+                          cfg: SkewConfig | None = None) -> DataFrame:
     """``(id, n_common_sum)``: sum over a vertex's edges of |N(u) & N(v)| (= 2 T(v))."""
-    per_edge = common_neighbour_counts(canonical, degrees)
+    per_edge = common_neighbour_counts(canonical, degrees, cfg)
     ends = F.array(F.col("u"), F.col("v"))
     return (per_edge.select(F.explode(ends).alias("id"), "n_common")
             .groupBy("id").agg(F.sum("n_common").alias("n_common_sum")))
 
 
-def triangles_by_intersect(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+def triangles_by_intersect(canonical: DataFrame, degrees: DataFrame | None = None,
+                           cfg: SkewConfig | None = None) -> DataFrame:
     """``(id, triangles)`` as half the common-neighbour sum (must equal triangles_per_vertex)."""
-    return common_neighbour_sums(canonical, degrees).select(
+    return common_neighbour_sums(canonical, degrees, cfg).select(
         "id", F.shiftright(F.col("n_common_sum"), 1).alias("triangles"))

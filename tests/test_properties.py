@@ -179,3 +179,22 @@ def test_orientation_bounds_out_lists(spark):
     m = canon.count()
     longest = out_lists(orient(canon)).agg(F.max(F.size("out"))).collect()[0][0]
     assert longest * longest <= 2 * m
+
+
+@pytest.mark.parametrize("max_hot,min_rows,split_rows", [(1000, 1, 1), (3, 2, 2), (50, 4, 3)])
+def test_hub_split_and_salting_paths_are_exact(spark, max_hot, min_rows, split_rows):
+    from closure_engine import SkewConfig, hub_vertices
+    cfg = SkewConfig(max_hot=max_hot, min_hot_rows=min_rows, split_rows=split_rows)
+    pairs = gnp(40, 0.3, 17) + [(0, i) for i in range(1, 40)] + [(1, i) for i in range(2, 40, 2)]
+    per, triangles, glob, avg, _ = brute(pairs)
+    c = closure(edges_df(spark, pairs), cfg=cfg)
+    rows = as_dict(c.per_vertex)
+    assert {k: (r["degree"], r["triangles"], r["triplets"], r["local"]) for k, r in rows.items()} == per
+    s = c.summary.collect()[0]
+    assert s.triangles == len(triangles) and s.transitivity == glob
+    # the hub table never exceeds its bound
+    deg = degree(canonical_edges(edges_df(spark, pairs)), "u", "v")
+    n_hubs = hub_vertices(deg, cfg).count()
+    assert n_hubs <= max_hot
+    if max_hot >= 1000:  # threshold 1: every vertex is a hub, the hot path does all the work
+        assert n_hubs == len(per)
