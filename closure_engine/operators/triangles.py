@@ -79,7 +79,7 @@ def orient(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConf
 
 
 def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``(a, out)``: out-neighbours of each vertex, at most sqrt(2m) ids each.
+    """``(a, out)``: out-neighbours of each vertex in rank order, at most sqrt(2m) ids.
 
     Hash-partitioned by ``a`` into an explicit number of partitions (default:
     the session's ``spark.sql.shuffle.partitions``).  AQE would otherwise
@@ -87,35 +87,42 @@ def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFra
     the square of the list lengths, not with their bytes.
     """
     n = num_partitions or int(oriented.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return oriented.repartition(n, "a").groupBy("a").agg(F.collect_list("b").alias("out"))
+    ranked = F.array_sort(F.collect_list(F.struct(F.col("db").alias("d"), F.col("b").alias("id"))))
+    return (oriented.repartition(n, "a").groupBy("a").agg(ranked.alias("_r"))
+            .select("a", F.transform("_r", lambda x: x["id"]).alias("out")))
 
 
 def closing(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConfig | None = None,
             num_partitions: int | None = None) -> DataFrame:
     """``(a, b, common)`` for oriented edges: ``common`` closes a triangle with a->b.
 
-    Each out-list row is exploded in place into its edges ``a->b`` (carrying
-    ``N+(a)``, no shuffle), which then meet ``N+(b)`` on ``(b, salt)``.  A hub
-    ``b`` (from the bounded broadcast hub table) has ``1 + degree //
-    split_rows`` salts: its in-edges are spread over that many groups by a
-    hash of ``a`` and its (short) out-list is copied once per salt; every
-    other vertex has the single salt 0.
+    Each out-list row is exploded in place into its edges ``a->b``.  The
+    list is in rank order, so only the ids after ``b`` can close a triangle
+    ``a < b < c``: each edge carries just that tail of ``N+(a)`` (half the
+    list on average; edges with an empty tail are dropped), then meets
+    ``N+(b)`` on ``(b, salt)``.  A hub ``b`` (from the bounded broadcast hub
+    table) has ``1 + degree // split_rows`` salts: its in-edges are spread
+    over that many groups by a hash of ``a`` and its (short) out-list is
+    copied once per salt; every other vertex has the single salt 0.
     """
     cfg = cfg or SkewConfig()
     deg = degrees if degrees is not None else _degree(canonical, "u", "v")
     hubs = hub_vertices(deg, cfg)
-    lists = out_lists(orient(canonical, deg, cfg, hubs).select("a", "b"), num_partitions)
+    lists = out_lists(orient(canonical, deg, cfg, hubs), num_partitions)
     salts = F.broadcast(hubs.select(
         F.col("id").alias("b"), skew.n_salts(F.col("degree"), cfg.split_rows).alias("n_salt")))
     n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
-    edges = (lists.select("a", F.explode("out").alias("b"), F.col("out").alias("out_a"))
+    rest = F.size("out") - F.col("pos") - F.lit(1)
+    edges = (lists.select("a", "out", F.posexplode("out").alias("pos", "b"))
+             .where(rest > 0)
+             .select("a", "b", F.slice("out", F.col("pos") + 2, rest).alias("tail_a"))
              .join(salts, "b", "left")
-             .select("a", "b", "out_a", F.pmod(F.xxhash64("a"), n_salt).cast("int").alias("salt")))
+             .select("a", "b", "tail_a", F.pmod(F.xxhash64("a"), n_salt).cast("int").alias("salt")))
     list_b = (lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
               .join(salts, "b", "left")
               .select("b", "out_b", F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt")))
     return (edges.join(list_b, ["b", "salt"])
-            .select("a", "b", F.array_intersect("out_a", "out_b").alias("common"))
+            .select("a", "b", F.array_intersect("tail_a", "out_b").alias("common"))
             .where(F.size("common") > 0))
 
 
