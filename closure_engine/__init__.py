@@ -19,7 +19,11 @@ from closure_engine.sources import (
     supply_edges,
 )
 
+from closure_engine.plans.programs import closure_from_text, global_coefficient
+from closure_engine.sources.sinks import write_closure
+
 __all__ = list(_ops_all) + [
+    "closure_from_text", "global_coefficient", "write_closure",
     "customer_supplier_edges", "edges_from_columns", "example_graph", "parse_edge_lines",
     "read_edge_text", "supply_edges",
 ]

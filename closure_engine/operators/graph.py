@@ -47,14 +47,16 @@ def join_vertices(left: DataFrame, right: DataFrame, value: str, new_value: str
 
 
 def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
-                 id: str = "id", attrs: list[str] | None = None, skew_safe: bool = True) -> DataFrame:
+                 id: str = "id", attrs: list[str] | None = None, skew_safe: bool = True,
+                 hubs: DataFrame | None = None) -> DataFrame:
     """Each edge with both endpoints' attributes as ``src_<attr>`` / ``dst_<attr>``.
 
     Two equi-joins on the vertex id (``vertices`` has one row per id; edges
     whose endpoint has no row keep null attributes).  With ``skew_safe`` the
     hub endpoints (bounded set, from the edge degrees) read a broadcast copy
     of their rows and only the other edges are shuffled; without it, plain
-    joins are left to the planner.
+    joins are left to the planner.  ``hubs`` (``id`` column, bounded) may be
+    passed in when the same edges are viewed repeatedly.
     """
     from closure_engine.operators import skew
     from closure_engine.operators.adjacency import degree
@@ -64,7 +66,8 @@ def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: s
     dv = vertices.select(F.col(id).alias(dst), *[F.col(a).alias(f"{dst}_{a}") for a in attrs])
     if not skew_safe:
         return edges.join(sv, src, "left").join(dv, dst, "left")
-    hubs = skew.hot_keys(degree(edges, src, dst), "id", "degree")
+    if hubs is None:
+        hubs = skew.hot_keys(degree(edges, src, dst), "id", "degree")
     hot_s = skew.hot_lookup(sv, src, hubs.select(F.col("id").alias(src)))
     hot_d = skew.hot_lookup(dv, dst, hubs.select(F.col("id").alias(dst)))
     j = skew.split_join(edges, sv, src, hot_s, "left")

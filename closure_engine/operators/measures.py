@@ -116,17 +116,29 @@ class Closure:
 
 
 def closure(edges: DataFrame, vertices: DataFrame | None = None, src: str = "src", dst: str = "dst",
-            persist: bool = False, average_digits: int | None = None,
+            materialize: str | None = None, average_digits: int | None = None,
             cfg: SkewConfig | None = None) -> Closure:
     """Everything from a raw edge table: clean once, then local, global and average.
 
-    ``persist=True`` keeps the canonical edge set (MEMORY_AND_DISK) when the
-    caller will run several actions on the result; lost blocks are rebuilt
-    from lineage (scan + distinct).
+    Within one action the plan reuses its shuffles, so the edge table is
+    read once.  For several actions on the result, ``materialize`` keeps the
+    canonical edge set:
+
+    * ``"persist"``: MEMORY_AND_DISK cache; a lost executor's blocks are
+      rebuilt from lineage (scan + distinct).  Call ``unpersist()`` after.
+    * ``"checkpoint"``: written now (eager) to ``spark.checkpoint.dir``, a
+      shared reliable folder on a cluster; the lineage is cut, so later
+      jobs and retries start from the written edge set.
     """
     canon = canonical_edges(edges, src, dst)
-    if persist:
+    if materialize == "persist":
         from pyspark import StorageLevel
         canon = canon.persist(StorageLevel.MEMORY_AND_DISK)
+    elif materialize == "checkpoint":
+        from closure_engine.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(canon.sparkSession)
+        canon = canon.checkpoint(eager=True)
+    elif materialize is not None:
+        raise ValueError("materialize must be None, 'persist' or 'checkpoint'")
     per_vertex = local_closure(canon, vertices, cfg=cfg)
     return Closure(canon, per_vertex, summarize(per_vertex, average_digits))

@@ -20,7 +20,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from closure_engine.operators.adjacency import degree
 from closure_engine.operators.graph import triplet_view
+from closure_engine.operators.skew import hot_keys
 
 Merge = Callable[[Column], Column]
 
@@ -28,9 +30,12 @@ Merge = Callable[[Column], Column]
 def aggregate_messages(edges: DataFrame, vertices: DataFrame | None, to_src: Column | None,
                        to_dst: Column | None, merge: Merge = F.sum, name: str = "msg",
                        src: str = "src", dst: str = "dst", id: str = "id",
-                       count_name: str | None = None) -> DataFrame:
-    """One round of messages: ``(id, <name>[, <count_name>])`` for vertices that got any."""
-    view = edges if vertices is None else triplet_view(edges, vertices, src, dst, id)
+                       count_name: str | None = None, hubs: DataFrame | None = None) -> DataFrame:
+    """One round of messages: ``(id, <name>[, <count_name>])`` for vertices that got any.
+
+    ``hubs`` (bounded ``id`` table) is forwarded to :func:`triplet_view`.
+    """
+    view = edges if vertices is None else triplet_view(edges, vertices, src, dst, id, hubs=hubs)
     out = []
     if to_src is not None:
         out.append(F.struct(F.col(src).alias("id"), to_src.alias("msg")))
@@ -51,7 +56,7 @@ def message_rounds(edges: DataFrame, vertices: DataFrame, state: str, rounds: in
                    to_src: Column | None, to_dst: Column | None, merge: Merge = F.sum,
                    update: Callable[[Column, Column], Column] | None = None,
                    src: str = "src", dst: str = "dst", id: str = "id",
-                   checkpoint_every: int = 4) -> DataFrame:
+                   checkpoint_every: int = 1) -> DataFrame:
     """Run ``rounds`` rounds of messages; returns ``(id, <state>)`` for every vertex.
 
     Message expressions see ``src_<state>`` / ``dst_<state>``.  ``update(old,
@@ -61,8 +66,9 @@ def message_rounds(edges: DataFrame, vertices: DataFrame, state: str, rounds: in
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     cur = vertices.select(id, state)
+    hubs = hot_keys(degree(edges, src, dst), "id", "degree").select("id")  # same edges every round
     for r in range(rounds):
-        got = aggregate_messages(edges, cur, to_src, to_dst, merge, "_msg", src, dst, id)
+        got = aggregate_messages(edges, cur, to_src, to_dst, merge, "_msg", src, dst, id, hubs=hubs)
         j = cur.join(got, id, "left")
         old, msg = F.col(state), F.col("_msg")
         new = msg if update is None else update(old, msg)

@@ -87,3 +87,26 @@ def test_edges_from_columns_with_offset(spark):
 
 def test_edges_df_helper_roundtrip(spark):
     assert edges_df(spark, [(1, 2)]).count() == 1
+
+
+def test_write_closure_and_read_back(spark):
+    from closure_engine import write_closure
+    out = tempfile.mkdtemp(prefix="closure-out-")
+    s = write_closure(closure(read_edge_text(spark, _write(F2_TEXT))), out + "/res").collect()[0]
+    assert (s.triangles, s.triplets, s.transitivity) == (1, 6, 0.5)
+    per_vertex = spark.read.parquet(out + "/res/per_vertex")
+    assert per_vertex.count() == 7
+
+
+def test_closure_from_text_and_materialize(spark):
+    from closure_engine import closure_from_text, global_coefficient
+    p = _write(F2_TEXT)
+    for how in (None, "persist", "checkpoint"):
+        c = closure_from_text(spark, p, materialize=how)
+        assert c.summary.collect()[0].transitivity == 0.5
+        if how == "persist":
+            c.unpersist()
+    g = global_coefficient(read_edge_text(spark, p)).collect()[0]
+    assert (g.triangles, g.triplets, g.transitivity) == (1, 6, 0.5)
+    with pytest.raises(ValueError):
+        closure_from_text(spark, p, materialize="bogus")
