@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from closure_engine.operators.adjacency import degree
 from closure_engine.operators.graph import triplet_view
 from closure_engine.operators.skew import hot_keys
+from closure_engine.session import ensure_checkpoint_dir
 
 Merge = Callable[[Column], Column]
 
@@ -66,6 +67,8 @@ def message_rounds(edges: DataFrame, vertices: DataFrame, state: str, rounds: in
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
     cur = vertices.select(id, state)
+    if checkpoint_every and rounds > 1:
+        ensure_checkpoint_dir(cur.sparkSession)  # the cluster's spark.checkpoint.dir if set
     hubs = hot_keys(degree(edges, src, dst), "id", "degree").select("id")  # same edges every round
     for r in range(rounds):
         got = aggregate_messages(edges, cur, to_src, to_dst, merge, "_msg", src, dst, id, hubs=hubs)
