@@ -198,3 +198,13 @@ def test_hub_split_and_salting_paths_are_exact(spark, max_hot, min_rows, split_r
     assert n_hubs <= max_hot
     if max_hot >= 1000:  # threshold 1: every vertex is a hub, the hot path does all the work
         assert n_hubs == len(per)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=45))
+def test_arbitrary_dirty_edge_lists_match_brute_force(spark, pairs):
+    check(spark, pairs)
