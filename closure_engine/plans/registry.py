@@ -66,14 +66,33 @@ K = sql_prefix("K")
 def q_edge_lines_parse(spark, sf_dir):
     """Each line item rendered as a text line (varying separators, an ignored
     third column), each followed by a comment or blank line; then parsed."""
+    return parse_edge_lines(_rendered_lines(spark, sf_dir))
+
+
+def _rendered_lines(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     sep = F.element_at(F.array(F.lit(" "), F.lit("\t"), F.lit("  \t ")), (F.pmod("l_linenumber", F.lit(3)) + 1).cast("int"))
     data = F.concat_ws("", F.col("l_partkey").cast("string"), sep, F.col("l_suppkey").cast("string"),
                        sep, F.col("l_linenumber").cast("string"))
     extra = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("# order "), F.col("l_orderkey").cast("string"))) \
              .otherwise(F.lit(""))
-    lines = li.select(F.explode(F.array(data, extra)).alias("value"))
-    return parse_edge_lines(lines)
+    return li.select(F.explode(F.array(data, extra)).alias("value"))
+
+
+@register("edge_text_file", f"SELECT src, dst, 1 AS attr FROM ({RAW_SQL['K']})")
+def q_edge_text_file(spark, sf_dir):
+    """The same rendered lines written as a text edge list under the
+    checkpoint folder (shared storage on a cluster), then read back with the
+    file reader and its optional partition count."""
+    import uuid
+
+    from closure_engine.session import ensure_checkpoint_dir
+    from closure_engine.sources.text import read_edge_text
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/edge-text-{uuid.uuid4().hex}"
+    _rendered_lines(spark, sf_dir).write.text(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_edge_text(spark, path, num_partitions=n)
 
 
 @register("vertices_from_edges", f"""WITH raw AS ({RAW_SQL['K']})
