@@ -121,7 +121,10 @@ def closing(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewCon
     list_b = (lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
               .join(salts, "b", "left")
               .select("b", "out_b", F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt")))
-    return (edges.join(list_b, ["b", "salt"])
+    # Sort-merge, never broadcast: the planner sizes the edge side from the
+    # out-list stage *before* the explode, which underestimates it by the
+    # mean tail length, so an automatic broadcast here would be unbounded.
+    return (edges.join(list_b.hint("merge"), ["b", "salt"])
             .select("a", "b", F.array_intersect("tail_a", "out_b").alias("common"))
             .where(F.size("common") > 0))
 
