@@ -5,8 +5,11 @@ as closed forms over DataFrames, for users reconciling old reports.  The
 documented measures live in :mod:`closure_engine.operators.measures`.
 
 Every per-edge set intersection below equals the number of triangles on
-that edge in the simple graph (plus loop terms), so all three reuse
-``common_neighbour_counts`` and need no neighbour arrays.
+that edge in the simple graph (plus loop terms), so they reuse
+``common_neighbour_counts``, with the raw multiplicity of each undirected
+pair summed in the same aggregate: no neighbour arrays and no join of raw
+edges back to the pair counts (a repeated hot pair is one row per task
+before any shuffle).
 
 * ``v20_summary``: exact-distinct, loop-free edges; multigraph degree;
   T(v) = floor(sum over incident edges of |N(u) & N(v)| / 2);
@@ -34,19 +37,6 @@ def zero():
     return F.lit(0).cast("bigint")
 
 
-def _edge_values_to_ends(edges: DataFrame, value: str) -> DataFrame:
-    """Send an edge value to both ends (a loop sends it twice), sum per vertex."""
-    return (edges.select(F.explode(F.array(F.col("src"), F.col("dst"))).alias("id"), value)
-            .groupBy("id").agg(F.sum(value).alias("x")))
-
-
-def _with_edge_counts(edges: DataFrame, counts: DataFrame, *extra: str) -> DataFrame:
-    """Attach |N(u) & N(v)| to distinct directed edges (unique keys on both sides)."""
-    key = edges.select("src", "dst", *extra, F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
-    return key.join(counts, ["u", "v"], "left").select(
-        "src", "dst", *extra, F.coalesce("n_common", zero()).alias("n_common"))
-
-
 def _summary(per_vertex: DataFrame, triangle_factor: int, with_average: bool = True) -> DataFrame:
     n = F.count(F.lit(1))
     sum_t = F.coalesce(F.sum("triangles"), zero())
@@ -58,16 +48,31 @@ def _summary(per_vertex: DataFrame, triangle_factor: int, with_average: bool = T
     return per_vertex.agg(*cols)
 
 
+def _pair_weights(edges: DataFrame) -> DataFrame:
+    """Each loop-free edge as its undirected pair ``(u, v)`` with weight 1."""
+    return edges.where(F.col("src") != F.col("dst")).select(
+        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"), F.lit(1).alias("w"))
+
+
+def _pair_sums(pairs: DataFrame) -> DataFrame:
+    """Per vertex from ``(u, v, n_common, w)``: ``x`` = sum w * n_common,
+    ``mdeg`` = sum w (multigraph degree), ``sdeg`` = simple degree."""
+    one = F.lit(1).cast("bigint")
+    ends = F.array(F.struct(F.col("u").alias("id"), (F.col("w") * F.col("n_common")).alias("x"), F.col("w").alias("w")),
+                   F.struct(F.col("v").alias("id"), (F.col("w") * F.col("n_common")).alias("x"), F.col("w").alias("w")))
+    return (pairs.select(F.explode(ends).alias("p")).select("p.id", "p.x", "p.w")
+            .groupBy("id").agg(F.sum("x").alias("x"), F.sum("w").alias("mdeg"), F.sum(one).alias("sdeg")))
+
+
 def v20_per_vertex(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    # each distinct direction of a pair is one multigraph edge: weight 1 or 2;
+    # one aggregate gives |N(u) & N(v)| and that weight, no join back
     e = drop_exact_duplicates(drop_loops(raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))))
-    counts = common_neighbour_counts(canonical_edges(e))
-    x = _edge_values_to_ends(_with_edge_counts(e, counts), "n_common")
-    d = degree(e)
-    j = d.join(x, "id", "left")
-    t = F.shiftright(F.coalesce("x", zero()), 1)
-    trip = triplets_of("degree")
-    return j.select("id", "degree", t.alias("triangles"), trip.alias("triplets"),
-                    local_ratio(t, trip).alias("local"))
+    per = _pair_sums(common_neighbour_counts(canonical_edges(e), weights=_pair_weights(e)))
+    t = F.shiftright(F.col("x"), 1)
+    trip = triplets_of("mdeg")
+    return per.select("id", F.col("mdeg").alias("degree"), t.alias("triangles"), trip.alias("triplets"),
+                      local_ratio(t, trip).alias("local"))
 
 
 def v20_summary(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -90,26 +95,35 @@ def v25_summary(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame
 
 
 def v11_transitivity(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Closed form of the per-vertex sums (S(x) includes x when x has a loop):
+
+    x(v) = sum_y M(v,y) |N(v) & N(y)|         (M = raw multiplicity of the pair)
+         + L(v) * loop-free degree(v)          (v in S(v), and v in N(y))
+         + sum_y M(v,y) L(y)                   (y in S(y), and y in N(v))
+         + 2 * loops(v) * (simple degree(v) + 1)   (a loop edge sends |S(v)| twice)
+    """
     e = raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
     canon = canonical_edges(e)
-    counts = common_neighbour_counts(canon)
-    simple_deg = degree(canon, "u", "v")
-    loops = e.where(F.col("src") == F.col("dst")).select(F.col("src").alias("id")).distinct()
-    flags = (simple_deg.join(loops.withColumn("loop", F.lit(1).cast("bigint")), "id", "full_outer")
-             .select("id", F.coalesce("degree", zero()).alias("sdeg"), F.coalesce("loop", zero()).alias("loop")))
-    # repeats of a raw edge send the same value: pre-aggregate them to a
-    # multiplicity so a hot repeated pair is one row before any join
-    multi = e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-    d = degree(e)
-    hubs = hot_keys(d, "id", "degree")
-    fs = flags.select(F.col("id").alias("src"), F.col("sdeg").alias("s_sdeg"), F.col("loop").alias("s_loop"))
-    fd = flags.select(F.col("id").alias("dst"), F.col("loop").alias("d_loop"))
-    ev = _with_edge_counts(multi, counts, "mult")
-    ev = split_join(ev, fs, "src", hot_lookup(fs, "src", hubs.select(F.col("id").alias("src"))))
-    ev = split_join(ev, fd, "dst", hot_lookup(fd, "dst", hubs.select(F.col("id").alias("dst"))))
-    value = F.when(F.col("src") == F.col("dst"), F.col("s_sdeg") + 1).otherwise(
-        F.col("n_common") + F.col("s_loop") + F.col("d_loop"))
-    x = _edge_values_to_ends(ev.select("src", "dst", (value * F.col("mult")).alias("val")), "val")
-    per_vertex = d.join(x, "id", "left").select(
-        F.shiftright(F.coalesce("x", zero()), 1).alias("triangles"), triplets_of("degree").alias("triplets"))
+    pairs = common_neighbour_counts(canon, weights=_pair_weights(e))
+    per = _pair_sums(pairs)
+    loops = (e.where(F.col("src") == F.col("dst")).groupBy(F.col("src").alias("id"))
+             .agg(F.count(F.lit(1)).alias("n_loop")))
+    # sum_y M(v,y) L(y): half-pairs meet the loop table on y (hub y split off)
+    half = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.col("v").alias("y"), "w"),
+                                          F.struct(F.col("v").alias("id"), F.col("u").alias("y"), "w"))).alias("h")
+                        ).select("h.id", "h.y", "h.w")
+    loop_y = loops.select(F.col("id").alias("y"), F.lit(1).alias("is_loop"))
+    # y's frequency among half-pairs is its simple degree (same plan as the triangle step's)
+    hubs = hot_keys(degree(canon, "u", "v"), "id", "degree").select(F.col("id").alias("y"))
+    near_loop = (split_join(half, loop_y, "y", hot_lookup(loop_y, "y", hubs))
+                 .groupBy("id").agg(F.sum("w").alias("c")))
+    v = (per.join(loops, "id", "full_outer").join(near_loop, "id", "left")
+         .select(F.coalesce("x", zero()).alias("x"), F.coalesce("mdeg", zero()).alias("mdeg"),
+                 F.coalesce("sdeg", zero()).alias("sdeg"), F.coalesce("n_loop", zero()).alias("n_loop"),
+                 F.coalesce("c", zero()).alias("c")))
+    has_loop = F.when(F.col("n_loop") > 0, 1).otherwise(0)
+    total = (F.col("x") + has_loop * F.col("mdeg") + F.col("c")
+             + F.lit(2) * F.col("n_loop") * (F.col("sdeg") + 1))
+    raw_degree = F.col("mdeg") + F.lit(2) * F.col("n_loop")
+    per_vertex = v.select(F.shiftright(total, 1).alias("triangles"), triplets_of(raw_degree).alias("triplets"))
     return _summary(per_vertex, 1, with_average=False).select("triangles", "triplets", "transitivity")

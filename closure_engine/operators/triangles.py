@@ -182,12 +182,16 @@ def common_neighbours(canonical: DataFrame, degrees: DataFrame | None = None,
 
 
 def common_neighbour_counts(canonical: DataFrame, degrees: DataFrame | None = None,
-                            cfg: SkewConfig | None = None) -> DataFrame:
+                            cfg: SkewConfig | None = None, weights: DataFrame | None = None) -> DataFrame:
     """``(u, v, n_common)`` = |N(u) & N(v)| for every canonical edge, 0 included.
 
     The edge ``a->b`` holds ``size(common)``; each closing ``c`` adds 1 to
     ``(a,c)`` and ``(b,c)``.  Union with all edges at 0, then one partial
     aggregate: no join back to the edge set.
+
+    ``weights`` (rows ``u, v, w`` with ``u < v``, covering every canonical
+    edge, repeats allowed) replaces the zero rows; the result then also has
+    ``w`` summed per edge, from the same aggregate.
     """
     close = closing(canonical, degrees, cfg)
     k = F.size("common").cast("bigint")
@@ -200,8 +204,13 @@ def common_neighbour_counts(canonical: DataFrame, degrees: DataFrame | None = No
     via_a = F.transform("common", lambda c: edge(F.col("a"), c, one))
     via_b = F.transform("common", lambda c: edge(F.col("b"), c, one))
     contrib = close.select(F.explode(F.concat(own, via_a, via_b)).alias("e")).select("e.u", "e.v", "e.n")
-    zeros = canonical.select("u", "v", F.lit(0).cast("bigint").alias("n"))
-    return zeros.unionByName(contrib).groupBy("u", "v").agg(F.sum("n").alias("n_common"))
+    zero = F.lit(0).cast("bigint")
+    if weights is None:
+        zeros = canonical.select("u", "v", zero.alias("n"))
+        return zeros.unionByName(contrib).groupBy("u", "v").agg(F.sum("n").alias("n_common"))
+    base = weights.select("u", "v", zero.alias("n"), F.col("w").cast("bigint").alias("w"))
+    return (base.unionByName(contrib.withColumn("w", zero)).groupBy("u", "v")
+            .agg(F.sum("n").alias("n_common"), F.sum("w").alias("w")))
 
 
 def common_neighbour_sums(canonical: DataFrame, degrees: DataFrame | None = None,
