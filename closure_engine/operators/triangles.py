@@ -78,15 +78,22 @@ def orient(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConf
                     pick("du", "dv").alias("da"), pick("dv", "du").alias("db"))
 
 
+def _shuffle_width(spark) -> int:
+    """Initial shuffle width: AQE's ``initialPartitionNum`` when the cluster
+    sets one (it then coalesces from there), else ``spark.sql.shuffle.partitions``."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial) if initial else int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """``(a, out)``: out-neighbours of each vertex in rank order, at most sqrt(2m) ids.
 
     Hash-partitioned by ``a`` into an explicit number of partitions (default:
-    the session's ``spark.sql.shuffle.partitions``).  AQE would otherwise
+    the session's initial shuffle width, see ``_shuffle_width``).  AQE would otherwise
     coalesce them by bytes, but the intersection work that follows grows with
     the square of the list lengths, not with their bytes.
     """
-    n = num_partitions or int(oriented.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or _shuffle_width(oriented.sparkSession)
     ranked = F.array_sort(F.collect_list(F.struct(F.col("db").alias("d"), F.col("b").alias("id"))))
     return (oriented.repartition(n, "a").groupBy("a").agg(ranked.alias("_r"))
             .select("a", F.transform("_r", lambda x: x["id"]).alias("out")))
