@@ -102,3 +102,16 @@ def test_message_update_function(spark):
     got = message_rounds(canon, start, "s", 1, F.col("v_s"), None, F.max,
                          update=lambda old, msg: old + msg, src="u", dst="v")
     assert {r.id: r.s for r in got.collect()} == {1: 20, 2: 20, 3: 10}
+
+
+def test_triplet_view_hot_path_equals_plain(spark):
+    pairs = [(0, i) for i in range(1, 30)] + [(i, i + 1) for i in range(1, 29)] + [(5, 99)]
+    edges = edges_df(spark, pairs)
+    verts = spark.createDataFrame([(i, i * 3) for i in range(0, 30)], "id bigint, x bigint")  # 99 undeclared
+    hubs = spark.createDataFrame([(0,), (5,), (99,)], "id bigint")
+    cols = ["src", "dst", "src_x", "dst_x"]
+    hot = sorted(map(tuple, triplet_view(edges, verts, hubs=hubs).select(*cols).collect()), key=repr)
+    plain = sorted(map(tuple, triplet_view(edges, verts, skew_safe=False).select(*cols).collect()), key=repr)
+    auto = sorted(map(tuple, triplet_view(edges, verts).select(*cols).collect()), key=repr)
+    assert hot == plain == auto
+    assert (5, 99, 15, None) in hot
