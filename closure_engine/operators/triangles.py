@@ -7,11 +7,12 @@ Plan (all built-in DataFrame operators):
    out-neighbours of degree >= k, so ``k * k <= 2m``: every out-list is at
    most ``sqrt(2m)`` ids, however skewed the degrees are.  Hubs have large
    *in*-degree and a short out-list.
-2. ``closing``: per oriented edge ``a -> b``, ``array_intersect`` of the two
-   out-lists gives every ``c`` with ``a -> c`` and ``b -> c``; each triangle
-   is found exactly once, at the edge joining its two lowest-ranked
-   vertices.  Work is one row per edge; no wedge or vertex-pair row is
-   ever produced.
+2. ``closing``: out-lists are kept in rank order; per oriented edge
+   ``a -> b``, ``array_intersect`` of the part of ``N+(a)`` after ``b`` with
+   ``N+(b)`` gives every ``c`` with ``a -> c`` and ``b -> c``, so each
+   triangle is found exactly once, at the edge joining its two lowest-ranked
+   vertices.  Work is one row per edge; no wedge or vertex-pair row is ever
+   produced.
 3. Per-vertex and per-edge counts come from ``size(common)`` for the two
    edge ends plus one row per closing vertex, summed with partial
    (map-side) aggregation.
@@ -89,9 +90,9 @@ def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFra
     """``(a, out)``: out-neighbours of each vertex in rank order, at most sqrt(2m) ids.
 
     Hash-partitioned by ``a`` into an explicit number of partitions (default:
-    the session's initial shuffle width, see ``_shuffle_width``).  AQE would otherwise
-    coalesce them by bytes, but the intersection work that follows grows with
-    the square of the list lengths, not with their bytes.
+    the session's initial shuffle width, see ``_shuffle_width``).  AQE would
+    otherwise coalesce them by bytes, but the intersection work that follows
+    grows with the square of the list lengths, not with their bytes.
     """
     n = num_partitions or _shuffle_width(oriented.sparkSession)
     ranked = F.array_sort(F.collect_list(F.struct(F.col("db").alias("d"), F.col("b").alias("id"))))
@@ -105,7 +106,7 @@ def closing(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewCon
 
     Each out-list row is exploded in place into its edges ``a->b``.  The
     list is in rank order, so only the ids after ``b`` can close a triangle
-    ``a < b < c``: each edge carries just that tail of ``N+(a)`` (half the
+    ``a < b < c`` (in rank): each edge carries just that tail of ``N+(a)`` (half the
     list on average; edges with an empty tail are dropped), then meets
     ``N+(b)`` on ``(b, salt)``.  A hub ``b`` (from the bounded broadcast hub
     table) has ``1 + degree // split_rows`` salts: its in-edges are spread
