@@ -33,6 +33,7 @@ from closure_engine.operators.clean import canonical_edges, drop_exact_duplicate
 from closure_engine.operators.skew import hot_keys, hot_lookup, split_join
 from closure_engine.operators.triangles import common_neighbour_counts
 
+
 def zero():
     return F.lit(0).cast("bigint")
 

@@ -24,6 +24,7 @@ from closure_engine.operators.adjacency import degree as _degree
 from closure_engine.operators.clean import canonical_edges
 from closure_engine.operators.triangles import SkewConfig, triangle_counts
 
+
 def zero():
     return F.lit(0).cast("bigint")
 
