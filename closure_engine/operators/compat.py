@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from closure_engine.functions.exprs import guarded_ratio, local_ratio, triplets_of
 from closure_engine.operators.adjacency import degree
-from closure_engine.operators.clean import canonical_edges, drop_exact_duplicates, drop_loops
+from closure_engine.operators.clean import canonical_edges, drop_loops
 from closure_engine.operators.skew import hot_keys, hot_lookup, split_join
 from closure_engine.operators.triangles import common_neighbour_counts
 
@@ -49,10 +49,22 @@ def _summary(per_vertex: DataFrame, triangle_factor: int, with_average: bool = T
     return per_vertex.agg(*cols)
 
 
-def _pair_weights(edges: DataFrame) -> DataFrame:
-    """Each loop-free edge as its undirected pair ``(u, v)`` with weight 1."""
+def _multigraph(raw: DataFrame, src: str, dst: str) -> DataFrame:
+    """The raw multigraph pre-aggregated once: ``(src, dst, n)`` per directed pair.
+
+    Every compat branch derives from this one aggregate, so the input is
+    scanned once and a hot repeated pair is one row per task before any
+    shuffle.
+    """
+    return (raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _pair_weights(edges: DataFrame, weight: str | None = None) -> DataFrame:
+    """Each loop-free edge as its undirected pair ``(u, v)`` with its weight (default 1)."""
+    w = F.col(weight) if weight else F.lit(1)
     return edges.where(F.col("src") != F.col("dst")).select(
-        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"), F.lit(1).alias("w"))
+        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"), w.alias("w"))
 
 
 def _pair_sums(pairs: DataFrame) -> DataFrame:
@@ -68,7 +80,7 @@ def _pair_sums(pairs: DataFrame) -> DataFrame:
 def v20_per_vertex(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     # each distinct direction of a pair is one multigraph edge: weight 1 or 2;
     # one aggregate gives |N(u) & N(v)| and that weight, no join back
-    e = drop_exact_duplicates(drop_loops(raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))))
+    e = drop_loops(_multigraph(raw, src, dst)).select("src", "dst")
     per = _pair_sums(common_neighbour_counts(canonical_edges(e), weights=_pair_weights(e)))
     t = F.shiftright(F.col("x"), 1)
     trip = triplets_of("mdeg")
@@ -81,11 +93,15 @@ def v20_summary(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame
 
 
 def v25_per_vertex(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    e = raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    d_raw = degree(e)
-    d_free = degree(drop_loops(e)).withColumnRenamed("degree", "free_degree")
-    j = d_raw.join(d_free, "id", "left")
-    t = F.when(F.col("free_degree").isNull(), F.col("degree")).otherwise(F.shiftright("free_degree", 1))
+    m = _multigraph(raw, src, dst)
+    free = (F.col("src") != F.col("dst")).cast("int")
+    ends = F.array(F.struct(F.col("src").alias("id"), F.col("n").alias("n"), free.alias("free")),
+                   F.struct(F.col("dst").alias("id"), F.col("n").alias("n"), free.alias("free")))
+    j = (m.select(F.explode(ends).alias("e")).select("e.id", "e.n", "e.free").groupBy("id")
+         .agg(F.sum("n").alias("degree"), F.sum(F.col("n") * F.col("free")).alias("free_degree"),
+              F.max("free").alias("in_free")))
+    # a vertex with only loops is absent from the loop-free graph: T := its degree
+    t = F.when(F.col("in_free") == 0, F.col("degree")).otherwise(F.shiftright("free_degree", 1))
     trip = triplets_of("degree")
     return j.select("id", "degree", t.alias("triangles"), trip.alias("triplets"),
                     local_ratio(t, trip).alias("local"))
@@ -103,12 +119,20 @@ def v11_transitivity(raw: DataFrame, src: str = "src", dst: str = "dst") -> Data
          + sum_y M(v,y) L(y)                   (y in S(y), and y in N(v))
          + 2 * loops(v) * (simple degree(v) + 1)   (a loop edge sends |S(v)| twice)
     """
-    e = raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    canon = canonical_edges(e)
-    pairs = common_neighbour_counts(canon, weights=_pair_weights(e))
+    # One aggregate per undirected pair (loops are pairs with u = v): its
+    # multiplicity and a non-loop flag.  Every branch selects on the flag, an
+    # aggregate output the planner cannot push below the aggregate, so all
+    # branches share one shuffle and the input is scanned once.
+    s_, d_ = F.col(src), F.col(dst)
+    zero_ = F.lit(0).cast("bigint")
+    undirected = (raw.where(s_.isNotNull() & d_.isNotNull())
+                  .groupBy(F.coalesce(F.least(s_, d_).cast("bigint"), zero_).alias("u"),
+                           F.coalesce(F.greatest(s_, d_).cast("bigint"), zero_).alias("v"))
+                  .agg(F.count(F.lit(1)).alias("w"), F.max(s_ != d_).alias("non_loop")))
+    canon = undirected.where(F.col("non_loop")).select("u", "v")
+    pairs = common_neighbour_counts(canon, weights=undirected.where(F.col("non_loop")).select("u", "v", "w"))
     per = _pair_sums(pairs)
-    loops = (e.where(F.col("src") == F.col("dst")).groupBy(F.col("src").alias("id"))
-             .agg(F.count(F.lit(1)).alias("n_loop")))
+    loops = undirected.where(~F.col("non_loop")).select(F.col("u").alias("id"), F.col("w").alias("n_loop"))
     # sum_y M(v,y) L(y): half-pairs meet the loop table on y (hub y split off)
     half = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.col("v").alias("y"), "w"),
                                           F.struct(F.col("v").alias("id"), F.col("u").alias("y"), "w"))).alias("h")

@@ -17,7 +17,8 @@ from closure_engine.plans.registry import QUERIES  # noqa: E402
 from closure_engine.session import build_session  # noqa: E402
 
 NAMES = ["closure_summary", "closure_report", "local_closure", "triangles_list", "common_neighbours_edge",
-         "closure_summary_bipartite", "message_rounds_walks", "compat_v11_transitivity"]
+         "closure_summary_bipartite", "message_rounds_walks", "compat_v20_summary", "compat_v25_summary",
+         "compat_v11_transitivity"]
 
 
 def main() -> None:
