@@ -85,3 +85,10 @@ def test_compat_versions_on_f1(spark):
     assert math.isclose(v25.average, 101 / 240, abs_tol=1e-9)
     v11 = compat.v11_transitivity(e).collect()[0]
     assert (v11.triangles, v11.triplets) == (18, 53) and math.isclose(v11.transitivity, 18 / 53)
+
+
+def test_closure_custom_columns_and_rounding(spark):
+    df = spark.createDataFrame([(a, b, "x") for a, b in F2], "p int, q int, tag string")
+    s = closure(df, src="p", dst="q", average_digits=3).summary.collect()[0]
+    assert (s.triangles, s.triplets, s.transitivity) == (1, 6, 0.5)
+    assert s.average == 0.333
