@@ -110,3 +110,12 @@ def test_closure_from_text_and_materialize(spark):
     assert (g.triangles, g.triplets, g.transitivity) == (1, 6, 0.5)
     with pytest.raises(ValueError):
         closure_from_text(spark, p, materialize="bogus")
+
+
+def test_command_line(spark, capsys):
+    from closure_engine.__main__ import main
+    out = tempfile.mkdtemp(prefix="closure-cli-")
+    row = main([_write(F2_TEXT), out + "/res"])
+    assert (row["triangles"], row["triplets"], row["transitivity"]) == (1, 6, 0.5)
+    assert '"transitivity": 0.5' in capsys.readouterr().out
+    assert spark.read.parquet(out + "/res/per_vertex").count() == 7
