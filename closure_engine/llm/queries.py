@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .jaccard import jaccard_groups
+from .lattice import near_duplicate_vectors
 from .mixing import mix_sources
 from .packing import pack_sequences
+from .pii import personal_data
 from .quality import quality_rules
+from .secrets import secret_scan
 from .sharding import shard_documents
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -20,11 +25,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -38,6 +51,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -45,10 +70,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard": op1_jaccard,
     "op2_quality": op2_quality,
+    "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_secrets": op7_secrets,
+    "op8_lattice": op8_lattice,
+    "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
 }
 

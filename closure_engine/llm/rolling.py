@@ -18,6 +18,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
+#: ASCII letters and all bytes of other characters.
+LETTERS = np.zeros(256, bool)
+LETTERS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
 _RANDOM = np.random.default_rng(20_240_501)
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.int64).astype(_U)
 
@@ -82,9 +85,10 @@ def _prefix(values, n: int, at: np.ndarray, powers: _Powers) -> np.ndarray:
 class Texts:
     """The words of texts that stand one after the other in ``data``; text i is data[ends[i]:ends[i + 1]]."""
 
-    def __init__(self, data: np.ndarray, ends: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, ends: np.ndarray, lower: bool = False, solid: np.ndarray | None = None):
+        """``solid``: table of the bytes that words consist of; all but white space by default."""
         self.data, self.ends, self.n = (LOWER[data] if lower else data), ends, len(ends) - 1
-        solid = ~_SPACE[data]
+        solid = ~_SPACE[data] if solid is None else solid[data]
         before = np.empty(len(data), bool)
         before[1:] = solid[:-1]
         after = np.empty(len(data), bool)
@@ -121,6 +125,13 @@ class Texts:
         sums = _prefix(lambda a, b: words[a:b], count, every, p)
         return mix((sums[at + n] - sums[at]) * p.inverse(at)), at
 
+    def runs(self, words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """The hashes that ``grams`` gives to the runs of ``n`` words from the places ``at`` on."""
+        p, out = _powers()[1], np.zeros(len(at), _U)
+        for j in range(n):
+            out += words[at + j] * p.low[j]
+        return mix(out)
+
     def per_text(self, flags: np.ndarray) -> np.ndarray:
         """Sums of a value of each byte over each text."""
         sums = np.zeros(len(flags) + 1, np.int64)
