@@ -1,7 +1,9 @@
 """Scalar Column expressions.
 
-Counts stay ``bigint`` end to end; a ratio is formed by exactly one division
-at the end, so Spark and any SQL engine produce the same IEEE double.
+Counts of rows are ``bigint``; connected triplets, which pass 64 bits at a
+degree of about 4.3 billion, are ``decimal(38,0)``.  A ratio is formed by
+exactly one division of doubles at the end, so Spark and any SQL engine
+produce the same IEEE double.
 """
 
 from __future__ import annotations
@@ -19,13 +21,20 @@ def nan() -> Column:
 
 
 def triplets_of(degree) -> Column:
-    """Connected triplets centred on a vertex: d(d-1)/2 in bigint.
+    """Connected triplets centred on a vertex: d(d-1)/2 as decimal(38,0).
 
-    d(d-1) is always even, so a right shift is the exact integer halving
-    (no trip through double, no 32-bit overflow).
+    The even one of d and d-1 is halved first, which keeps the product exact
+    for every bigint degree, with ANSI mode on or off.
     """
     d = _c(degree).cast("bigint")
-    return F.shiftright(d * (d - F.lit(1)), 1)
+    even = F.pmod(d, F.lit(2)) == 0
+    half = F.when(even, F.shiftright(d, 1)).otherwise(F.shiftright(d - 1, 1))
+    other = F.when(even, d - 1).otherwise(d)
+    return (half.cast("decimal(19,0)") * other.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def zero() -> Column:
+    return F.lit(0).cast("bigint")
 
 
 def int_div(num, k: int) -> Column:

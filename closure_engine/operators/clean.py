@@ -22,14 +22,17 @@ def drop_exact_duplicates(edges: DataFrame, src: str = "src", dst: str = "dst")
 
 
 def canonical_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Simple undirected edge set ``(u, v)`` with ``u < v``: no loop, no repeat, no null id."""
-    s, d = F.col(src), F.col(dst)
+    """Simple undirected edge set ``(u, v)`` with ``u < v``: no loop, no repeat, no null id.
+
+    Ids are compared as ``bigint``, so text ids like ``"1"`` and ``"01"`` are the same vertex.
+    """
+    s, d = F.col(src).cast("bigint"), F.col(dst).cast("bigint")
     # Ids are never null past the filter; the coalesce only tells the planner
     # so (non-nullable columns), which keeps it from inferring different
     # isnotnull filters in each branch that reuses this set; identical
     # branches then share one shuffle instead of rescanning the input.
     zero = F.lit(0).cast("bigint")
     return (edges.where(s.isNotNull() & d.isNotNull() & (s != d))
-            .select(F.coalesce(F.least(s, d).cast("bigint"), zero).alias("u"),
-                    F.coalesce(F.greatest(s, d).cast("bigint"), zero).alias("v"))
+            .select(F.coalesce(F.least(s, d), zero).alias("u"),
+                    F.coalesce(F.greatest(s, d), zero).alias("v"))
             .distinct())

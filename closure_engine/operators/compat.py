@@ -20,6 +20,9 @@ before any shuffle).
 * ``v11_transitivity``: nothing cleaned; S(x) = neighbour set, with x in it
   when x has a loop; each raw edge sends |S(u) & S(v)| to both ends (a loop
   twice to its vertex); global = sum floor(x / 2) / sum triplets.
+
+Everywhere: ids are cast to bigint before they are compared, and edges with
+a null id are dropped.  ``triplets`` is decimal(38,0).
 """
 
 from __future__ import annotations
@@ -27,21 +30,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closure_engine.functions.exprs import guarded_ratio, local_ratio, triplets_of
+from closure_engine.functions.exprs import guarded_ratio, local_ratio, triplets_of, zero
 from closure_engine.operators.adjacency import degree
-from closure_engine.operators.clean import canonical_edges, drop_loops
 from closure_engine.operators.skew import hot_keys, hot_lookup, split_join
-from closure_engine.operators.triangles import common_neighbour_counts
-
-
-def zero():
-    return F.lit(0).cast("bigint")
+from closure_engine.operators.triangles import common_neighbour_counts, triangle_list
 
 
 def _summary(per_vertex: DataFrame, triangle_factor: int, with_average: bool = True) -> DataFrame:
     n = F.count(F.lit(1))
     sum_t = F.coalesce(F.sum("triangles"), zero())
-    sum_p = F.coalesce(F.sum("triplets"), zero())
+    sum_p = F.coalesce(F.sum("triplets"), F.lit(0)).cast("decimal(38,0)")
     cols = [n.alias("n_vertices"), sum_t.alias("triangles"), sum_p.alias("triplets"),
             guarded_ratio(sum_t * F.lit(triangle_factor), sum_p).alias("transitivity")]
     if with_average:
@@ -49,22 +47,28 @@ def _summary(per_vertex: DataFrame, triangle_factor: int, with_average: bool = T
     return per_vertex.agg(*cols)
 
 
-def _multigraph(raw: DataFrame, src: str, dst: str) -> DataFrame:
-    """The raw multigraph pre-aggregated once: ``(src, dst, n)`` per directed pair.
+def _whole_ids(raw: DataFrame, src: str, dst: str) -> DataFrame:
+    """``(src, dst)`` as bigint, without edges that lack an id."""
+    return raw.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst")).where(
+        F.col("src").isNotNull() & F.col("dst").isNotNull())
 
-    Every compat branch derives from this one aggregate, so the input is
-    scanned once and a hot repeated pair is one row per task before any
-    shuffle.
-    """
-    return (raw.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-            .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
+def _undirected(raw: DataFrame, src: str, dst: str) -> DataFrame:
+    """The raw multigraph by undirected pair, loops included: ``(u, v, n, directions)``.
 
-def _pair_weights(edges: DataFrame, weight: str | None = None) -> DataFrame:
-    """Each loop-free edge as its undirected pair ``(u, v)`` with its weight (default 1)."""
-    w = F.col(weight) if weight else F.lit(1)
-    return edges.where(F.col("src") != F.col("dst")).select(
-        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"), w.alias("w"))
+    ``n`` counts the raw edges of the pair, ``directions`` the different
+    directed pairs among them (1 for a loop).  Every branch of the compat
+    numbers selects from this one aggregate and uses both of its values, which
+    the planner then can't prune or push down differently, so all branches
+    share one shuffle, the input is scanned once, and a hot repeated pair is
+    one row per task before any shuffle.
+    """
+    s, d = F.col("src"), F.col("dst")
+    forth, back = F.max((s <= d).cast("int")), F.max((s > d).cast("int"))
+    return (_whole_ids(raw, src, dst)
+            .groupBy(F.coalesce(F.least(s, d), zero()).alias("u"), F.coalesce(F.greatest(s, d), zero()).alias("v"))
+            .agg(F.count(F.lit(1)).alias("n"), (forth + back).alias("directions"), F.max(s != d).alias("non_loop"))
+            .where((F.col("n") > 0) & (F.col("directions") > 0)))
 
 
 def _pair_sums(pairs: DataFrame) -> DataFrame:
@@ -74,14 +78,14 @@ def _pair_sums(pairs: DataFrame) -> DataFrame:
     ends = F.array(F.struct(F.col("u").alias("id"), (F.col("w") * F.col("n_common")).alias("x"), F.col("w").alias("w")),
                    F.struct(F.col("v").alias("id"), (F.col("w") * F.col("n_common")).alias("x"), F.col("w").alias("w")))
     return (pairs.select(F.explode(ends).alias("p")).select("p.id", "p.x", "p.w")
-            .groupBy("id").agg(F.sum("x").alias("x"), F.sum("w").alias("mdeg"), F.sum(one).alias("sdeg")))
+            .groupBy("id").agg(F.sum("x").alias("x"), F.sum("w").cast("bigint").alias("mdeg"), F.sum(one).alias("sdeg")))
 
 
 def v20_per_vertex(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     # each distinct direction of a pair is one multigraph edge: weight 1 or 2;
     # one aggregate gives |N(u) & N(v)| and that weight, no join back
-    e = drop_loops(_multigraph(raw, src, dst)).select("src", "dst")
-    per = _pair_sums(common_neighbour_counts(canonical_edges(e), weights=_pair_weights(e)))
+    pairs = _undirected(raw, src, dst).where("non_loop")
+    per = _pair_sums(common_neighbour_counts(pairs.select("u", "v"), weights=pairs.select("u", "v", F.col("directions").alias("w"))))
     t = F.shiftright(F.col("x"), 1)
     trip = triplets_of("mdeg")
     return per.select("id", F.col("mdeg").alias("degree"), t.alias("triangles"), trip.alias("triplets"),
@@ -93,7 +97,7 @@ def v20_summary(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame
 
 
 def v25_per_vertex(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    m = _multigraph(raw, src, dst)
+    m = _whole_ids(raw, src, dst).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     free = (F.col("src") != F.col("dst")).cast("int")
     ends = F.array(F.struct(F.col("src").alias("id"), F.col("n").alias("n"), free.alias("free")),
                    F.struct(F.col("dst").alias("id"), F.col("n").alias("n"), free.alias("free")))
@@ -119,20 +123,11 @@ def v11_transitivity(raw: DataFrame, src: str = "src", dst: str = "dst") -> Data
          + sum_y M(v,y) L(y)                   (y in S(y), and y in N(v))
          + 2 * loops(v) * (simple degree(v) + 1)   (a loop edge sends |S(v)| twice)
     """
-    # One aggregate per undirected pair (loops are pairs with u = v): its
-    # multiplicity and a non-loop flag.  Every branch selects on the flag, an
-    # aggregate output the planner cannot push below the aggregate, so all
-    # branches share one shuffle and the input is scanned once.
-    s_, d_ = F.col(src), F.col(dst)
-    zero_ = F.lit(0).cast("bigint")
-    undirected = (raw.where(s_.isNotNull() & d_.isNotNull())
-                  .groupBy(F.coalesce(F.least(s_, d_).cast("bigint"), zero_).alias("u"),
-                           F.coalesce(F.greatest(s_, d_).cast("bigint"), zero_).alias("v"))
-                  .agg(F.count(F.lit(1)).alias("w"), F.max(s_ != d_).alias("non_loop")))
-    canon = undirected.where(F.col("non_loop")).select("u", "v")
-    pairs = common_neighbour_counts(canon, weights=undirected.where(F.col("non_loop")).select("u", "v", "w"))
-    per = _pair_sums(pairs)
-    loops = undirected.where(~F.col("non_loop")).select(F.col("u").alias("id"), F.col("w").alias("n_loop"))
+    undirected = _undirected(raw, src, dst)
+    pairs = undirected.where("non_loop").select("u", "v", F.col("n").alias("w"))
+    canon = pairs.select("u", "v")
+    per = _pair_sums(common_neighbour_counts(canon, weights=pairs))
+    loops = undirected.where("not non_loop").select(F.col("u").alias("id"), F.col("n").alias("n_loop"))
     # sum_y M(v,y) L(y): half-pairs meet the loop table on y (hub y split off)
     half = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.col("v").alias("y"), "w"),
                                           F.struct(F.col("v").alias("id"), F.col("u").alias("y"), "w"))).alias("h")
@@ -152,3 +147,24 @@ def v11_transitivity(raw: DataFrame, src: str = "src", dst: str = "dst") -> Data
     raw_degree = F.col("mdeg") + F.lit(2) * F.col("n_loop")
     per_vertex = v.select(F.shiftright(total, 1).alias("triangles"), triplets_of(raw_degree).alias("triplets"))
     return _summary(per_vertex, 1, with_average=False).select("triangles", "triplets", "transitivity")
+
+
+def common_neighbours_multiset(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(u, v, n_common)`` per simple edge: the size of the multiset intersection of both neighbour lists.
+
+    The lists are those of the loop-free multigraph, so a common neighbour w
+    counts min(multiplicity of u-w, multiplicity of v-w) times.  Every
+    triangle looks up the multiplicities of its three pairs, each pair being
+    one row.
+    """
+    pairs = _undirected(raw, src, dst).where("non_loop").select("u", "v", "n")
+    t = triangle_list(pairs.select("u", "v"))
+    for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
+        t = t.join(pairs.select(F.col("u").alias(x), F.col("v").alias(y), F.col("n").alias(x + y)), [x, y])
+
+    def edge(u, v, one, two):
+        return F.struct(F.col(u).alias("u"), F.col(v).alias("v"), F.least(one, two).alias("n"))
+
+    counts = t.select(F.explode(F.array(edge("a", "b", "ac", "bc"), edge("a", "c", "ab", "bc"), edge("b", "c", "ab", "ac"))).alias("e"))
+    none = pairs.select("u", "v", F.when(F.col("n") > 0, zero()).alias("n"))
+    return none.unionByName(counts.select("e.u", "e.v", "e.n")).groupBy("u", "v").agg(F.sum("n").alias("n_common"))

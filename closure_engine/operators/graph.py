@@ -46,17 +46,22 @@ def join_vertices(left: DataFrame, right: DataFrame, value: str, new_value: str
     return j.select(id, "old", "new", merged.alias("merged"))
 
 
+# Attribute types whose values have a bounded width, so that a table of at most MAX_HOT_KEYS rows is small.
+_NARROW = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp")
+
+
 def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
                  id: str = "id", attrs: list[str] | None = None, skew_safe: bool = True,
                  hubs: DataFrame | None = None) -> DataFrame:
     """Each edge with both endpoints' attributes as ``src_<attr>`` / ``dst_<attr>``.
 
     Two equi-joins on the vertex id (``vertices`` has one row per id; edges
-    whose endpoint has no row keep null attributes).  With ``skew_safe`` the
-    hub endpoints (bounded set, from the edge degrees) read a broadcast copy
-    of their rows and only the other edges are shuffled; without it, plain
-    joins are left to the planner.  ``hubs`` (``id`` column, bounded) may be
-    passed in when the same edges are viewed repeatedly.
+    whose endpoint has no row keep null attributes).  With ``skew_safe`` and
+    attributes of bounded width, the hub endpoints (bounded set, from the
+    edge degrees) read a broadcast copy of their rows.  Wider attributes
+    (text, arrays) are never broadcast: each hub's row is copied once per
+    salt and its edges are spread over the salts.  ``hubs`` (``id`` column,
+    bounded) may be passed in when the same edges are viewed repeatedly.
     """
     from closure_engine.operators import skew
     from closure_engine.operators.adjacency import degree
@@ -66,6 +71,10 @@ def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: s
     dv = vertices.select(F.col(id).alias(dst), *[F.col(a).alias(f"{dst}_{a}") for a in attrs])
     if not skew_safe:
         return edges.join(sv, src, "left").join(dv, dst, "left")
+    kinds = dict(vertices.dtypes)
+    if not all(kinds[a] in _NARROW for a in attrs):
+        salts = degree(edges, src, dst).select("id", skew.n_salts(F.col("degree")).alias("_salts")).where("_salts > 1")
+        return skew.salted_join(skew.salted_join(edges, sv, src, salts), dv, dst, salts)
     if hubs is None:
         hubs = skew.hot_keys(degree(edges, src, dst), "id", "degree")
     hot_s = skew.hot_lookup(sv, src, hubs.select(F.col("id").alias(src)))

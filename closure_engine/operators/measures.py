@@ -8,6 +8,8 @@ Definitions on the simple undirected graph, degree d(v), T(v) triangles on v:
 * average     = sum local(v) / #vertices    (vertices with d < 2 count as 0)
 
 An empty graph (no triplet, no vertex) gives NaN, never a division error.
+``triplets`` is a ``decimal(38,0)`` everywhere, as it passes 64 bits at a
+degree of about 4.3 billion; sums of it stay exact.
 All global values come from one final aggregate over the per-vertex table;
 nothing is collected to the driver.
 """
@@ -19,14 +21,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closure_engine.functions.exprs import guarded_ratio, int_div, local_ratio, triplets_of
+from closure_engine.functions.exprs import guarded_ratio, int_div, local_ratio, triplets_of, zero
 from closure_engine.operators.adjacency import degree as _degree
 from closure_engine.operators.clean import canonical_edges
 from closure_engine.operators.triangles import SkewConfig, triangle_counts
+from closure_engine.operators.triangles import triangles_total as _triangles_total
 
 
-def zero():
-    return F.lit(0).cast("bigint")
+def _whole(x):
+    """A sum of decimals as decimal(38,0), 0 for none."""
+    return F.coalesce(x, F.lit(0)).cast("decimal(38,0)")
 
 
 def triplets_per_vertex(degrees: DataFrame) -> DataFrame:
@@ -34,7 +38,7 @@ def triplets_per_vertex(degrees: DataFrame) -> DataFrame:
 
 
 def triplets_total(degrees: DataFrame) -> DataFrame:
-    return triplets_per_vertex(degrees).agg(F.coalesce(F.sum("triplets"), zero()).alias("triplets"))
+    return triplets_per_vertex(degrees).agg(_whole(F.sum("triplets")).alias("triplets"))
 
 
 def _graph_vertices(degrees: DataFrame, vertices: DataFrame | None) -> DataFrame:
@@ -67,7 +71,7 @@ def summarize(local: DataFrame, average_digits: int | None = None) -> DataFrame:
     """One row: ``n_vertices, n_edges, triangles, triplets, transitivity, average``."""
     n = F.count(F.lit(1))
     sum_t = F.coalesce(F.sum("triangles"), zero())
-    sum_p = F.coalesce(F.sum("triplets"), zero())
+    sum_p = _whole(F.sum("triplets"))
     avg = F.when(n > 0, F.sum("local") / n).otherwise(F.lit(float("nan")))
     if average_digits is not None:
         avg = F.round(avg, average_digits)
@@ -81,10 +85,17 @@ def summarize(local: DataFrame, average_digits: int | None = None) -> DataFrame:
     )
 
 
-def transitivity(canonical: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
-    """One row ``triangles, triplets, transitivity`` (the global coefficient)."""
-    s = summarize(local_closure(canonical, degrees=degrees))
-    return s.select("triangles", "triplets", "transitivity")
+def transitivity(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConfig | None = None) -> DataFrame:
+    """One row ``triangles, triplets, transitivity`` (the global coefficient).
+
+    Needs no per-vertex counts: one sum over the closing step and one over the
+    degrees, added up in a single final row.
+    """
+    deg = degrees if degrees is not None else _degree(canonical, "u", "v")
+    found = _triangles_total(canonical, deg, cfg).select("triangles", F.lit(0).cast("decimal(38,0)").alias("triplets"))
+    both = found.unionByName(triplets_total(deg).select(zero().alias("triangles"), "triplets"))
+    t, p = F.sum("triangles"), _whole(F.sum("triplets"))
+    return both.agg(t.alias("triangles"), p.alias("triplets"), guarded_ratio(3 * t, p).alias("transitivity"))
 
 
 def average_closure(canonical: DataFrame, vertices: DataFrame | None = None,

@@ -8,9 +8,11 @@ partial aggregate on the map side, so a hub receiving millions of messages
 is summed inside each task before the shuffle.
 
 ``message_rounds`` chains a bounded number of rounds.  Every round adds a
-join + aggregate to the plan, so the lineage is cut with a reliable
-``checkpoint()`` (in ``spark.checkpoint.dir``) every ``checkpoint_every``
-rounds; a lost executor then recomputes from the last checkpoint only.
+join + aggregate to the plan, so with more than one round the edges are
+checkpointed once and the vertex state every ``checkpoint_every`` rounds
+(reliable ``checkpoint()`` in ``spark.checkpoint.dir``; eager, so building
+the result runs jobs); a lost executor then recomputes from the last
+checkpoint only.  ``checkpoint_every=0`` keeps everything lazy.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from closure_engine.operators.adjacency import degree
 from closure_engine.operators.graph import triplet_view
 from closure_engine.operators.skew import hot_keys
+from closure_engine.operators.triangles import SkewConfig
 from closure_engine.session import ensure_checkpoint_dir
 
 Merge = Callable[[Column], Column]
@@ -57,7 +60,7 @@ def message_rounds(edges: DataFrame, vertices: DataFrame, state: str, rounds: in
                    to_src: Column | None, to_dst: Column | None, merge: Merge = F.sum,
                    update: Callable[[Column, Column], Column] | None = None,
                    src: str = "src", dst: str = "dst", id: str = "id",
-                   checkpoint_every: int = 1) -> DataFrame:
+                   checkpoint_every: int = 1, skew: SkewConfig | None = None) -> DataFrame:
     """Run ``rounds`` rounds of messages; returns ``(id, <state>)`` for every vertex.
 
     Message expressions see ``src_<state>`` / ``dst_<state>``.  ``update(old,
@@ -69,7 +72,9 @@ def message_rounds(edges: DataFrame, vertices: DataFrame, state: str, rounds: in
     cur = vertices.select(id, state)
     if checkpoint_every and rounds > 1:
         ensure_checkpoint_dir(cur.sparkSession)  # the cluster's spark.checkpoint.dir if set
-    hubs = hot_keys(degree(edges, src, dst), "id", "degree").select("id")  # same edges every round
+        edges = edges.checkpoint(eager=True)  # read once, not once a round
+    skew = skew or SkewConfig()
+    hubs = hot_keys(degree(edges, src, dst), "id", "degree", skew.max_hot, skew.min_hot_rows).select("id")  # same edges every round
     for r in range(rounds):
         got = aggregate_messages(edges, cur, to_src, to_dst, merge, "_msg", src, dst, id, hubs=hubs)
         j = cur.join(got, id, "left")

@@ -1,4 +1,4 @@
-"""Hot keys: splitting joins whose key may hold a large share of all rows.
+"""Hot keys: joins whose key may hold a large share of all rows.
 
 A vertex may touch a third of all edges.  Two tools keep such a key from
 landing in one task:
@@ -9,13 +9,15 @@ landing in one task:
   sum to ``total``, at most ``max_hot`` keys can reach it, so the hot side
   that is broadcast has a proven size bound whatever the data size.  The
   threshold is a lazy scalar subquery, so nothing runs on the driver.
-  Rows with a hot key join the broadcast copy in place (no shuffle); all
-  other rows use the ordinary shuffle join.
+  Every row probes the broadcast copy in place; rows that found their key
+  there go through the shuffle join under a spread key that matches
+  nothing, so one branch holds all rows and the input is read once.
 * salting (``n_salts``) for joins where the one-row side is too large to
-  broadcast (vertex out-lists): rows of a hot key are spread over
+  broadcast (vertex out-lists): the rows of every key are spread over
   ``1 + degree // split_rows`` salts by a hash of their other column, and
   the one row is copied once per salt, so each (key, salt) group holds
-  about ``split_rows`` rows at most.
+  about ``split_rows`` rows at most.  The degree travels with the edges, so
+  no table of hot keys decides who is salted.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed defaults: hot keys need at least this many rows, and at most this
-# many hot rows are ever broadcast.
+# many hot rows are ever broadcast.  They choose a route, never a result.
 MIN_HOT_ROWS = 1 << 16
 MAX_HOT_KEYS = 1 << 18
 # salted joins: target rows of one key per (key, salt) group
@@ -47,26 +49,46 @@ def split_join(big: DataFrame, small: DataFrame, key: str, hot_small: DataFrame,
     """``big`` joined to ``small`` (at most one row per ``key``) on ``key``.
 
     ``hot_small`` holds the ``small`` rows of the keys that may be heavy in
-    ``big`` (at most ``MAX_HOT_KEYS`` rows when chosen by :func:`hot_keys`).
-    Every ``big`` row first probes that broadcast table in place; rows that
-    found their hot key are done, the rest take the ordinary shuffle join,
-    which then holds no hot key.
+    ``big`` (at most ``MAX_HOT_KEYS`` rows when chosen by :func:`hot_keys`;
+    their columns should be of bounded width, as they are broadcast).
     """
     if how not in ("inner", "left"):
         raise ValueError("split_join supports inner and left joins")
     values = [c for c in small.columns if c != key]
     hot = hot_small.select(key, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_hot"))
     probed = big.join(F.broadcast(hot), key, "left")
-    big_cols = [F.col(c) for c in big.columns]
-    hot_rows = probed.where(F.col("_hot")).select(*big_cols, *[F.col(f"_hot_{c}").alias(c) for c in values])
-    cold_rows = probed.where(F.col("_hot").isNull()).select(*big_cols).join(small, key, how)
-    return hot_rows.unionByName(cold_rows)
+    is_hot = F.col("_hot").isNotNull()
+    spread = F.xxhash64(*[F.col(c) for c in big.columns])
+    probed = probed.withColumn("_key", F.when(is_hot, spread).otherwise(F.col(key).cast("bigint"))).withColumn(
+        "_side", is_hot.cast("int"))
+    cold = small.select(F.col(key).cast("bigint").alias("_key"), F.lit(0).alias("_side"), F.lit(True).alias("_cold"),
+                        *[F.col(c).alias(f"_cold_{c}") for c in values])
+    joined = probed.join(cold, ["_key", "_side"], "left")
+    if how == "inner":
+        joined = joined.where(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
+    pick = [F.when(is_hot, F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c) for c in values]
+    return joined.select(*[F.col(c) for c in big.columns], *pick)
 
 
 def n_salts(degree: Column, split_rows: int = SPLIT_ROWS) -> Column:
     return (F.lit(1) + F.floor(degree.cast("bigint") / F.lit(split_rows))).cast("int")
 
 
+def salted_join(big: DataFrame, small: DataFrame, key: str, salts: DataFrame) -> DataFrame:
+    """``big`` left-joined to ``small`` (one row per ``key``, of any width) without a broadcast of ``small``.
+
+    ``salts`` (``id, _salts``) lists the keys with more than ``SPLIT_ROWS``
+    rows: at most rows / SPLIT_ROWS of them, two numbers each, which both
+    sides look up through :func:`split_join`.
+    """
+    hot = hot_keys(salts, "id", "_salts", min_rows=2).withColumnRenamed("id", key)
+    wide = salts.withColumnRenamed("id", key)
+    n = F.coalesce("_salts", F.lit(1))
+    left = split_join(big, wide, key, hot, "left").withColumn("_salt", F.pmod(F.xxhash64(*big.columns), n).cast("int")).drop("_salts")
+    right = small.join(wide, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"], "left").drop("_salt").select(*big.columns, *[c for c in small.columns if c != key])
+
+
 def hot_lookup(small: DataFrame, key: str, hot_ids: DataFrame) -> DataFrame:
     """Rows of ``small`` (one per key) whose key is in the bounded ``hot_ids``."""
     return small.join(F.broadcast(hot_ids.select(key)), key, "left_semi")

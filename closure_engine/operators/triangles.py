@@ -7,21 +7,27 @@ Plan (all built-in DataFrame operators):
    out-neighbours of degree >= k, so ``k * k <= 2m``: every out-list is at
    most ``sqrt(2m)`` ids, however skewed the degrees are.  Hubs have large
    *in*-degree and a short out-list.
-2. ``closing``: out-lists are kept in rank order; per oriented edge
-   ``a -> b``, ``array_intersect`` of the part of ``N+(a)`` after ``b`` with
-   ``N+(b)`` gives every ``c`` with ``a -> c`` and ``b -> c``, so each
-   triangle is found exactly once, at the edge joining its two lowest-ranked
-   vertices.  Work is one row per edge; no wedge or vertex-pair row is ever
-   produced.
+2. ``closing``: out-lists are kept in rank order and cut into blocks.  The
+   pairs of blocks of a list are spread over the tasks; from a pair, each
+   edge ``a -> b`` carries the part of the block that comes after ``b``.
+   ``array_intersect`` of that part with ``N+(b)`` gives every ``c`` with
+   ``a -> c`` and ``b -> c``, so each triangle is found exactly once, at the
+   edge joining its two lowest-ranked vertices.
 3. Per-vertex and per-edge counts come from ``size(common)`` for the two
    edge ends plus one row per closing vertex, summed with partial
    (map-side) aggregation.
 
+Cost: the parts shipped to ``b`` add up to the sum of out(a)^2 / 2 ids,
+O(m^1.5) in the worst case, which is the known bound of listing triangles;
+they travel as arrays of at most ``block`` ids.
+
 Skew: a hub may touch a third of all edges.  The degree lookups of the
 orientation are split joins (hub rows read a broadcast hub table whose size
-is bounded by construction), and the join that brings ``N+(b)`` to the
-in-edges of ``b`` is salted by ``b``'s degree.  Every group-by is a partial
-aggregate, so hot ids are combined map-side before any shuffle.
+is bounded by construction).  A long out-list is spread by its block pairs,
+so no input row makes more than ``block * block`` ids.  The join that brings
+``N+(b)`` to the in-edges of ``b`` is salted by ``b``'s degree, which every
+edge carries.  Every group-by is a partial aggregate, so hot ids are
+combined map-side before any shuffle.
 """
 
 from __future__ import annotations
@@ -40,14 +46,17 @@ from closure_engine.operators.adjacency import degree as _degree
 class SkewConfig:
     """Hot-vertex handling (see :mod:`closure_engine.operators.skew`).
 
-    ``max_hot`` bounds the broadcast hub table, ``min_hot_rows`` is the
-    smallest degree that can make a hub, and ``split_rows`` is the number of
-    in-edges of one vertex handled per salted group in the closing join.
+    ``max_hot`` bounds the broadcast hub table of the degree lookups,
+    ``min_hot_rows`` is the smallest degree that can make a hub,
+    ``split_rows`` is the number of in-edges of one vertex handled per salted
+    group in the closing join, and ``block`` is the number of ids of an
+    out-list handled together.
     """
 
     max_hot: int = skew.MAX_HOT_KEYS
     min_hot_rows: int = skew.MIN_HOT_ROWS
     split_rows: int = skew.SPLIT_ROWS
+    block: int = 64
 
 
 def hub_vertices(degrees: DataFrame, cfg: SkewConfig | None = None) -> DataFrame:
@@ -87,7 +96,7 @@ def _shuffle_width(spark) -> int:
 
 
 def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``(a, out)``: out-neighbours of each vertex in rank order, at most sqrt(2m) ids.
+    """``(a, da, out)``: out-neighbours ``(d, id)`` of each vertex in rank order, at most sqrt(2m).
 
     Hash-partitioned by ``a`` into an explicit number of partitions (default:
     the session's initial shuffle width, see ``_shuffle_width``).  AQE would
@@ -96,44 +105,52 @@ def out_lists(oriented: DataFrame, num_partitions: int | None = None) -> DataFra
     """
     n = num_partitions or _shuffle_width(oriented.sparkSession)
     ranked = F.array_sort(F.collect_list(F.struct(F.col("db").alias("d"), F.col("b").alias("id"))))
-    return (oriented.repartition(n, "a").groupBy("a").agg(ranked.alias("_r"))
-            .select("a", F.transform("_r", lambda x: x["id"]).alias("out")))
+    return oriented.repartition(n, "a").groupBy("a").agg(F.max("da").alias("da"), ranked.alias("out"))
+
+
+def _ids(entries):
+    return F.transform(entries, lambda x: x["id"])
+
+
+def list_tails(lists: DataFrame, block: int, num_partitions: int) -> DataFrame:
+    """``(a, b, db, tail)``: for each edge, the ids after ``b`` in ``a``'s list, at most ``block`` a row.
+
+    A list of k blocks gives k (k + 1) / 2 block pairs, which are dealt out
+    by ``(a, pair)`` before any edge is made of them.
+    """
+    last = F.floor((F.size("out") - 1) / F.lit(block)).cast("int")
+    firsts = lists.select("a", "out", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("p"))
+    cut = firsts.select("a", "p", F.slice("out", F.col("p") * block + 1, F.lit(block)).alias("left"),
+                        F.transform(F.sequence("p", "last"), lambda q: _ids(F.slice("out", q * block + 1, F.lit(block)))).alias("rights"))
+    pairs = cut.select("a", "p", "left", F.posexplode("rights").alias("step", "right")).repartition(num_partitions, "a", "p", "step")
+    edges = pairs.select("a", "step", "right", F.posexplode("left").alias("pos", "e"))
+    tail = F.when(F.col("step") == 0, F.slice("right", F.col("pos") + 2, F.lit(block))).otherwise(F.col("right"))
+    return edges.select("a", F.col("e.id").alias("b"), F.col("e.d").alias("db"), tail.alias("tail")).where(F.size("tail") > 0)
 
 
 def closing(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConfig | None = None,
             num_partitions: int | None = None) -> DataFrame:
-    """``(a, b, common)`` for oriented edges: ``common`` closes a triangle with a->b.
-
-    Each out-list row is exploded in place into its edges ``a->b``.  The
-    list is in rank order, so only the ids after ``b`` can close a triangle
-    ``a < b < c`` (in rank): each edge carries just that tail of ``N+(a)`` (half the
-    list on average; edges with an empty tail are dropped), then meets
-    ``N+(b)`` on ``(b, salt)``.  A hub ``b`` (from the bounded broadcast hub
-    table) has ``1 + degree // split_rows`` salts: its in-edges are spread
-    over that many groups by a hash of ``a`` and its (short) out-list is
-    copied once per salt; every other vertex has the single salt 0.
+    """``(a, b, common)``: the vertices ``common`` close a triangle with the oriented edge a->b.
+
+    An edge has a row for each block of ``a``'s list that holds such a
+    vertex.  The parts of ``a``'s list meet ``N+(b)`` on ``(b, salt)``:
+    ``b`` has ``1 + degree // split_rows`` salts, its in-edges are spread over
+    that many groups by a hash of ``a``, and its out-list is copied once per
+    salt.
     """
     cfg = cfg or SkewConfig()
     deg = degrees if degrees is not None else _degree(canonical, "u", "v")
-    hubs = hub_vertices(deg, cfg)
-    lists = out_lists(orient(canonical, deg, cfg, hubs), num_partitions)
-    salts = F.broadcast(hubs.select(
-        F.col("id").alias("b"), skew.n_salts(F.col("degree"), cfg.split_rows).alias("n_salt")))
-    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
-    rest = F.size("out") - F.col("pos") - F.lit(1)
-    edges = (lists.select("a", "out", F.posexplode("out").alias("pos", "b"))
-             .where(rest > 0)
-             .select("a", "b", F.slice("out", F.col("pos") + 2, rest).alias("tail_a"))
-             .join(salts, "b", "left")
-             .select("a", "b", "tail_a", F.pmod(F.xxhash64("a"), n_salt).cast("int").alias("salt")))
-    list_b = (lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
-              .join(salts, "b", "left")
-              .select("b", "out_b", F.explode(F.sequence(F.lit(0), n_salt - 1)).alias("salt")))
+    n = num_partitions or _shuffle_width(canonical.sparkSession)
+    lists = out_lists(orient(canonical, deg, cfg), n)
+    edges = list_tails(lists, cfg.block, n).select(
+        "a", "b", "tail", F.pmod(F.xxhash64("a"), skew.n_salts(F.col("db"), cfg.split_rows)).cast("int").alias("salt"))
+    list_b = lists.select(F.col("a").alias("b"), _ids("out").alias("out_b"),
+                          F.explode(F.sequence(F.lit(0), skew.n_salts(F.col("da"), cfg.split_rows) - 1)).alias("salt"))
     # Sort-merge, never broadcast: the planner sizes the edge side from the
     # out-list stage *before* the explode, which underestimates it by the
     # mean tail length, so an automatic broadcast here would be unbounded.
     return (edges.join(list_b.hint("merge"), ["b", "salt"])
-            .select("a", "b", F.array_intersect("tail_a", "out_b").alias("common"))
+            .select("a", "b", F.array_intersect("tail", "out_b").alias("common"))
             .where(F.size("common") > 0))
 
 

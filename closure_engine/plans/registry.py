@@ -17,7 +17,7 @@ from closure_engine.operators import compat
 from closure_engine.operators.adjacency import degree, neighbour_list, neighbour_set
 from closure_engine.operators.clean import canonical_edges, drop_exact_duplicates, drop_loops
 from closure_engine.operators.graph import join_vertices, triplet_view, vertices_from_edges, with_vertices
-from closure_engine.operators.measures import closure, local_closure, summarize, triplets_per_vertex
+from closure_engine.operators.measures import closure, local_closure, summarize, transitivity, triplets_per_vertex, triplets_total
 from closure_engine.operators.messages import aggregate_messages, message_rounds
 from closure_engine.operators.triangles import (
     common_neighbour_counts,
@@ -49,6 +49,11 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def _long_triplets(df: DataFrame) -> DataFrame:
+    """The exact decimal ``triplets`` as bigint, which is wide enough for the given tables."""
+    return df.withColumn("triplets", F.col("triplets").cast("bigint"))
+
+
 def _k(spark, sf_dir):
     return raw_edges(spark, sf_dir, "K")
 
@@ -65,17 +70,19 @@ K = sql_prefix("K")
 @register("edge_lines_parse", f"SELECT src, dst, 1 AS attr FROM ({RAW_SQL['K']})")
 def q_edge_lines_parse(spark, sf_dir):
     """Each line item rendered as a text line (varying separators, an ignored
-    third column), each followed by a comment or blank line; then parsed."""
+    third column, white space before some lines), each followed by a comment,
+    a line of white space or a blank line; then parsed."""
     return parse_edge_lines(_rendered_lines(spark, sf_dir))
 
 
 def _rendered_lines(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     sep = F.element_at(F.array(F.lit(" "), F.lit("\t"), F.lit("  \t ")), (F.pmod("l_linenumber", F.lit(3)) + 1).cast("int"))
-    data = F.concat_ws("", F.col("l_partkey").cast("string"), sep, F.col("l_suppkey").cast("string"),
-                       sep, F.col("l_linenumber").cast("string"))
-    extra = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("# order "), F.col("l_orderkey").cast("string"))) \
-             .otherwise(F.lit(""))
+    lead = F.element_at(F.array(F.lit(""), F.lit("\t"), F.lit(" \t\x0b ")), (F.pmod("l_orderkey", F.lit(3)) + 1).cast("int"))
+    data = F.concat_ws("", lead, F.col("l_partkey").cast("string"), sep, F.col("l_suppkey").cast("string"),
+                       sep, F.col("l_linenumber").cast("string"), lead)
+    extra = F.when(F.col("l_linenumber") == 1, F.concat(lead, F.lit("# order "), F.col("l_orderkey").cast("string"))) \
+             .otherwise(lead)
     return li.select(F.explode(F.array(data, extra)).alias("value"))
 
 
@@ -233,25 +240,24 @@ def q_triangles_total(spark, sf_dir):
 
 @register("triplets_per_vertex", K + "SELECT id, triplets FROM lc")
 def q_triplets_per_vertex(spark, sf_dir):
-    return triplets_per_vertex(degree(_kc(spark, sf_dir), "u", "v"))
+    return _long_triplets(triplets_per_vertex(degree(_kc(spark, sf_dir), "u", "v")))
 
 
 @register("triplets_total", K + "SELECT CAST(sum(triplets) AS BIGINT) AS triplets FROM lc")
 def q_triplets_total(spark, sf_dir):
-    from closure_engine.operators.measures import triplets_total
-    return triplets_total(degree(_kc(spark, sf_dir), "u", "v"))
+    return _long_triplets(triplets_total(degree(_kc(spark, sf_dir), "u", "v")))
 
 
 @register("local_closure", K + "SELECT id, degree, triangles, triplets, local FROM lcl")
 def q_local_closure(spark, sf_dir):
-    return local_closure(_kc(spark, sf_dir))
+    return _long_triplets(local_closure(_kc(spark, sf_dir)))
 
 
 @register("transitivity", K + """SELECT CAST(sum(triangles) // 3 AS BIGINT) AS triangles,
        CAST(sum(triplets) AS BIGINT) AS triplets,
        sum(triangles)::DOUBLE / sum(triplets)::DOUBLE AS transitivity FROM lc""")
 def q_transitivity(spark, sf_dir):
-    return summarize(local_closure(_kc(spark, sf_dir))).select("triangles", "triplets", "transitivity")
+    return _long_triplets(transitivity(_kc(spark, sf_dir)))
 
 
 @register("average_closure", K + f"""SELECT count(*) AS n_vertices,
@@ -269,19 +275,33 @@ def _summary_sql(graph: str) -> str:
 
 @register("closure_summary", _summary_sql("K"))
 def q_closure_summary(spark, sf_dir):
-    return closure(_k(spark, sf_dir), average_digits=AVG_DIGITS).summary
+    return _long_triplets(closure(_k(spark, sf_dir), average_digits=AVG_DIGITS).summary)
 
 
 @register("closure_summary_bipartite", _summary_sql("B"))
 def q_closure_summary_bipartite(spark, sf_dir):
-    return closure(raw_edges(spark, sf_dir, "B"), average_digits=AVG_DIGITS).summary
+    return _long_triplets(closure(raw_edges(spark, sf_dir, "B"), average_digits=AVG_DIGITS).summary)
+
+
+@register("closure_declared_vertices", sql_prefix("B") + f""", dv AS (SELECT c_custkey AS id FROM customer UNION SELECT id FROM d),
+pv AS (SELECT dv.id, coalesce(lcl.degree, 0) AS degree, coalesce(lcl.triplets, 0) AS triplets, coalesce(lcl.local, 0.0::DOUBLE) AS local
+       FROM dv LEFT JOIN lcl ON lcl.id = dv.id)
+SELECT id, CAST(degree AS BIGINT) AS degree, CAST(triplets AS BIGINT) AS triplets, local,
+       (SELECT count(*) FROM pv) AS n_vertices, (SELECT round(sum(local) / count(*), {AVG_DIGITS}) FROM pv) AS average FROM pv""")
+def q_closure_declared_vertices(spark, sf_dir):
+    """Customers without an order are isolated vertices: degree and local 0, and they count in the average."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    found = closure(raw_edges(spark, sf_dir, "B"), vertices=customers, average_digits=AVG_DIGITS)
+    one = found.summary.select(F.lit(0).alias("_k"), "n_vertices", "average")  # a single row
+    rows = _long_triplets(found.per_vertex).select("id", "degree", "triplets", "local", F.lit(0).alias("_k"))
+    return rows.join(F.broadcast(one), "_k").drop("_k")
 
 
 @register("closure_report", K + f""", s AS (SELECT sum(triangles)::DOUBLE / sum(triplets)::DOUBLE AS transitivity,
        round(sum(local) / count(*), {AVG_DIGITS}) AS average FROM lcl)
 SELECT id, degree, triangles, triplets, local, s.transitivity, s.average FROM lcl, s""")
 def q_closure_report(spark, sf_dir):
-    return closure(_k(spark, sf_dir), average_digits=AVG_DIGITS).report()
+    return _long_triplets(closure(_k(spark, sf_dir), average_digits=AVG_DIGITS).report())
 
 
 # ------------------------------------------------------------ messages (E)
@@ -308,6 +328,11 @@ def q_message_rounds_walks(spark, sf_dir):
 
 # ------------------------------------------------------------- compat (L)
 
+_COMPAT_ROWS = "SELECT id, degree, triangles, triplets, local FROM pl"
+_COMPAT_SUMMARY = f"""SELECT count(*) AS n_vertices, CAST(sum(triangles) AS BIGINT) AS triangles, CAST(sum(triplets) AS BIGINT) AS triplets,
+       (3 * sum(triangles))::DOUBLE / sum(triplets)::DOUBLE AS transitivity,
+       round(sum(local) / count(*), {AVG_DIGITS}) AS average FROM pl"""
+
 _V20_SQL = f"""WITH raw AS ({RAW_SQL['K']}),
 e1 AS (SELECT DISTINCT src, dst FROM raw WHERE src <> dst),
 e AS (SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM e1),
@@ -320,34 +345,40 @@ cn AS (SELECT e.u, e.v, coalesce(k.n, 0) AS n_common FROM e LEFT JOIN
 ev AS (SELECT e1.src, e1.dst, cn.n_common FROM e1 JOIN cn ON cn.u = least(e1.src, e1.dst) AND cn.v = greatest(e1.src, e1.dst)),
 x AS (SELECT id, sum(n_common) AS x FROM (SELECT src AS id, n_common FROM ev UNION ALL SELECT dst, n_common FROM ev) GROUP BY id),
 d1 AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e1 UNION ALL SELECT dst FROM e1) GROUP BY id),
-pv AS (SELECT d1.id, CAST(coalesce(x.x, 0) // 2 AS BIGINT) AS triangles, d1.degree * (d1.degree - 1) // 2 AS triplets
+pv AS (SELECT d1.id, d1.degree, CAST(coalesce(x.x, 0) // 2 AS BIGINT) AS triangles, d1.degree * (d1.degree - 1) // 2 AS triplets
        FROM d1 LEFT JOIN x ON x.id = d1.id),
 pl AS (SELECT *, CASE WHEN triplets = 0 THEN 0.0::DOUBLE ELSE triangles::DOUBLE / triplets END AS local FROM pv)
-SELECT count(*) AS n_vertices, CAST(sum(triangles) AS BIGINT) AS triangles, CAST(sum(triplets) AS BIGINT) AS triplets,
-       (3 * sum(triangles))::DOUBLE / sum(triplets)::DOUBLE AS transitivity,
-       round(sum(local) / count(*), {AVG_DIGITS}) AS average FROM pl"""
+"""
 
 
-@register("compat_v20_summary", _V20_SQL)
+@register("compat_v20_summary", _V20_SQL + _COMPAT_SUMMARY)
 def q_compat_v20(spark, sf_dir):
-    return compat.v20_summary(_k(spark, sf_dir))
+    return _long_triplets(compat.v20_summary(_k(spark, sf_dir)))
+
+
+@register("compat_v20_per_vertex", _V20_SQL + _COMPAT_ROWS)
+def q_compat_v20_per_vertex(spark, sf_dir):
+    return _long_triplets(compat.v20_per_vertex(_k(spark, sf_dir)))
 
 
 _V25_SQL = f"""WITH raw AS ({RAW_SQL['K']}),
 dr AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM raw UNION ALL SELECT dst FROM raw) GROUP BY id),
 df AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM raw WHERE src <> dst
                                            UNION ALL SELECT dst FROM raw WHERE src <> dst) GROUP BY id),
-pv AS (SELECT dr.id, CASE WHEN df.degree IS NULL THEN dr.degree ELSE df.degree // 2 END AS triangles,
+pv AS (SELECT dr.id, dr.degree, CASE WHEN df.degree IS NULL THEN dr.degree ELSE df.degree // 2 END AS triangles,
               dr.degree * (dr.degree - 1) // 2 AS triplets FROM dr LEFT JOIN df ON df.id = dr.id),
 pl AS (SELECT *, CASE WHEN triplets = 0 THEN 0.0::DOUBLE ELSE triangles::DOUBLE / triplets END AS local FROM pv)
-SELECT count(*) AS n_vertices, CAST(sum(triangles) AS BIGINT) AS triangles, CAST(sum(triplets) AS BIGINT) AS triplets,
-       (3 * sum(triangles))::DOUBLE / sum(triplets)::DOUBLE AS transitivity,
-       round(sum(local) / count(*), {AVG_DIGITS}) AS average FROM pl"""
+"""
 
 
-@register("compat_v25_summary", _V25_SQL)
+@register("compat_v25_summary", _V25_SQL + _COMPAT_SUMMARY)
 def q_compat_v25(spark, sf_dir):
-    return compat.v25_summary(_k(spark, sf_dir))
+    return _long_triplets(compat.v25_summary(_k(spark, sf_dir)))
+
+
+@register("compat_v25_per_vertex", _V25_SQL + _COMPAT_ROWS)
+def q_compat_v25_per_vertex(spark, sf_dir):
+    return _long_triplets(compat.v25_per_vertex(_k(spark, sf_dir)))
 
 
 _V11_SQL = K + """, loops AS (SELECT DISTINCT src AS id FROM raw WHERE src = dst),
@@ -367,4 +398,15 @@ SELECT CAST(sum(triangles) AS BIGINT) AS triangles, CAST(sum(triplets) AS BIGINT
 
 @register("compat_v11_transitivity", _V11_SQL)
 def q_compat_v11(spark, sf_dir):
-    return compat.v11_transitivity(_k(spark, sf_dir))
+    return _long_triplets(compat.v11_transitivity(_k(spark, sf_dir)))
+
+
+@register("common_neighbours_multiset", K + """, m AS (SELECT least(src, dst) AS u, greatest(src, dst) AS v, count(*) AS n
+       FROM raw WHERE src <> dst GROUP BY 1, 2),
+tm AS (SELECT t.a, t.b, t.c, ab.n AS ab, ac.n AS ac, bc.n AS bc FROM t JOIN m ab ON ab.u = t.a AND ab.v = t.b
+       JOIN m ac ON ac.u = t.a AND ac.v = t.c JOIN m bc ON bc.u = t.b AND bc.v = t.c)
+SELECT e.u, e.v, CAST(coalesce(k.n, 0) AS BIGINT) AS n_common FROM e LEFT JOIN
+  (SELECT u, v, sum(n) AS n FROM (SELECT a AS u, b AS v, least(ac, bc) AS n FROM tm UNION ALL SELECT a, c, least(ab, bc) FROM tm
+                                  UNION ALL SELECT b, c, least(ab, ac) FROM tm) GROUP BY u, v) k ON e.u = k.u AND e.v = k.v""")
+def q_common_neighbours_multiset(spark, sf_dir):
+    return compat.common_neighbours_multiset(_k(spark, sf_dir))

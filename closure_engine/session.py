@@ -7,6 +7,8 @@ fills in settings the caller (or the cluster) left unset.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,16 +39,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting one only if unset.
+    """Return the reliable checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh temporary folder is
-    created for this process.
+    ``spark.checkpoint.dir`` names a folder that all executors share and is
+    used as is.  Where it is unset, a local session (tests) gets a fresh
+    temporary folder that is removed when the process ends; on a cluster that
+    is an error, as a temporary folder is on one machine only.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="closure-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

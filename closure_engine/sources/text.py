@@ -1,10 +1,11 @@
 """Text edge lists: one edge per line, ``src dst [ignored ...]``.
 
-Lines that are blank or start with ``#`` are skipped; the first two tokens
-(split on a regex, whitespace by default) become ``bigint`` ids and every
-edge carries ``attr = 1``.  In ``strict`` mode a line with fewer than two
-tokens or a non-integer id fails the job (as a hand-rolled ``toLong``
-would); ``permissive`` drops such lines instead.
+White space at both ends of a line is ignored, whatever its kind.  Lines
+that are blank or start with ``#`` are skipped; the first two tokens (split
+on a regex, whitespace by default) become ``bigint`` ids and every edge
+carries ``attr = 1``.  In ``strict`` mode a line with fewer than two tokens
+or a non-integer id fails the job (as a hand-rolled ``toLong`` would);
+``permissive`` drops such lines, and ``rejected_edge_lines`` returns them.
 """
 
 from __future__ import annotations
@@ -15,21 +16,32 @@ from pyspark.sql import functions as F
 EDGE_SCHEMA = "src bigint, dst bigint, attr int"
 
 
+def _token_rows(lines: DataFrame, column: str, sep_regex: str) -> DataFrame:
+    """``_line, src, dst`` of the lines that should hold an edge; an id that is none is null."""
+    text = F.regexp_replace(F.col(column), r"^\s+|\s+$", "")
+    kept = lines.select(text.alias("_line")).where((F.col("_line") != "") & ~F.col("_line").startswith("#"))
+    parts = kept.select("_line", F.split("_line", sep_regex).alias("_p"))
+    return parts.select("_line", F.expr("try_cast(get(_p, 0) AS BIGINT)").alias("src"),
+                        F.expr("try_cast(get(_p, 1) AS BIGINT)").alias("dst"))
+
+
+def rejected_edge_lines(lines: DataFrame, column: str = "value", sep_regex: str = r"\s+") -> DataFrame:
+    """The lines, stripped, that ``permissive`` mode drops: fewer than two tokens or a non-integer id (column ``line``)."""
+    rows = _token_rows(lines, column, sep_regex)
+    return rows.where(F.col("src").isNull() | F.col("dst").isNull()).select(F.col("_line").alias("line"))
+
+
 def parse_edge_lines(lines: DataFrame, column: str = "value", sep_regex: str = r"\s+",
                      mode: str = "strict") -> DataFrame:
     if mode not in ("strict", "permissive"):
         raise ValueError(f"mode must be 'strict' or 'permissive', not {mode!r}")
-    text = F.trim(F.col(column))
-    kept = lines.select(text.alias("_line")).where((F.col("_line") != "") & ~F.col("_line").startswith("#"))
-    parts = kept.select("_line", F.split("_line", sep_regex).alias("_p"))
-    src = F.expr("try_cast(get(_p, 0) AS BIGINT)")
-    dst = F.expr("try_cast(get(_p, 1) AS BIGINT)")
+    rows = _token_rows(lines, column, sep_regex)
+    src, dst = F.col("src"), F.col("dst")
     if mode == "permissive":
-        return (parts.select(src.alias("src"), dst.alias("dst"), F.lit(1).alias("attr"))
-                .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+        return rows.where(src.isNotNull() & dst.isNotNull()).select("src", "dst", F.lit(1).alias("attr"))
     # coalesce only evaluates raise_error when the id did not parse
     bad = F.concat(F.lit("malformed edge line: "), F.col("_line"))
-    return parts.select(
+    return rows.select(
         F.coalesce(src, F.raise_error(bad).cast("bigint")).alias("src"),
         F.coalesce(dst, F.raise_error(bad).cast("bigint")).alias("dst"),
         F.lit(1).alias("attr"),
