@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> dict:
                                args.partitions)
     summary = write_closure(result, args.out) if args.out else result.summary
     row = summary.collect()[0].asDict()
+    row["triplets"] = int(row["triplets"])
     print(json.dumps(row))
     return row
 

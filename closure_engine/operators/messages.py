@@ -56,23 +56,24 @@ def aggregate_messages(edges: DataFrame, vertices: DataFrame | None, to_src: Col
     return msgs.groupBy(id).agg(*aggs)
 
 
-def message_rounds(edges: DataFrame, vertices: DataFrame, state: str, rounds: int,
+def message_rounds(edges: DataFrame, vertices: DataFrame | Callable[[DataFrame], DataFrame], state: str, rounds: int,
                    to_src: Column | None, to_dst: Column | None, merge: Merge = F.sum,
                    update: Callable[[Column, Column], Column] | None = None,
                    src: str = "src", dst: str = "dst", id: str = "id",
                    checkpoint_every: int = 1, skew: SkewConfig | None = None) -> DataFrame:
     """Run ``rounds`` rounds of messages; returns ``(id, <state>)`` for every vertex.
 
-    Message expressions see ``src_<state>`` / ``dst_<state>``.  ``update(old,
+    ``vertices`` may be a function of the edges, which then sees the
+    checkpointed ones.  Message expressions see ``src_<state>`` / ``dst_<state>``.  ``update(old,
     msg)`` gives the new state (default: the merged message, or the old
     state when a vertex got no message).
     """
     if rounds < 0:
         raise ValueError("rounds must be >= 0")
-    cur = vertices.select(id, state)
     if checkpoint_every and rounds > 1:
-        ensure_checkpoint_dir(cur.sparkSession)  # the cluster's spark.checkpoint.dir if set
+        ensure_checkpoint_dir(edges.sparkSession)  # the cluster's spark.checkpoint.dir if set
         edges = edges.checkpoint(eager=True)  # read once, not once a round
+    cur = (vertices(edges) if callable(vertices) else vertices).select(id, state)
     skew = skew or SkewConfig()
     hubs = hot_keys(degree(edges, src, dst), "id", "degree", skew.max_hot, skew.min_hot_rows).select("id")  # same edges every round
     for r in range(rounds):

@@ -320,9 +320,10 @@ def q_neighbour_value_sum(spark, sf_dir):
 @register("message_rounds_walks", K + """SELECT h.id, CAST(sum(d.degree) AS BIGINT) AS walks2
 FROM (SELECT u AS id, v AS nb FROM e UNION ALL SELECT v, u FROM e) h JOIN d ON d.id = h.nb GROUP BY h.id""")
 def q_message_rounds_walks(spark, sf_dir):
-    canon = _kc(spark, sf_dir)
-    start = vertices_from_edges(canon, default=1, src="u", dst="v", attr="walks2", attr_type="bigint")
-    return message_rounds(canon, start, "walks2", 2, to_src=F.col("v_walks2"), to_dst=F.col("u_walks2"),
+    def start(edges):
+        return vertices_from_edges(edges, default=1, src="u", dst="v", attr="walks2", attr_type="bigint")
+
+    return message_rounds(_kc(spark, sf_dir), start, "walks2", 2, to_src=F.col("v_walks2"), to_dst=F.col("u_walks2"),
                           merge=F.sum, src="u", dst="v")
 
 

@@ -163,6 +163,44 @@ def test_hub_degree_triplets_exact(spark):
     assert got == [46342 * 46341 // 2, 3_000_000_000 * 2_999_999_999 // 2, 0, 0]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_triplets_beyond_64_bits(spark, ansi):
+    from closure_engine.operators.measures import summarize, triplets_total
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        d = 4_000_000_000
+        deg = spark.createDataFrame([(i, d) for i in range(5)] + [(9, 300_000_000_000)], "id bigint, degree bigint")
+        want = 5 * (d * (d - 1) // 2) + 300_000_000_000 * 299_999_999_999 // 2
+        assert triplets_total(deg).collect()[0].triplets == want
+        local = deg.select("id", "degree", F.lit(7).cast("bigint").alias("triangles"), triplets_of("degree").alias("triplets"),
+                           F.lit(0.0).alias("local"))
+        s = summarize(local).collect()[0]
+        assert s.triplets == want and s.transitivity == 42.0 / float(want)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_text_ids_are_compared_as_numbers(spark):
+    from closure_engine.operators.compat import v11_transitivity, v20_per_vertex, v25_per_vertex
+
+    raw = [("1", "01"), ("10", "9"), ("9", "10"), (None, "3"), ("3", "9"), ("10", "3")]
+    text = spark.createDataFrame(raw, "src string, dst string")
+    numbers = edges_df(spark, [(1, 1), (10, 9), (9, 10), (3, 9), (10, 3)])
+    assert sorted(tuple(r) for r in canonical_edges(text).collect()) == [(3, 9), (3, 10), (9, 10)]
+    for f in (v20_per_vertex, v25_per_vertex, v11_transitivity):
+        assert sorted(map(tuple, f(text).collect())) == sorted(map(tuple, f(numbers).collect()))
+
+
+def test_multiset_intersection_counts_repeats(spark):
+    from closure_engine.operators.compat import common_neighbours_multiset
+
+    raw = edges_df(spark, [(1, 2), (1, 3), (1, 3), (3, 1), (2, 3), (3, 2), (2, 2), (3, 4), (4, 3)])
+    got = {(r.u, r.v): r.n_common for r in common_neighbours_multiset(raw).collect()}
+    assert got == {(1, 2): 2, (1, 3): 1, (2, 3): 1, (3, 4): 0}
+
+
 def test_hub_star_plus_triangles(spark):
     # one hub adjacent to everything: skewed degree, out-lists stay short
     pairs = [(0, i) for i in range(1, 200)] + [(i, i + 1) for i in range(1, 199, 2)]
@@ -181,10 +219,10 @@ def test_orientation_bounds_out_lists(spark):
     assert longest * longest <= 2 * m
 
 
-@pytest.mark.parametrize("max_hot,min_rows,split_rows", [(1000, 1, 1), (3, 2, 2), (50, 4, 3)])
-def test_hub_split_and_salting_paths_are_exact(spark, max_hot, min_rows, split_rows):
+@pytest.mark.parametrize("max_hot,min_rows,split_rows,block", [(1000, 1, 1, 1), (3, 2, 2, 3), (50, 4, 3, 64)])
+def test_hub_split_and_salting_paths_are_exact(spark, max_hot, min_rows, split_rows, block):
     from closure_engine import SkewConfig, hub_vertices
-    cfg = SkewConfig(max_hot=max_hot, min_hot_rows=min_rows, split_rows=split_rows)
+    cfg = SkewConfig(max_hot=max_hot, min_hot_rows=min_rows, split_rows=split_rows, block=block)
     pairs = gnp(40, 0.3, 17) + [(0, i) for i in range(1, 40)] + [(1, i) for i in range(2, 40, 2)]
     per, triangles, glob, avg, _ = brute(pairs)
     c = closure(edges_df(spark, pairs), cfg=cfg)

@@ -38,3 +38,24 @@ def test_salts(spark):
     df = spark.createDataFrame([(0,), (65535,), (65536,), (3 * 65536 + 5,)], "d bigint")
     got = [r.s for r in df.select(skew.n_salts(F.col("d")).alias("s")).collect()]
     assert got == [1, 1, 2, 4]
+
+
+def test_salted_join_equals_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SPLIT_ROWS", 20)
+    rows = [(0, i) for i in range(300)] + [(k % 40, 1000 + k) for k in range(200)]
+    big = spark.createDataFrame(rows, "k bigint, x bigint")
+    small = spark.createDataFrame([(k, "v" * k) for k in range(35)], "k bigint, label string")
+    salts = big.groupBy(F.col("k").alias("id")).agg(skew.n_salts(F.count("*"), 20).alias("_salts")).where("_salts > 1")
+    assert salts.count() == 1
+    got = skew.salted_join(big, small, "k", salts)
+    want = big.join(small, "k", "left")
+    assert sorted(map(tuple, got.select("k", "x", "label").collect()), key=repr) == sorted(map(tuple, want.select("k", "x", "label").collect()), key=repr)
+
+
+def test_wide_attributes_are_not_broadcast(spark):
+    from closure_engine import triplet_view
+
+    edges = spark.createDataFrame([(0, i) for i in range(1, 30)], "src bigint, dst bigint")
+    labels = spark.createDataFrame([(i, f"name {i}") for i in range(25)], "id bigint, label string")
+    got = {(r.src, r.dst): (r.src_label, r.dst_label) for r in triplet_view(edges, labels).collect()}
+    assert len(got) == 29 and got[0, 3] == ("name 0", "name 3") and got[0, 27] == ("name 0", None)

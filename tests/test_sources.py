@@ -7,6 +7,8 @@ import pytest
 from conftest import edges_df
 
 from closure_engine import closure, edges_from_columns, parse_edge_lines, read_edge_text
+from closure_engine.session import ensure_checkpoint_dir
+from closure_engine.sources.text import rejected_edge_lines
 
 F2_TEXT = """# dirty graph: reciprocal, repeat, loops, leaf, in-star
 1 2
@@ -65,6 +67,18 @@ def test_permissive_mode_drops_bad_lines(spark):
     assert rows == [(1, 2)]
 
 
+def test_white_space_of_any_kind_around_lines(spark):
+    lines = spark.createDataFrame([("\t1 2",), ("3 4\t\r",), (" \t\x0b# c",), ("\t",), (" \x0c ",), ("# 1 2",)], "value string")
+    for mode in ("strict", "permissive"):
+        assert sorted((r.src, r.dst) for r in parse_edge_lines(lines, mode=mode).collect()) == [(1, 2), (3, 4)]
+    assert rejected_edge_lines(lines).count() == 0
+
+
+def test_rejected_lines_can_be_seen(spark):
+    lines = spark.createDataFrame([("1 2",), ("3 x",), ("\t7",), ("# c",), ("",), ("4,5",)], "value string")
+    assert sorted(r.line for r in rejected_edge_lines(lines).collect()) == ["3 x", "4,5", "7"]
+
+
 def test_custom_separator(spark):
     lines = spark.createDataFrame([("1,2",), ("2,3,9",)], "value string")
     rows = sorted((r.src, r.dst) for r in parse_edge_lines(lines, sep_regex=",").collect())
@@ -119,3 +133,24 @@ def test_command_line(spark, capsys):
     assert (row["triangles"], row["triplets"], row["transitivity"]) == (1, 6, 0.5)
     assert '"transitivity": 0.5' in capsys.readouterr().out
     assert spark.read.parquet(out + "/res/per_vertex").count() == 7
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
