@@ -15,7 +15,7 @@ are the sources' shares of all text (or given weights).  A first pass adds up
 the bytes of every (block, source); running sums over the blocks tell by how
 much the blocks before left each source behind its target, and the block's
 counters start from that: deficits cross partitions without one partition
-waiting for another.  Only a document at the front of a queue is encoded.
+waiting for another.  Only the documents next in the queues are encoded.
 
 The last tokens of a block, fewer than a window, fill sequences whose lengths
 are powers of two, so nothing is padded.  A null text is empty: its only token
@@ -40,22 +40,31 @@ from .token_counts import id_encoder, worker_encoder
 
 #: Sequence numbers: the block in the upper bits, the place in the block in the lower ones.
 _BLOCK_BITS = 32
+#: Characters of a queue's documents that are encoded at once.
+_AHEAD = 1 << 17
 
 
 class _Queue:
-    """The documents of one source: the front one as ids, the others as rows."""
+    """The documents of one source: the next ones as ids, the others as rows."""
 
     def __init__(self, encode, end: int):
         self.rows: deque = deque()
         self.encode, self.end = encode, np.array([end], "<u4")
+        self.next: deque = deque()
         self.ids, self.id, self.at = None, None, 0
 
     def ready(self) -> bool:
         if self.ids is None or self.at == len(self.ids):
-            if not self.rows:
-                return False
-            self.id, text = self.rows.popleft()
-            self.ids, self.at = np.concatenate((np.frombuffer(self.encode([text])[0], "<u4"), self.end)), 0
+            if not self.next:
+                if not self.rows:
+                    return False
+                batch, size = [], 0
+                while self.rows and size < _AHEAD:
+                    batch.append(self.rows.popleft())
+                    size += len(batch[-1][1])
+                self.next.extend(zip((i for i, _ in batch), self.encode([t for _, t in batch])))
+            self.id, ids = self.next.popleft()
+            self.ids, self.at = np.concatenate((np.frombuffer(ids, "<u4"), self.end)), 0
         return True
 
     def take(self, most: int) -> tuple:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,12 +29,14 @@ from pyspark.sql import DataFrame
 
 from .common import byte_slices, column, string_buffers
 
-#: Letters of Latin scripts, which no part of a pre-tokenizer's pattern divides.
-_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+#: Letters of Latin scripts, which no part of a pre-tokenizer's pattern divides, then ASCII marks other than the
+#: apostrophe, which are a piece of their own.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LETTERS = re.compile(f"[{_LATIN}]+").fullmatch
+_PLAIN = re.compile(f"([{_LATIN}]+)([!-&(-/:-@\\[-`{{-~]*)").fullmatch
 #: Byte-level tokenizers write each byte as a visible character: visible Latin-1 as it is, the others from U+0100 on.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(x for x in range(0x100) if x not in _VISIBLE)}
-_MARKS = {",", ".", "!", "?", ";", ":"}
 _SAFE = re.compile(r"(?<=\S)(?= )")
 #: Parts longer than this are encoded but not remembered.
 _LONG = 96
@@ -50,16 +53,22 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def _shown(text: str) -> str:
+    """A text's bytes in the visible characters of byte-level tokenizers."""
+    return text.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
 class PartEncoder:
     """Encodes texts part by part with a memo of at most ``memo`` parts.
 
     ``of_encoding`` and ``of_tokens`` make what is remembered of a part from the
-    library's answer, ``total`` adds what is remembered of a text's parts.
+    library's answer, ``total`` and ``+`` add what is remembered of a text's parts.
     """
 
-    def __init__(self, path: str, of_encoding: Callable, of_tokens: Callable, total: Callable, memo: int = 1 << 19):
+    def __init__(self, path: str, of_encoding: Callable, of_tokens: Callable, total: Callable, memo: int = 1 << 20):
         self.tokenizer, self.memo = load_tokenizer(path), memo
         self.of_encoding, self.of_tokens, self.total = of_encoding, of_tokens, total
+        self.marks: dict = {}
         #: Words of plain letters are one piece of a byte-level pre-tokenizer: the library's BPE model takes them as they are.
         self.plain = (self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer)[:40]
                       and not any(_LETTERS(x.content) or x.content == "" for x in self.tokenizer.get_added_tokens_decoder().values()))
@@ -74,67 +83,90 @@ class PartEncoder:
                     del known[x]
         rest = list(new)
         if self.plain:
-            rest = []
+            rest, shown = [], _shown(space)
             for x in new:
-                word = x[:-1] if x[-1:] in _MARKS else x  # a mark after a word is a piece of its own
-                if not _LETTERS(word):
+                value = self._plain(x, known, shown)
+                if value is None and "\n" in x:  # a line break between words is a piece of its own
+                    before, _, after = x.partition("\n")
+                    one, two = self._plain(before, known, shown), self._plain(after, self.first, "")
+                    value = None if one is None or two is None else one + self._marks("\n") + two
+                if value is None:
                     rest.append(x)
-                elif len(word) < len(x):
-                    known[x] = self.total([known[word] if word in known else self._word(space + word), self._word(x[-1])])
                 else:
-                    known[x] = self._word(space + x)
+                    known[x] = value
         if rest:
             found = self.tokenizer.encode_batch_fast([space + x for x in rest], add_special_tokens=False)
             known.update(zip(rest, map(self.of_encoding, found)))
         return [x for x in new if len(x) > _LONG or not x or x[-1].isspace()]
 
-    def _word(self, piece: str):
-        if not piece.isascii():
-            piece = piece.encode().decode("latin-1")
-        return self.of_tokens(self.tokenizer.model.tokenize(piece.translate(_BYTE_CHARS)))
+    def _plain(self, x: str, known: dict, shown: str):
+        """What is remembered of a word and the marks after it; None if ``x`` is something else."""
+        m = _PLAIN(x)
+        if not m:
+            return None
+        word, marks = m.groups()
+        value = known.get(word)
+        if value is None:
+            value = self.of_tokens(self.tokenizer.model.tokenize(shown + (word if word.isascii() else _shown(word))))
+        return value + self._marks(marks) if marks else value
+
+    def _marks(self, marks: str):
+        value = self.marks.get(marks)
+        if value is None:
+            value = self.of_tokens(self.tokenizer.model.tokenize(_shown(marks)))
+            if len(self.marks) < 4096 and len(marks) <= _LONG:
+                self.marks[marks] = value
+        return value
 
     def encode(self, texts: list[str]) -> list:
         """The total of each text."""
-        split = [x.split(" ") for x in texts]
-        start, late = {x[0] for x in split}, set()
-        for parts in split:
-            late.update(parts[1:])
+        start, split, late = [], [], set()
+        for text in texts:
+            parts = text.split(" ")
+            start.append(parts[0])
+            del parts[0]
+            split.append(parts)
+            late.update(parts)
         # What the memos hold may be dropped to make room, so it is settled now what this group needs.
-        start_new, late_new = start.difference(self.first), late.difference(self.later)
+        start_new, late_new = set(start).difference(self.first), late.difference(self.later)
         # A space that follows white space is no boundary.  Parts that show one (empty or ending in white
         # space) are never remembered, so only parts that the memo lacks have to be looked at.
         odd = {x for x in start_new if x[-1:].isspace()}
         odd_late = {x for x in late_new if not x or x[-1].isspace()}
         if odd or odd_late:
             for i, parts in enumerate(split):
-                if parts[0] in odd or not odd_late.isdisjoint(parts[1:]):
-                    parts = _SAFE.split(texts[i])
-                    split[i] = [parts[0], *(x[1:] for x in parts[1:])]
-                    start_new.add(parts[0])
-                    late.update(split[i][1:])
-                    late_new.update(split[i][1:])
+                if start[i] in odd or not odd_late.isdisjoint(parts):
+                    start[i], *parts = _SAFE.split(texts[i])
+                    split[i] = [x[1:] for x in parts]
+                    start_new.add(start[i])
+                    late.update(split[i])
+                    late_new.update(split[i])
             start_new.difference_update(self.first)
             late_new.difference_update(self.later)
         if len(self.later) + len(late_new) > self.memo:
             late_new = late.union(late_new)
         if len(self.first) + len(start_new) > self.memo:
-            start_new = start.union(start_new)
+            start_new = start_new.union(start)
         forget = (self._learn(self.first, start_new, ""), self._learn(self.later, late_new, " "))
         first, later, total = self.first, self.later, self.total
-        out = [total([first[x[0]], *map(later.__getitem__, x[1:])]) for x in split]
+        out = [first[x] + total(map(later.__getitem__, parts)) for x, parts in zip(start, split)]
         for known, keys in zip((first, later), forget):
             for x in keys:
                 known.pop(x, None)
         return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def length_encoder(path: str) -> PartEncoder:
     return PartEncoder(path, len, len, sum)
 
 
 def id_encoder(path: str) -> PartEncoder:
     """Totals are bytes: the ids as little-endian unsigned 32-bit numbers."""
-    return PartEncoder(path, lambda x: np.array(x.ids, "<u4").tobytes(), lambda x: np.array([t.id for t in x], "<u4").tobytes(), b"".join)
+    return PartEncoder(path, lambda x: _packed(x.ids), lambda x: _packed([t.id for t in x]), b"".join)
 
 
 _ENCODERS: dict = {}
