@@ -6,10 +6,9 @@ two partial partitions with the largest spread (largest minus smallest sum) and
 adds them oppositely ordered, the largest sums of one to the smallest of the
 other, so that the spreads cancel; one partition is left in the end.
 
-On Spark: every task differences the groups of one hash bucket (``blocks`` of
-``shards`` groups of similar size are the first partial partitions), which
-leaves one partial partition a bucket; these are differenced again, at most
-``FAN`` in a task, level by level.  What a task holds is bounded by the number
+On Spark: every task differences the groups of one hash bucket, each group
+being a partial partition at first, which leaves one partial partition a
+bucket; these are differenced again, at most ``FAN`` in a task, level by level.  What a task holds is bounded by the number
 of buckets (the cluster's shuffle partitions) and by FAN.
 
 Sizes: UTF-8 bytes plus ``row_bytes``; a null text has none.  Null texts are
@@ -59,14 +58,44 @@ def difference(sums: np.ndarray) -> np.ndarray:
     return where
 
 
+def difference_groups(sizes: np.ndarray, k: int) -> np.ndarray:
+    """The part of ``k`` that each indivisible group goes into.
+
+    A group alone is a partial partition with one sum; its list is only made
+    when it is combined.
+    """
+    heap = [(-int(x), i) for i, x in enumerate(sizes)]
+    heapq.heapify(heap)
+    state: dict[int, np.ndarray] = {}
+    merges: list[tuple[int, int, np.ndarray]] = []
+
+    def sums(i: int) -> np.ndarray:
+        if i in state:
+            return state.pop(i)
+        out = np.zeros(k, np.int64)
+        out[0] = sizes[i]
+        return out
+
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap)[1], heapq.heappop(heap)[1]
+        x, y = sums(a), sums(b)
+        to = np.empty(k, np.int32)
+        to[np.argsort(y, kind="stable")] = np.argsort(-x, kind="stable")
+        x[to] += y
+        state[a] = x
+        merges.append((a, b, to))
+        heapq.heappush(heap, (-int(x.max() - x.min()), a))
+    where = np.tile(np.arange(k, dtype=np.int32), (len(sizes), 1))
+    for a, b, to in reversed(merges):
+        where[b] = where[a][to]
+    return where[:, 0]
+
+
 def _leaf(shards: int):
     def assign(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["bytes", "grp"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        n = -(-len(g) // shards)
-        sums = np.zeros(n * shards, np.int64)
-        sums[:len(g)] = g["bytes"]
         return pd.DataFrame({"grp": g["grp"], "bytes": g["bytes"], "bucket": g["bucket"],
-                             "part": difference(sums.reshape(n, shards)).reshape(-1)[:len(g)]})
+                             "part": difference_groups(g["bytes"].to_numpy(), shards).astype(np.int64)})
     return assign
 
 
