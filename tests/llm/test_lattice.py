@@ -12,7 +12,10 @@ def plain(rows, least=0.95):
     units = {}
     for i, v in rows:
         ok = v and all(x is not None and math.isfinite(x) for x in v) and any(v)
-        units[i] = np.array(v, float) / np.linalg.norm(v) if ok else None
+        units[i] = None
+        if ok:
+            x = np.array(v, float) / max(map(abs, v))
+            units[i] = x / np.linalg.norm(x)
     ids = sorted(units)
     links = {i: {j for j in ids if j != i and units[i] is not None and units[j] is not None and len(units[i]) == len(units[j])
                  and units[i] @ units[j] >= least} for i in ids}

@@ -59,7 +59,7 @@ def test_many_documents_of_one_source(spark):
     for r in check(docs):
         if r["source"] == "hot":
             copies[r["size"]].append(r["copies"] - r["target"] / r["source_size"])
-    assert len(copies) == 9 and all(abs(sum(x) / len(x)) < 0.06 for x in copies.values())  # no size is preferred
+    assert len(copies) == 6 and all(abs(sum(x) / len(x)) < 0.06 for x in copies.values())  # no size is preferred
 
 
 def test_copies_of_rows(odd):
