@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import table
 from .jaccard import jaccard_groups
 from .lattice import near_duplicate_vectors
@@ -82,4 +83,8 @@ QUERIES = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard": oracles.JACCARD,
+    "op2_quality": oracles.QUALITY,
+    "op8_lattice": oracles.LATTICE,
+}
