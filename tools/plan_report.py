@@ -1,8 +1,8 @@
-"""Write PLANS.md: the executed (final adaptive) plans of the headline queries.
+"""Write PLANS.md: what the headline queries read and shuffle, and the flagship's plan.
 
-For each query: table scans with their read schema and pushed filters,
-shuffle stages, reused exchanges and broadcasts in the final plan; then the
-operator tree of the flagship summary.  Usage: python tools/plan_report.py [sf_dir]
+Rows read, shuffled rows and bytes come from the session's own event log, so
+subqueries, eager jobs and branches that adaptive execution dropped after they
+ran are counted.  Usage: python tools/plan_report.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -10,41 +10,41 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from closure_engine.plans.registry import QUERIES  # noqa: E402
 from closure_engine.session import build_session  # noqa: E402
+from tools.event_log import measure, settings  # noqa: E402
 
-NAMES = ["closure_summary", "closure_report", "local_closure", "triangles_list", "common_neighbours_edge",
-         "closure_summary_bipartite", "message_rounds_walks", "compat_v20_summary", "compat_v25_summary",
-         "compat_v11_transitivity"]
+NAMES = ["closure_summary", "closure_report", "local_closure", "transitivity", "triangles_total", "triangles_list",
+         "common_neighbours_edge", "closure_summary_bipartite", "message_rounds_walks", "compat_v20_summary",
+         "compat_v25_summary", "compat_v11_transitivity"]
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 16)
-    lines = ["# Executed plans", "", f"Input: `{sf_dir}`, local[8], 16 shuffle partitions, AQE on. "
-             "Generated by `python tools/plan_report.py`; counts are from the final adaptive plan of the "
-             "main query. A scan count of 0 means the only scan ran inside the hub-threshold subquery "
-             "and the main plan reads it through a reused exchange; no query scans a table twice.", "",
-             "| query | table scans | shuffle stages | reused exchanges | broadcasts |",
-             "| --- | --- | --- | --- | --- |"]
-    details = []
+    spark = build_session("local[8]", 16, extra=settings(tempfile.mkdtemp(prefix="events-")))
+    size = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("lineitem", "orders")}
+    lines = ["# What the queries read and shuffle", "",
+             f"Input: `{sf_dir}` ({size['lineitem']:,} line items, {size['orders']:,} orders), local[8], 16 shuffle partitions, "
+             "AQE on. Generated by `python tools/plan_report.py` from Spark's event log: all jobs of a query, with "
+             "subqueries, eager checkpoints and branches that were dropped after they ran.", "",
+             "| query | rows read from tables | shuffled rows | shuffled MB | tasks |", "| --- | --- | --- | --- | --- |"]
     flagship = None
     for name in NAMES:
-        df = QUERIES[name](spark, sf_dir)
-        df.collect()
-        # the top-level initial plan starts at column 0; nested subqueries indent theirs
-        plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
-        scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\].*?ReadSchema: (struct<[^>]*>)", plan)
-        lines.append(f"| `{name}` | {plan.count('FileScan parquet')} | {plan.count('ShuffleQueryStage')} | "
-                     f"{plan.count('ReusedExchange')} | {plan.count('BroadcastQueryStage')} |")
-        for cols, pushed, schema in scans:
-            details.append(f"* `{name}`: ReadSchema `{schema}`, PushedFilters `[{pushed}]`")
+        df = []
+
+        def run(name=name, df=df):
+            df.append(QUERIES[name](spark, sf_dir))
+            df[0].collect()
+
+        m = measure(spark, run)
+        lines.append(f"| `{name}` | {m['records_read']:,} | {m['shuffle_records']:,} | {m['shuffle_mb']:.1f} | {m['tasks']} |")
         if name == "closure_summary":
-            flagship = plan
-    lines += ["", "## Scans", ""] + sorted(set(details))
+            # the top-level initial plan starts at column 0; nested subqueries indent theirs
+            flagship = df[0]._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
     tree = []
     for ln in flagship.splitlines():
         m = re.match(r"^([\s:+\-|]*)(\*\(\d+\) )?([A-Za-z]+)", ln)
