@@ -10,7 +10,7 @@ landing in one task:
   that is broadcast has a proven size bound whatever the data size.  The
   threshold is a lazy scalar subquery, so nothing runs on the driver.
   Every row probes the broadcast copy in place; rows that found their key
-  there go through the shuffle join under a spread key that matches
+  there go through the shuffle join dealt out by a hash and matching
   nothing, so one branch holds all rows and the input is read once.
 * salting (``n_salts``) for joins where the one-row side is too large to
   broadcast (vertex out-lists): the rows of every key are spread over
@@ -59,9 +59,9 @@ def split_join(big: DataFrame, small: DataFrame, key: str, hot_small: DataFrame,
     probed = big.join(F.broadcast(hot), key, "left")
     is_hot = F.col("_hot").isNotNull()
     spread = F.xxhash64(*[F.col(c) for c in big.columns])
-    probed = probed.withColumn("_key", F.when(is_hot, spread).otherwise(F.col(key).cast("bigint"))).withColumn(
-        "_side", is_hot.cast("int"))
-    cold = small.select(F.col(key).cast("bigint").alias("_key"), F.lit(0).alias("_side"), F.lit(True).alias("_cold"),
+    # a row that is settled has no key, which matches nothing, and a hash that deals it out
+    probed = probed.withColumn("_key", F.when(~is_hot, F.col(key))).withColumn("_side", F.when(is_hot, spread).otherwise(F.lit(0)))
+    cold = small.select(F.col(key).alias("_key"), F.lit(0).cast("bigint").alias("_side"), F.lit(True).alias("_cold"),
                         *[F.col(c).alias(f"_cold_{c}") for c in values])
     joined = probed.join(cold, ["_key", "_side"], "left")
     if how == "inner":
