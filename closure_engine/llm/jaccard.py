@@ -251,6 +251,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, t
                 both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets])
                 size = np.array([len(x) + len(y) for x, y in sets])
                 yield rows.select(["a", "b"]).filter(pa.array(((100 + percent) * both >= percent * size) & (both > 0)))
+        pa.default_memory_pool().release_unused()
 
     # a few texts too many pass the bitmap; the joins drop them
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("long")).alias("h"))

@@ -137,7 +137,7 @@ def pack_block(rows: list[tuple], shares: dict, deficits: dict, encode, end: int
 
 
 def pack_sequences(docs: DataFrame, tokenizer: str, weights: dict | None = None, window: int = 2048, end_id: int = 1,
-                   least: int = 256, block_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text",
+                   least: int = 256, block_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text",
                    source_col: str = "source", with_ids: bool = False) -> DataFrame:
     """One row a piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 
@@ -191,6 +191,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, weights: dict | None = None,
         if with_ids:
             ends = np.cumsum([0, *map(len, held_ids)]).astype(np.int32)
             columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held_ids or [np.zeros(0, np.int32)]))))
+        pa.default_memory_pool().release_unused()  # a worker process serves many blocks
         return pa.table(columns, [id_col, *names] + ["ids"] * with_ids)
 
     return rows.groupBy("block").cogroup(plan.groupBy("block")).applyInArrow(pack_group, schema)

@@ -166,7 +166,7 @@ def length_encoder(path: str) -> PartEncoder:
 
 def id_encoder(path: str) -> PartEncoder:
     """Totals are bytes: the ids as little-endian unsigned 32-bit numbers."""
-    return PartEncoder(path, lambda x: _packed(x.ids), lambda x: _packed([t.id for t in x]), b"".join)
+    return PartEncoder(path, lambda x: _packed(x.ids), lambda x: _packed([t.id for t in x]), b"".join, memo=1 << 19)
 
 
 _ENCODERS: dict = {}
