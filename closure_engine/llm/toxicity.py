@@ -18,9 +18,11 @@ of the texts it was counted on.
 
 On Spark: the labels are joined to the texts by id (a shuffled join), each task
 adds up the character n-grams of its texts, and the sums meet in one
-aggregation that grows with the input.  The model is bounded: the highest count
-limit that leaves at most ``MAX_GRAMS`` n-grams decides which are kept; they are
-fetched and sent to the tasks that score.
+aggregation.  Continuation counts, backoffs and probabilities are aggregates and
+joins over all of these n-grams and those of all words to score; none is left
+out, and the model grows with the input.  Every distinct word is valued once.
+The most frequent ``HOT_WORDS`` values are sent to the tasks that score, so that
+no word is hot in a join; the other words of a text meet theirs in a join.
 
 Rows with crc32(id as text) mod ``folds`` = 0 are held out and never learnt
 from.  Several labels of an id count as toxic if one is; null labels are
@@ -32,10 +34,12 @@ not read.  An empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, column, string_buffers, written
@@ -46,8 +50,8 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Log-likelihood by which a word has to differ to count as evidence.
 MARGIN = 2.0
-#: Bound on the n-grams of the highest order in the model.
-MAX_GRAMS = 1 << 19
+#: Words whose values are sent to the tasks; all others are joined, with the same result.
+HOT_WORDS = 1 << 17
 #: Bound on the training rows that the logistic function is fitted on.
 MAX_FITTED = 50_000
 _U = np.uint64
@@ -86,7 +90,10 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class KneserNeyPair:
-    """What the toxic model's log-likelihood exceeds the ordinary one's by, for every n-gram and backoff."""
+    """What the toxic model's log-likelihood exceeds the ordinary one's by, for every n-gram and backoff.
+
+    The plain form of ``gram_values``, for n-grams that fit into memory.
+    """
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         """``counts``: of the ordinary and of the toxic class, a row an n-gram."""
@@ -177,23 +184,114 @@ def _count(docs: DataFrame, text_col: str) -> DataFrame:
     return counted.groupBy("key").agg(*(F.sum(c).alias(c) for c in _COUNTS))
 
 
-def _models(counts: DataFrame) -> tuple[KneserNeyPair | None, list[KneserNeyPair | None]]:
-    """The pair of models of all training rows, and those of either half, from the n-grams that are frequent enough for the bound."""
-    counts = written(counts, "toxic-grams")
-    # n-grams by the power of two of their count
-    level = F.floor(F.log2(sum(F.col(c) for c in _COUNTS))).cast("int")
-    sizes = {r["level"]: r["n"] for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
-    least, held = max(sizes, default=0) + 1, 0
-    while least > 0 and held + sizes.get(least - 1, 0) <= MAX_GRAMS:
-        least, held = least - 1, held + sizes.get(least - 1, 0)
-    kept = counts.where(level >= least).toPandas()
-    keys, c = kept["key"].to_numpy().astype(_U), kept[list(_COUNTS)].to_numpy(float)
+#: The models: of all training rows and of either half; their counts of the ordinary and of the toxic class.
+_MODELS = {"all": (("ordinary0", "ordinary1"), ("toxic0", "toxic1")), "half0": (("ordinary0",), ("toxic0",)), "half1": (("ordinary1",), ("toxic1",))}
+_CLASSES = tuple(f"{m}_{c}" for m in _MODELS for c in (0, 1))
+
+
+def gram_values(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """key and, by model, what the toxic model's log-likelihood exceeds the ordinary one's by, for each key of ``asked``.
+
+    ``counts``: key and _COUNTS of all training n-grams; ``asked``: distinct
+    keys.  A key has at most 255 keys after it in its context and at most 255
+    keys that it is the lower order of, so no key is hot.
+    """
+    known = counts.select("key", *(sum(F.col(c) for c in _MODELS[m][k]).cast("double").alias(f"{m}_{k}") for m in _MODELS for k in (0, 1)),
+                          F.lit(0).alias("asked"))
+    every = known.unionByName(asked.select("key", *(F.lit(0.0).alias(c) for c in _CLASSES), F.lit(1).alias("asked")))
+    below = lambda key, n: key.bitwiseAND(F.lit((1 << 8 * n) - 1))
+    key = F.col("key")
+    # each n-gram and all its lower orders: how often it occurs, and its counts where it is whole
+    suffixes = F.array(*(F.when(key >= 1 << 8 * (n - 1), F.struct(F.lit(n).alias("n"), below(key, n).alias("key"), (below(key, n) == key).alias("whole")))
+                         for n in range(1, ORDER + 1)))
+    cut = every.select(F.explode(F.filter(suffixes, lambda x: x.isNotNull())).alias("s"), *_CLASSES, "asked").select(
+        "s.n", "s.key", "s.whole", *_CLASSES, "asked")
+    seen = cut.groupBy("n", "key").agg(
+        *((F.sum(c) > 0).cast("double").alias(f"any_{c}") for c in _CLASSES),
+        *(F.sum(F.when(F.col("whole"), F.col(c)).otherwise(0.0)).alias(c) for c in _CLASSES),
+        F.max(F.when(F.col("whole"), F.col("asked")).otherwise(0)).alias("asked"))
+    # continuation counts, and full counts at the highest order and where a word's start leaves no longer context
+    shorter = F.expr("key & (shiftleft(1L, 8 * (n - 1)) - 1)")
+    seen = written(seen, "toxic-seen")
+    counted = seen.select("n", "key", *_CLASSES, "asked").unionByName(seen.where("n > 1").select(
+        (F.col("n") - 1).alias("n"), shorter.alias("key"), *(F.col(f"any_{c}").alias(c) for c in _CLASSES), F.lit(0).alias("asked")))
+    counted = counted.groupBy("n", "key").agg(*(F.sum(c).alias(c) for c in _CLASSES), F.max("asked").alias("asked"))
+    context = Window.partitionBy("n", F.shiftright("key", 8))
+    total = {c: F.sum(c).over(context) for c in _CLASSES}
+    kinds = {c: F.sum((F.col(c) > 0).cast("double")).over(context) for c in _CLASSES}
+    tables = written(counted.select(
+        "n", "key", "asked", *_CLASSES, *(total[c].alias(f"total_{c}") for c in _CLASSES),
+        *(F.when(total[c] > 0, DISCOUNT * kinds[c] / F.greatest(total[c], F.lit(1.0))).otherwise(1.0).alias(f"rest_{c}") for c in _CLASSES)),
+        "toxic-tables")
+
+    def level(rows: DataFrame, lower: dict[str, Column]) -> DataFrame:
+        p = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(f"total_{c}", F.lit(1.0)) + F.col(f"rest_{c}") * lower[c] for c in _CLASSES}
+        return rows.select("key", "asked", *(p[c].alias(f"p_{c}") for c in _CLASSES))
+
+    # the lowest order: both classes share one distribution; a byte that neither has seen says nothing
+    first = tables.where("n = 1")
+    own = {m: F.col(f"{m}_0") + F.col(f"{m}_1") for m in _MODELS}
+    whole = Window.partitionBy("n")  # 255 keys at most
+    first = first.withColumns({f"shared_{m}": (own[m] + 1) / F.sum(F.when(own[m] > 0, own[m] + 1)).over(whole) for m in _MODELS})
+    p = level(first, {c: F.col(f"shared_{c.split('_')[0]}") for c in _CLASSES}).alias("p").join(first.select(
+        F.col("key").alias("same"), *(own[m].alias(f"own_{m}") for m in _MODELS)), F.col("key") == F.col("same"))
+    p = p.select("key", "asked", *(F.when(F.col(f"own_{c.split('_')[0]}") > 0, F.col(f"p_{c}")).otherwise(1.0).alias(f"p_{c}") for c in _CLASSES))
+    out = []
+    for n in range(1, ORDER + 1):
+        if n > 1:
+            rows = tables.where(F.col("n") == n).withColumn("lower", below(key, n - 1))
+            lower = p.select(F.col("key").alias("lower"), *(F.col(f"p_{c}").alias(f"lower_{c}") for c in _CLASSES))
+            p = level(rows.join(lower, "lower"), {c: F.col(f"lower_{c}") for c in _CLASSES})
+        p = written(p, f"toxic-order{n}")
+        out.append(p.where("asked = 1").select("key", *(F.log(F.col(f"p_{m}_1") / F.col(f"p_{m}_0")).alias(m) for m in _MODELS)))
+    values = out[0]
+    for x in out[1:]:
+        values = values.unionByName(x)
+    return values
+
+
+def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
+    """Every distinct word of all texts: word (its hash), letters, n."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in byte_slices(column(batch, text_col), 4 << 20):
+                t = Texts(*string_buffers(column(batch, text_col)[a:b]), lower=True, solid=LETTERS)
+                words, first, n = np.unique(t.words(), return_index=True, return_counts=True)
+                letters = [t.data[x:y].tobytes() for x, y in zip(t.start[first].tolist(), t.stop[first].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(letters, pa.binary()), pa.array(n)], ["word", "letters", "n"])
+
+    return docs.select(text_col).mapInArrow(read, "word long, letters binary, n long").groupBy("word", "letters").agg(F.sum("n").alias("n"))
 
-    def pair(of: np.ndarray) -> KneserNeyPair | None:
-        used = of.sum(1) > 0
-        return KneserNeyPair(keys[used], of[used]) if (of.sum(0) > 0).all() else None
 
-    return pair(c[:, :2] + c[:, 2:]), [pair(c[:, :2]), pair(c[:, 2:])]
+def _spelled(words: DataFrame) -> DataFrame:
+    """word, n, key, times: the distinct character n-grams of every word."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in byte_slices(column(batch, "letters"), 1 << 20):
+                part = batch.slice(a, b - a)
+                data, ends = string_buffers(column(part, "letters"))
+                keys, word = word_grams(SimpleNamespace(data=data, start=ends[:-1], stop=ends[1:]), np.arange(b - a))
+                order = np.lexsort((keys, word))
+                keys, word = keys[order], word[order]
+                first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (word[1:] != word[:-1]))))
+                at = pa.array(word[first])
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, "word").take(at), column(part, "n").take(at), pa.array(keys[first].astype(np.int64)),
+                     pa.array(np.diff(np.append(first, len(keys))))], ["word", "n", "key", "times"])
+
+    return words.mapInArrow(spell, "word long, n long, key long, times long")
+
+
+def word_values(counts: DataFrame, words: DataFrame) -> DataFrame:
+    """word, n and, by model, the difference of the word's log-likelihoods; ``words``: word, letters, n."""
+    spelled = _spelled(words)
+    values = written(gram_values(counts, spelled.select("key").distinct()), "toxic-values")
+    short = F.col("key") < 1 << 24  # starts of words, which many words share: at most 255 + 255^2 keys, each with the mark of the start
+    met = spelled.where(short).join(F.broadcast(values.where(short)), "key").unionByName(
+        spelled.where(~short).join(values.where(~short).hint("merge"), "key"))
+    return met.groupBy("word").agg(F.max("n").alias("n"), *(F.sum(F.col("times") * F.col(m)).alias(m) for m in _MODELS))
 
 
 def evidence(texts: pa.Array, model: KneserNeyPair) -> np.ndarray:
@@ -228,34 +326,63 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     marked = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col, folds) & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("label_id")).agg(F.max(label_col).cast("int").alias("toxic"))
     learnt = chosen.where(~held_out(id_col, folds)).join(marked.hint("shuffle_hash"), F.col(id_col) == F.col("label_id"))
-    model, halves = _models(_count(learnt.select(text_col, "toxic", _half(id_col).alias("half")), text_col))
-    id_type = chosen.schema[id_col].dataType.simpleString()
+    counts = written(_count(learnt.select(text_col, "toxic", _half(id_col).alias("half")), text_col), "toxic-grams")
+    held = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS)).first()
+    has = {m: all(sum(held[c] for c in of) > 0 for of in _MODELS[m]) for m in _MODELS}
+    if not has["all"]:
+        return chosen.select(id_col, held_out(id_col, folds).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    values = written(word_values(counts, written(_vocabulary(docs, text_col), "toxic-words")), "toxic-word-values")
+    measured = _measured(chosen, values, id_col, text_col)
     share = min(1.0, MAX_FITTED / max(1, chosen.count()))
-    sampled = (F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 20)) <= int(share * (1 << 20))) & ~held_out(id_col, folds)
+    sampled = F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 20)) <= int(share * (1 << 20))
+    usable = F.when(_half(id_col) == 0, F.lit(has["half1"])).otherwise(F.lit(has["half0"]))
+    rows = measured.where(sampled & usable).join(marked, F.col(id_col) == F.col("label_id")).select(
+        "other_mean", "other_beyond", "toxic").limit(2 * MAX_FITTED).toPandas()
+    w = [F.lit(float(x)) for x in _logistic(rows[["other_mean", "other_beyond"]].to_numpy(), rows["toxic"].to_numpy(float))]
+    z = w[0] * F.col("mean") + w[1] * F.col("beyond") + w[2] * F.sqrt(F.greatest("beyond", F.lit(0.0))) + w[3]
+    score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+    return measured.select(id_col, held_out(id_col, folds).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _measured(docs: DataFrame, values: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, mean, beyond, other_mean, other_beyond for every row of ``docs``; "other" is by the model of the half without the row."""
+    names = ("mean", "beyond", "other_mean", "other_beyond")
+    hot = values.orderBy(F.desc("n"), "word").limit(HOT_WORDS).toPandas().sort_values("word")
+    hot_words, hot_values = hot["word"].to_numpy(np.int64), hot[list(_MODELS)].to_numpy(float)
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a, b in byte_slices(column(batch, text_col), 4 << 20):
                 part = batch.slice(a, b - a)
-                texts, half = column(part, text_col), column(part, "half").to_numpy()
-                e = evidence(texts, model) if model else np.zeros((b - a, 2))
-                other = np.full((b - a, 2), np.nan)
-                for k in (0, 1):
-                    rows = np.flatnonzero(half == k)
-                    if len(rows) and halves[1 - k]:
-                        other[rows] = evidence(texts.take(pa.array(rows)), halves[1 - k])
-                yield pa.RecordBatch.from_arrays([column(part, id_col), *map(pa.array, np.hstack((e, other)).T)],
-                                                 [id_col, "mean", "beyond", "other_mean", "other_beyond"])
-
-    halved = chosen.withColumn("half", F.when(sampled, _half(id_col)).otherwise(-1))
-    measured = written(halved.mapInArrow(
-        measure, f"`{id_col}` {id_type}, mean double, beyond double, other_mean double, other_beyond double"), "toxic-evidence")
-    score = F.lit(0.0)
-    if model:
-        rows = measured.where(~F.isnan("other_mean")).join(marked, F.col(id_col) == F.col("label_id")).select(
-            "other_mean", "other_beyond", "toxic").limit(2 * MAX_FITTED).toPandas()
-        w = [F.lit(float(x)) for x in _logistic(rows[["other_mean", "other_beyond"]].to_numpy(), rows["toxic"].to_numpy(float))]
-        z = w[0] * F.col("mean") + w[1] * F.col("beyond") + w[2] * F.sqrt(F.greatest("beyond", F.lit(0.0))) + w[3]
-        score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
-    return measured.select(id_col, held_out(id_col, folds).alias("held_out"), score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int"))
+                t = Texts(*string_buffers(column(part, text_col)), lower=True, solid=LETTERS)
+                half = column(part, "half").to_numpy().astype(np.int64)
+                words, at = np.unique(t.words().view(np.int64), return_inverse=True)
+                place = np.minimum(np.searchsorted(hot_words, words), len(hot_words) - 1) if len(hot_words) else np.zeros(len(words), np.int64)
+                hit = hot_words[place] == words if len(hot_words) else np.zeros(len(words), bool)
+                of_word = np.zeros((len(words), 3))
+                of_word[hit] = hot_values[place[hit]]
+                own, other = of_word[at, 0], of_word[at, 2 - half[t.doc]]
+                unmet = ~hit[at]
+                sums = [np.bincount(t.doc, x * ~unmet, t.n) for x in (own, np.maximum(own - MARGIN, 0), other, np.maximum(other - MARGIN, 0))]
+                ends = np.concatenate(([0], np.cumsum(np.bincount(t.doc[unmet], minlength=t.n)))).astype(np.int32)
+                cold = pa.ListArray.from_arrays(pa.array(ends), pa.array(words[at[unmet]]))
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, id_col), pa.array(np.arange(row, row + t.n)), pa.array(half), pa.array(t.n_words.astype(np.int64)), *map(pa.array, sums), cold],
+                    [id_col, "row", "half", "words", *names, "cold"])
+                row += t.n
+
+    rows = written(docs.withColumn("half", _half(id_col).cast("long")).mapInArrow(
+        measure, f"`{id_col}` {id_type}, row long, half long, words long, " + ", ".join(f"{x} double" for x in names) + ", cold array<long>"),
+        "toxic-evidence")
+    if values.count() > len(hot_words):
+        over = lambda c: F.greatest(c - MARGIN, F.lit(0.0))
+        own, other = F.col("all"), F.when(F.col("half") == 0, F.col("half1")).otherwise(F.col("half0"))
+        cold = rows.select("row", "half", F.explode("cold").alias("word")).join(values.hint("merge"), "word").groupBy(F.col("row").alias("cold_row")).agg(
+            *(F.sum(x).alias(f"cold_{name}") for name, x in zip(names, (own, over(own), other, over(other)))))
+        rows = rows.join(cold, F.col("row") == F.col("cold_row"), "left").withColumns(
+            {x: F.col(x) + F.coalesce(F.col(f"cold_{x}"), F.lit(0.0)) for x in names})
+    n = F.greatest("words", F.lit(1))
+    return written(rows.select(id_col, *((F.col(x) / n).alias(x) for x in names)), "toxic-means")

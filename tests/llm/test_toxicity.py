@@ -4,8 +4,10 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
+from closure_engine.llm import toxicity as toxicity_module
 from closure_engine.llm.toxicity import KneserNeyPair, evidence, toxicity, word_grams
 from closure_engine.llm.rolling import LETTERS, Texts
 from closure_engine.llm.common import string_buffers
@@ -87,3 +89,34 @@ def test_evidence_of_unseen_spellings():
     counts = np.stack([np.isin(names, keys) * 5.0, np.isin(names, bad) * 5.0], 1)
     e = evidence(pa.array(["plain talk", "snorkwitten talk", "", None]), KneserNeyPair(names, counts))
     assert e[1, 0] > e[0, 0] and e[1, 1] > 0 and (e[2:] == 0).all()
+
+
+def test_all_grams_are_in_the_model(spark):
+    """More n-grams than any fixed table holds, seen once each: every word's value is the plain model's."""
+    r = random.Random(9)
+    seen = sorted({"".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(100_000)})
+    words = seen + ["unheardof", "zebra", "ü" * 5, "a" * 12]
+    keys, word = _grams(words)
+    kinds = np.array([r.randrange(4) if i < len(seen) else -1 for i in range(len(words))])
+    trained = kinds[word] >= 0
+    names, counts = toxicity_module._summed(keys[trained], np.eye(4)[kinds[word[trained]]])
+    assert len(names) > 1 << 19
+    rare = spark.createDataFrame(pd.DataFrame(counts.astype(int), columns=toxicity_module._COUNTS).assign(key=names.astype(np.int64)))
+    some = [*range(0, len(seen), 97), *range(len(seen), len(words))]
+    asked = spark.createDataFrame([(i, bytearray(words[i].encode()), 1) for i in some], "word long, letters binary, n long")
+    got = {x["word"]: x for x in toxicity_module.word_values(rare, asked).collect()}
+    for name, of in (("all", counts[:, :2] + counts[:, 2:]), ("half0", counts[:, :2]), ("half1", counts[:, 2:])):
+        used = of.sum(1) > 0
+        value = np.bincount(word, KneserNeyPair(names[used], of[used]).excess(keys))
+        assert np.allclose([got[i][name] for i in some], value[some], atol=1e-4)
+
+
+def test_words_beyond_the_hot_ones(spark, monkeypatch):
+    """Scores do not depend on which words are sent to the tasks."""
+    docs, labels = corpus(300, 3)
+    docs += docs[:5] + [(None, "snorkwit plain", "x")]
+    every = sorted(toxicity(*frames(spark, docs, labels)).collect(), key=str)
+    monkeypatch.setattr(toxicity_module, "HOT_WORDS", 20)
+    few = sorted(toxicity(*frames(spark, docs, labels)).collect(), key=str)
+    assert [x["doc_id"] for x in every] == [x["doc_id"] for x in few]
+    assert np.allclose([x["score"] for x in every], [x["score"] for x in few])
