@@ -12,9 +12,10 @@ A text's word evidence is the difference of the word's log-likelihoods under
 the two models.  Two length-normalised sums describe a text: the mean
 difference of its words, and the mean of what exceeds ``MARGIN`` (single words
 differ a little by chance, long texts have many).  A logistic function turns
-them into a score.  It is fitted on a sample of training rows whose evidence
-comes from models of the other half of the training rows, as a model is too sure
-of the texts it was counted on.
+them into a score.  It is fitted on at most about ``MAX_FITTED`` of the labelled
+training rows, all if they are fewer, with evidence from models of the other
+half of the training rows, as a model is too sure of the texts it was counted
+on.  Where these rows lack a class, ``UNFITTED`` stands in.
 
 On Spark: the labels are joined to the texts by id (a shuffled join), each task
 adds up the character n-grams of its texts, and the sums meet in one
@@ -52,8 +53,10 @@ DISCOUNT = 0.75
 MARGIN = 2.0
 #: Words whose values are sent to the tasks; all others are joined, with the same result.
 HOT_WORDS = 1 << 17
-#: Bound on the training rows that the logistic function is fitted on.
+#: Bound on the labelled training rows that the logistic function is fitted on.
 MAX_FITTED = 50_000
+#: The logistic function where these rows lack a class: toxic is a text whose words differ by MARGIN on average.
+UNFITTED = (1.0, 0.0, 0.0, -MARGIN)
 _U = np.uint64
 _START, _END = 1, 2
 
@@ -333,12 +336,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         return chosen.select(id_col, held_out(id_col, folds).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     values = written(word_values(counts, written(_vocabulary(docs, text_col), "toxic-words")), "toxic-word-values")
     measured = _measured(chosen, values, id_col, text_col)
-    share = min(1.0, MAX_FITTED / max(1, chosen.count()))
+    share = min(1.0, MAX_FITTED / max(1, learnt.select(id_col).count()))
     sampled = F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 20)) <= int(share * (1 << 20))
     usable = F.when(_half(id_col) == 0, F.lit(has["half1"])).otherwise(F.lit(has["half0"]))
     rows = measured.where(sampled & usable).join(marked, F.col(id_col) == F.col("label_id")).select(
         "other_mean", "other_beyond", "toxic").limit(2 * MAX_FITTED).toPandas()
-    w = [F.lit(float(x)) for x in _logistic(rows[["other_mean", "other_beyond"]].to_numpy(), rows["toxic"].to_numpy(float))]
+    fitted = UNFITTED if rows["toxic"].nunique() < 2 else _logistic(rows[["other_mean", "other_beyond"]].to_numpy(), rows["toxic"].to_numpy(float))
+    w = [F.lit(float(x)) for x in fitted]
     z = w[0] * F.col("mean") + w[1] * F.col("beyond") + w[2] * F.sqrt(F.greatest("beyond", F.lit(0.0))) + w[3]
     score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
     return measured.select(id_col, held_out(id_col, folds).alias("held_out"), score.alias("score")).withColumn(

@@ -120,3 +120,23 @@ def test_words_beyond_the_hot_ones(spark, monkeypatch):
     few = sorted(toxicity(*frames(spark, docs, labels)).collect(), key=str)
     assert [x["doc_id"] for x in every] == [x["doc_id"] for x in few]
     assert np.allclose([x["score"] for x in every], [x["score"] for x in few])
+
+
+def test_few_labels_in_many_documents(spark, monkeypatch):
+    """The fitting sample is a share of the labelled rows, however many documents have no label."""
+    monkeypatch.setattr(toxicity_module, "MAX_FITTED", 100)
+    fitted, plain = [], toxicity_module._logistic
+    monkeypatch.setattr(toxicity_module, "_logistic", lambda e, y: fitted.append(len(y)) or plain(e, y))
+    docs, labels = corpus(2000, 4)
+    rows = {r["doc_id"]: r for r in toxicity(*frames(spark, docs, labels[:110])).collect()}
+    assert fitted == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _, _ in labels[:110])]
+    assert sum(rows[i]["predicted"] == toxic for i, _, toxic in labels[110:]) / len(labels[110:]) > 0.9
+
+
+def test_sample_without_a_class(spark):
+    """A single toxic text has no other half to be measured by; words decide, and no evidence is not toxic."""
+    docs = [(i, "plain talk of the town", "x") for i in range(20)] + [(50, "snorkwit blathrax", "x"), (51, "snorkwit blathrax", "x"), (52, "", "x"), (53, None, "x")]
+    labels = [(i, 1, 0) for i in range(20)] + [(50, 1, 1)]
+    assert zlib.crc32(b"50") % 5
+    rows = {r["doc_id"]: r["predicted"] for r in toxicity(*frames(spark, docs, labels)).collect()}
+    assert rows[50] == rows[51] == 1 and rows[52] == rows[53] == rows[0] == 0
