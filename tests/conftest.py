@@ -15,11 +15,3 @@ def spark(tmp_path_factory):
     s = build_session("local[4]", shuffle_partitions=8, app_name="closure_engine_tests", extra=settings(log))
     yield s
     s.stop()
-
-
-def edges_df(spark, pairs, schema="src bigint, dst bigint"):
-    return spark.createDataFrame([tuple(p) for p in pairs], schema)
-
-
-def as_dict(df, key="id"):
-    return {r[key]: r.asDict() for r in df.collect()}

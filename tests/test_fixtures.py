@@ -2,7 +2,7 @@
 
 import math
 
-from conftest import as_dict, edges_df
+from graph_helpers import as_dict, edges_df
 
 from closure_engine import closure, example_graph
 from closure_engine.operators import compat

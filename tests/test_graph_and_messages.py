@@ -1,6 +1,6 @@
 """Graph views, vertex joins and message passing."""
 
-from conftest import as_dict, edges_df
+from graph_helpers import as_dict, edges_df
 from pyspark.sql import functions as F
 
 from closure_engine import (

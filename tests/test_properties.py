@@ -5,7 +5,7 @@ import math
 import random
 
 import pytest
-from conftest import as_dict, edges_df
+from graph_helpers import as_dict, edges_df
 from pyspark.sql import functions as F
 
 from closure_engine import (

@@ -4,7 +4,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import edges_df
+from graph_helpers import edges_df
 
 from closure_engine import closure, edges_from_columns, parse_edge_lines, read_edge_text
 from closure_engine.session import ensure_checkpoint_dir
