@@ -28,14 +28,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor never repeats the work above.  ``release`` removes the files.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    path = f"{root}/closure-{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under ``spark.checkpoint.dir``, which ``release`` removes."""
+    ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    _WRITTEN.append(f"{root}/closure-{name}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
 def release(spark: SparkSession) -> int:
     """Delete every intermediate table that ``written`` made in this process; returns how many."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
-from .common import table
+from .alignment import cross_tokenizer_alignment
+from .common import shared_path, table
+from .filter_audit import filter_audit
 from .jaccard import jaccard_groups
 from .lattice import near_duplicate_vectors
 from .mixing import mix_sources
@@ -17,9 +19,11 @@ from .quality import quality_rules
 from .secrets import secret_scan
 from .sharding import shard_documents
 from .token_counts import token_counts
+from .token_records import read_records, write_records
 from .toxicity import toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path() -> str:
@@ -70,6 +74,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizer_alignment(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path(PIECES))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), shared_path(spark, "token-records")
+    write_records(docs, path, tokenizer_path(), end_id=2)
+    return read_records(spark, path, with_ids=False).select(
+        F.col("id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_jaccard": op1_jaccard,
     "op2_quality": op2_quality,
@@ -81,10 +100,14 @@ QUERIES = {
     "op8_lattice": op8_lattice,
     "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
+    "op11_alignment": op11_alignment,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_token_records": op13_token_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard": oracles.JACCARD,
     "op2_quality": oracles.QUALITY,
     "op8_lattice": oracles.LATTICE,
+    "op12_filter_audit": oracles.FILTER_AUDIT,
 }
