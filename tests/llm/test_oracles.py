@@ -9,7 +9,7 @@ from closure_engine.llm.queries import ORACLE_SQL, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     found = QUERIES[name](spark, sf)
     want = con.execute(ORACLE_SQL[name])
