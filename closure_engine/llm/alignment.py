@@ -50,7 +50,7 @@ from .word_ids import worker_ids
 LIST = 1 << 16
 AT_ONCE = 1 << 20
 #: Ends that are compared one by one before stretches are.
-_PROBE = 8
+_PROBE = 16
 #: Longer parts of a text are not remembered.
 _LONG = 64
 #: Most pairs whose counts are sent to every task.
@@ -120,18 +120,6 @@ class PieceIds:
             raise _Lossy
         return value
 
-    def learn(self, texts: list[str]) -> None:
-        """Asks for the short parts of the texts that are not remembered, all at once."""
-        if not self.by_words:
-            return
-        held, old = self.held, self.held.old
-        new = list({x for text in texts if text for x in text.split(" ") if x not in held and x not in old})
-        new = [x for x in new if 0 < len(x) <= _LONG and not x[-1].isspace()]
-        for x, ids in zip(new, self.model.encode(new, num_threads=1) if new else ()):
-            value = self._checked(x, ids)
-            if value is not None:
-                held.keep(x, value)
-
     def spaced(self, text: str) -> bytes:
         """Ids of the text, to which the model itself adds a space; raises ``_Lossy`` where their bytes differ."""
         if not self.by_words:
@@ -260,10 +248,9 @@ class Aligner:
         self.lossless = self.a.tokenizer.normalizer is None and {bytes([b]) for b in range(256)} <= set(self.bytes_a)
         self.lengths_a = np.array(list(map(len, self.bytes_a)))
         self.lengths_b = np.array(list(map(len, self.b.bytes)))
-        texts = [str(i).encode() for i in range(max(len(self.bytes_a), len(self.b.bytes)))]
-        #: An id's decimal digits before a comma, before the bar and before the semicolon.
-        self.spelled = [t + mark for mark in (b",", b"|", b";") for t in texts]
-        self.width = len(texts)
+        self.width = max(len(self.bytes_a), len(self.b.bytes))
+        #: An id's decimal digits before a comma, before the bar and before the semicolon, padded with zero bytes.
+        self.spelled = np.array([f"{i}{mark}" for mark in ",|;" for i in range(self.width)], "S")
 
     def align(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of A, ids of B, group sizes in A, in B); all empty for a text without tokens."""
@@ -291,7 +278,8 @@ class Aligner:
         codes = b.astype(np.int64)
         codes[last_b - 1] += 2 * self.width
         out[np.arange(len(b)) + np.repeat(last_a, m)] = codes
-        return b"".join(map(self.spelled.__getitem__, out.tolist()))[:-1]
+        text = self.spelled[out].view(np.uint8)
+        return text[text > 0].tobytes()[:-1]
 
 
 _HELD: dict = {}
@@ -330,7 +318,6 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "
                 held: list[tuple[np.ndarray, np.ndarray]] = []
                 at: list[int] = []
                 some = texts[start:end].to_pylist()
-                aligner.b.learn(some)
                 for k, text in zip(range(start, end), some):
                     a, b, n, m = aligner.align(text)
                     keys, times = linked_pairs(a, b, n, m)
