@@ -21,15 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under ``spark.checkpoint.dir`` as Parquet and return it reread.
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` (with the writer's ``options``) under ``spark.checkpoint.dir`` as Parquet and return it reread.
 
     Cuts the lineage with files that every executor can read, so losing an
     executor never repeats the work above.  ``release`` removes the files.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -41,13 +41,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return _WRITTEN[-1]
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``written`` made and whose successor is written; nothing lazy may still read it."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        held = next((w for w in _WRITTEN if path.endswith(w.rsplit("/", 1)[1])), None)
+        if held:
+            _WRITTEN.remove(held)
+            _delete(spark, held)
+
+
 def release(spark: SparkSession) -> int:
-    """Delete every intermediate table that ``written`` made in this process; returns how many."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    """Delete every intermediate table that ``written`` made in this process and that still exists; returns how many."""
     n = 0
     while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _WRITTEN.pop())
         n += 1
     return n
 

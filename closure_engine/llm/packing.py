@@ -9,39 +9,45 @@ What a source did not get (or got too much) stays in its counter for the next
 windows, so each window is close to the target proportions and every run of
 windows is closer still.  When a queue is empty, the others take its part.
 
-On Spark: documents are dealt by hash into blocks of about ``block_bytes`` of
-text, one task each, so every block has a like mixture of sources.  The targets
-are the sources' shares of all text (or given weights).  A first pass adds up
-the bytes of every (block, source); running sums over the blocks tell by how
-much the blocks before left each source behind its target, and the block's
-counters start from that: deficits cross partitions without one partition
-waiting for another.  Only the documents next in the queues are encoded.
+On Spark: an Arrow function encodes every text once and writes the ids.  The
+documents are then dealt by hash into blocks of about ``block_bytes`` of ids
+(four bytes each), one task each, so every block has a like mixture of sources.
+The targets are the sources' shares of all tokens (or given weights).  The
+tokens of every (block, source) are added up; running sums over the blocks, in
+groups of blocks and within them, tell by how many tokens the blocks before left each
+source behind its target, and the block's counters start from exactly that:
+deficits cross partitions without one partition waiting for another.
 
 The last tokens of a block, fewer than a window, fill sequences whose lengths
 are powers of two, so nothing is padded.  A null text is empty: its only token
 is the end id.  A null source is a source of its own.  Repeated rows are packed
-one by one.  Only id, text and source are read, so other columns can't clash.
-An empty table gives an empty table.
+one by one; rows that repeat inside a partition of the input are dealt by their place, so
+that no block has more copies of a row than the input has partitions.  Only id,
+text and source are read, so other columns can't clash.  An empty table gives an
+empty table.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import utf8_bytes, written
-from .token_counts import id_encoder, worker_encoder
+from .common import byte_slices, column, written
+from .word_ids import worker_ids
 
 #: Sequence numbers: the block in the upper bits, the place in the block in the lower ones.
 _BLOCK_BITS = 32
-#: Characters of a queue's documents that are encoded at once.
+#: Size of a queue's documents that are brought into their final form at once.
 _AHEAD = 1 << 17
+#: Blocks whose running sums are taken together.
+_TOGETHER = 1 << 10
 
 
 class _Queue:
@@ -136,53 +142,101 @@ def pack_block(rows: list[tuple], shares: dict, deficits: dict, encode, end: int
         yield from _cut(waiting, at)
 
 
+def encoded_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """id, source, ids (bytes, without the end id), n (tokens with it), deal (hash by which a row is dealt).
+
+    Equal rows of one partition get different ``deal`` values, from the second
+    one on and from the first one on where the second follows in the same Arrow batch.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("id", "source", "text"))
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_ids(tokenizer)
+        part, met = TaskContext.get().partitionId() + 1, Counter()
+        width = encoder.dtype.itemsize
+        for batch in batches:
+            texts, keys = column(batch, "text"), column(batch, "h").to_pylist()
+            here = Counter(keys)
+            places = []
+            for h in keys:
+                again = met[h]
+                places.append((part << 36) + again if again or here[h] > 1 else 0)
+                met[h] += 1
+            for a, b in byte_slices(texts, 1 << 20):
+                ids = [encoder.encode(t) for t in texts[a:b].to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [column(batch, "id")[a:b], column(batch, "source")[a:b], pa.array(ids, pa.binary()),
+                     pa.array([len(x) // width + 1 for x in ids], pa.int64()), column(batch, "h")[a:b], pa.array(places[a:b], pa.int64())],
+                    ["id", "source", "ids", "n", "h", "place"])
+
+    made = rows.mapInArrow(encode, f"id {id_type}, source string, ids binary, n long, h long, place long")
+    return made.select("id", "source", "ids", "n", F.xxhash64("h", "place").alias("deal"))
+
+
+def carried_deficits(held: DataFrame, share: DataFrame) -> DataFrame:
+    """(block, source, share, behind): tokens by which the blocks before left the source behind its target.
+
+    ``held``: (block, source, tokens), ``share``: (name, share), one row a
+    source.  Running sums over groups of ``_TOGETHER`` blocks, then within each
+    group, so a task sees a group's blocks or one row a group.
+    """
+    held = held.withColumn("group", F.floor(F.col("block") / F.lit(_TOGETHER)))
+
+    def before(order: str, *keys: str):
+        return F.sum("tokens").over(Window.partitionBy(*keys).orderBy(order)) - F.col("tokens")
+
+    of_block = held.groupBy("group", "block").agg(F.sum("tokens").alias("tokens"))
+    of_group = of_block.groupBy("group").agg(F.sum("tokens").alias("tokens")).select("group", before("group").alias("earlier"))
+    upto = of_block.select("group", "block", before("block", "group").alias("within")).join(of_group, "group")
+    own_group = held.groupBy("group", "source").agg(F.sum("tokens").alias("tokens")).select(
+        F.col("group").alias("of_group"), F.col("source").alias("of"), before("group", "source").alias("own_earlier"))
+    own = held.select("group", "block", "source", before("block", "group", "source").alias("own_within"))
+    own = own.join(own_group, (F.col("group") == F.col("of_group")) & F.col("source").eqNullSafe(F.col("of")))
+    own = own.join(share, F.col("source").eqNullSafe(F.col("name"))).select("block", "source", "share", (F.col("own_earlier") + F.col("own_within")).alias("own"))
+    return own.join(upto.select("block", (F.col("earlier") + F.col("within")).alias("upto")), "block").select(
+        "block", "source", "share", (F.col("share") * F.col("upto") - F.col("own")).alias("behind"))
+
+
 def pack_sequences(docs: DataFrame, tokenizer: str, weights: dict | None = None, window: int = 2048, end_id: int = 1,
                    least: int = 256, block_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text",
                    source_col: str = "source", with_ids: bool = False) -> DataFrame:
     """One row a piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 
     ``weights``: target share by source name, instead of the sources' shares of
-    all text; a source that is missing has weight 0 and is packed at the end.
+    all tokens; a source that is missing has weight 0 and is packed at the end.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    rows = written(encoded_documents(docs, tokenizer, id_col, text_col, source_col), "pack-ids", compression="zstd")
     id_type = rows.schema["id"].dataType.simpleString()
     weight = F.lit(None).cast("double")
     for name, share in (weights or {}).items():
         weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(share))).otherwise(weight)
-    spread = F.xxhash64("id", "source", "text")
-    total = rows.agg(F.sum(utf8_bytes(F.col("text"))).alias("b"), F.count("*").alias("n")).first()
-    blocks = max(1, -(-((total["b"] or 0) + 64 * total["n"]) // block_bytes))
-    rows = rows.withColumn("block", F.pmod(spread, F.lit(blocks)))
-    held = written(rows.groupBy("block", "source").agg((F.sum(utf8_bytes(F.col("text"))) + F.count("*")).alias("bytes")), "pack-held")
-    share = held.groupBy("source").agg(F.sum("bytes").cast("double").alias("share"))
+    blocks = max(1, -(-4 * (rows.agg(F.sum("n")).first()[0] or 0) // block_bytes))
+    rows = rows.withColumn("block", F.pmod("deal", F.lit(blocks)))
+    held = written(rows.groupBy("block", "source").agg(F.sum("n").alias("tokens")), "pack-held")
+    share = held.groupBy("source").agg(F.sum("tokens").cast("double").alias("share"))
     if weights:
         share = share.withColumn("share", F.coalesce(weight, F.lit(0.0)))
     of = F.sum("share").over(Window.partitionBy())  # one row a source
     share = share.select(F.col("source").alias("name"), F.when(of > 0, F.col("share") / of).otherwise(0.0).alias("share"))
-    whole = held.groupBy("block").agg(F.sum("bytes").alias("block_bytes"))
-    whole = whole.withColumn("upto", F.sum("block_bytes").over(Window.orderBy("block")) - F.col("block_bytes"))
-    # every (block, source): bytes that the source is behind its target when the block begins
-    behind = held.join(whole, "block").withColumn(
-        "own_upto", F.sum("bytes").over(Window.partitionBy("source").orderBy("block")) - F.col("bytes")
-    ).join(share, F.col("source").eqNullSafe(F.col("name"))).select(
-        "block", "source", "share", (F.col("share") * F.col("upto") - F.col("own_upto")).alias("behind"))
-    plan = behind.groupBy("block").agg(F.collect_list(F.struct("source", "share", "behind")).alias("plan"))
+    plan = carried_deficits(held, share).groupBy("block").agg(F.collect_list(F.struct("source", "share", "behind")).alias("plan"))
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = f"`{id_col}` {id_type}, " + ", ".join(f"{x} long" for x in names) + (", ids array<int>" if with_ids else "")
 
     def pack_group(left: pa.Table, right: pa.Table) -> pa.Table:
-        encoder = worker_encoder(id_encoder, tokenizer)
+        kind = worker_ids(tokenizer).dtype
         block = left.column("block")[0].as_py()
         plan_rows = right.column("plan")[0].as_py() if right.num_rows else []
-        # bytes behind become tokens at about four bytes each, and never more than a window
-        near = lambda b: float(np.clip(b / 4.0, -window, window))
         out: dict = {x: [] for x in ("id", *names)}
         held_ids = []
-        order = sorted(zip(left.column("id").to_pylist(), left.column("source").to_pylist(), left.column("text").to_pylist()),
-                       key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1] is None, r[1] or "", r[2] or ""))
+        order = sorted(zip(left.column("id").to_pylist(), left.column("source").to_pylist(), left.column("ids").to_pylist()),
+                       key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1] is None, r[1] or "", r[2]))
+        widen = lambda some: [np.frombuffer(x, kind).astype("<u4").tobytes() for x in some]
         for sequence, offset, (doc, start, ids, n) in pack_block(
-                [(a, b, c or "") for a, b, c in order], {x["source"]: x["share"] for x in plan_rows},
-                {x["source"]: near(x["behind"]) for x in plan_rows}, encoder.encode, end_id, window, least):
+                order, {x["source"]: x["share"] for x in plan_rows}, {x["source"]: x["behind"] for x in plan_rows},
+                widen, end_id, window, least):
             for x, v in zip(out, (doc, start, len(ids), zlib.crc32(ids), n, (block << _BLOCK_BITS) + sequence, offset)):
                 out[x].append(v)
             if with_ids:
@@ -194,4 +248,4 @@ def pack_sequences(docs: DataFrame, tokenizer: str, weights: dict | None = None,
         pa.default_memory_pool().release_unused()  # a worker process serves many blocks
         return pa.table(columns, [id_col, *names] + ["ids"] * with_ids)
 
-    return rows.groupBy("block").cogroup(plan.groupBy("block")).applyInArrow(pack_group, schema)
+    return rows.select("id", "source", "ids", "block").groupBy("block").cogroup(plan.groupBy("block")).applyInArrow(pack_group, schema)

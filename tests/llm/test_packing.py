@@ -5,8 +5,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from closure_engine.llm.packing import pack_block, pack_sequences
+from closure_engine.llm.packing import carried_deficits, encoded_documents, pack_block, pack_sequences
 from closure_engine.llm.token_counts import load_tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,3 +82,59 @@ def test_a_block_starts_from_the_deficits_before_it():
         if sequence == 0:
             first["abc"[doc % 3]] += len(ids)
     assert first["c"] >= 1000 and first["a"] <= 520
+
+
+def test_carried_deficits_equal_a_sequential_count(spark, monkeypatch):
+    """Over several groups of blocks, sources that blocks lack and a null source."""
+    from closure_engine.llm import packing
+
+    monkeypatch.setattr(packing, "_TOGETHER", 4)
+    r = np.random.default_rng(2)
+    held = [(b, s, int(r.integers(1, 90_000))) for b in range(30) for s in ("a", "b", None, "d") if r.random() < 0.7]
+    share = {"a": 0.5, "b": 0.25, None: 0.125, "d": 0.125}
+    got = carried_deficits(spark.createDataFrame(held, "block long, source string, tokens long"),
+                           spark.createDataFrame(list(share.items()), "name string, share double"))
+    want, upto, own = {}, 0, Counter()
+    for b in range(30):
+        mine = [(s, n) for x, s, n in held if x == b]
+        want |= {(b, s): (share[s], share[s] * upto - own[s]) for s, _ in mine}
+        upto += sum(n for _, n in mine)
+        own.update(dict(mine))
+    assert {(x["block"], x["source"]): (x["share"], x["behind"]) for x in got.collect()} == want
+
+
+def test_the_blocks_of_a_table_start_from_exact_deficits(spark, sf, odd):
+    """The deficits that Spark hands to the blocks are those of one pass over all tokens, however large."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source")
+    hot = spark.createDataFrame([(-1, "one hot row " * 30, "hot")] * 400, "doc_id long, text string, source string")
+    rows = [tuple(x) for x in encoded_documents(docs.unionByName(hot).repartition(4), PATH).select("source", "n", "deal").collect()]
+    total = sum(n for _, n, _ in rows)
+    blocks = 37
+    held = Counter()
+    for s, n, deal in rows:
+        held[deal % blocks, s] += n
+    shares = Counter()
+    for (_, s), n in held.items():
+        shares[s] += n / total
+    got = carried_deficits(spark.createDataFrame([(*k, n) for k, n in held.items()], "block long, source string, tokens long"),
+                           spark.createDataFrame(list(shares.items()), "name string, share double")).collect()
+    upto, own = 0, Counter()
+    found = {(x["block"], x["source"]): x["behind"] for x in got}
+    assert len(found) == len(held)
+    for b in range(blocks):
+        for s in shares:
+            if (b, s) in held:
+                assert abs(found[b, s] - (shares[s] * upto - own[s])) < 1e-3
+        for s in shares:
+            own[s] += held[b, s]
+            upto += held[b, s]
+    assert max(n for (_, s), n in held.items() if s == "hot") < 5 * sum(n for (_, s), n in held.items() if s == "hot") / blocks
+
+
+def test_a_row_that_fills_the_table(spark):
+    rows = pack_sequences(spark.createDataFrame([(7, "some words again and again", "a")] * 5000, "doc_id long, text string, source string").repartition(3),
+                          PATH, block_bytes=40_000)
+    per_block = {r["block"]: r["count"] for r in rows.groupBy(F.shiftright("sequence_id", 32).alias("block")).count().collect()}
+    n = rows.agg(F.sum("length")).first()[0]
+    assert n == 5000 * (len(load_tokenizer(PATH).encode("some words again and again").ids) + 1)
+    assert len(per_block) >= 2 and max(per_block.values()) <= 2 * sum(per_block.values()) / len(per_block)
