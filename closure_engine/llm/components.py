@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from closure_engine.operators.skew import hot_keys, split_join
+
+from .common import discard, written
+
+#: Links of one id that are worth a look-up of its own.
+_MANY = 256
+
+
+def _least_joined(links: DataFrame, key: str, value: str) -> DataFrame:
+    """``links`` with m, the least ``value`` of their ``key``; ids with many links read it from a bounded table.
+
+    An id is in that table if it has at least the 2^18th part of all links, so
+    they are 2^18 ids at most; the links of the others fit a task.
+    """
+    least = links.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("n"))
+    return split_join(links, least.select(key, "m"), key, hot_keys(least, key, "n", min_rows=_MANY).select(key, "m"))
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -13,9 +28,9 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
     ``links``: columns a and b, whole numbers.  A large-star step links the
     larger neighbours of an id to the smallest one, a small-star step the
-    smaller ones; each step is a partial aggregate and a join, so a hub's links
-    stay spread.  Every round is written, and the rounds grow with the
-    logarithm of the longest path.
+    smaller ones; each step is a partial aggregate and a join in which the links of
+    an id that holds many stay where they are.  Every round is written, the one
+    before is deleted, and the rounds grow with the logarithm of the longest path.
     """
     now = written(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), f"{name}-links")
     state = None
@@ -25,10 +40,9 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return now.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
         state = (check[0], check[1])
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        joined = large.join(lowest, "hi")
+        large = _least_joined(both, "u", "v").where("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
+        joined = _least_joined(large, "hi", "lo")
         small = joined.select("hi", F.col("m").alias("lo")).unionByName(
             joined.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
-        now = written(small.distinct(), f"{name}-round")
+        before, now = now, written(small.distinct(), f"{name}-round")
+        discard(before)

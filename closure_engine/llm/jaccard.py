@@ -281,7 +281,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = written(_shared_rows(reps, shared), "jaccard-rows")
     centre = rows.groupBy("h").agg(F.min(F.struct((F.col("pos") - F.col("s")).alias("gap"), "id", "n", "pos", "s")).alias("y"))
     stars = rows.alias("x").join(centre, "h").where((F.col("x.id") != F.col("y.id")) & _may_link("x", "y", percent))
-    stars = stars.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct()
+    stars = written(stars.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct(), "jaccard-stars")
     links = written(_verified(stars, docs, reps, id_col, text_col, k, percent, "jaccard-star"), "jaccard-star-links")
 
     # pairs across components
@@ -293,6 +293,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & (
         F.struct("y.n", "y.id") < F.struct("x.n", "x.id")) & _may_link("x", "y", percent))
     pairs = met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    seen = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))  # verified before, and found to be no link
+    pairs = pairs.join(seen, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti")
     more = written(_verified(pairs, docs, reps, id_col, text_col, k, percent, "jaccard-cross"), "jaccard-cross-links")
     every = components(links.unionByName(more), "jaccard")
 
