@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from closure_engine.llm.lattice import decode_e8, e8_roots, near_duplicate_vectors
+from closure_engine.llm.lattice import Cells, decode_e8, e8_roots, near_duplicate_vectors, tables_for
 
 
 def plain(rows, least=0.95):
@@ -93,3 +93,29 @@ def test_decoding_gives_the_nearest_point(seed):
     near = ((y - point / 2) ** 2).sum(1)
     assert near.max() <= 1 + 1e-9  # the covering radius
     assert all((((y - (point + r) / 2) ** 2).sum(1) >= near - 1e-9).all() for r in roots)
+
+
+def test_repeated_and_missing_ids(spark):
+    """Rows are vectors: an id that holds two vectors loses neither, one without an id links with nothing."""
+    rows = [(5, [1.0, 0, 0]), (5, [0, 1.0, 0]), (6, [1.0, 0.01, 0]), (7, [0, 1.0, 0.01]), (None, [1.0, 0, 0]), (9, [0, 0, 1.0]), (9, [0, 0, 1.0])]
+    got = near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False),
+                                                       (None, 0, None, False), (9, 1, 9, True), (9, 1, 9, True)], key=str)
+
+
+@pytest.mark.parametrize("blocks", [2, 3, 4])
+def test_recall_of_the_weakest_links_by_blocks(blocks):
+    """Pairs of 64 dimensions at a cosine of 0.95: one's home cell is among the other's cells in some table."""
+    r = np.random.default_rng(blocks)
+    n, dim = 400, 64
+    x, y = r.normal(size=(2, n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(1)[:, None] * x
+    y = 0.95 * x + math.sqrt(1 - 0.95**2) * y / np.linalg.norm(y, axis=1)[:, None]
+    met = np.zeros(n, bool)
+    tables = tables_for(blocks)
+    cells = Cells(dim, tables, blocks, 8)
+    for t in range(tables):
+        of_x, of_y = cells.of(x, t), cells.of(y, t)
+        met |= np.any([of_x[0] == k for k in of_y], axis=0) | np.any([of_y[0] == k for k in of_x], axis=0)
+    assert met.mean() >= 0.95
