@@ -95,7 +95,10 @@ def _duels(cell: Column, seed: int, level: int) -> Column:
 def _tree_rounding(units: DataFrame, seed: int) -> DataFrame:
     """source, id, size, extra (0 or 1) from source, id, size, p with 0 < p < 1 and size > 0."""
     settled = []
-    open_ = written(units.withColumn("h", F.xxhash64("id", "size", F.lit(seed))), "mix-units")
+    # equal rows are one row with a count, then numbered, so that they fall in different cells
+    alike = units.groupBy("source", "id", "size", "p").agg(F.count("*").alias("n"))
+    numbered = alike.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    open_ = written(numbered.select("source", "id", "size", "p", F.xxhash64("id", "size", "k", F.lit(seed)).alias("h")), "mix-units")
     level = 0
     while True:
         counted = open_.groupBy("source").agg(F.ceil(F.count("*") / CELL).alias("cells"))

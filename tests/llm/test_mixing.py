@@ -89,3 +89,13 @@ def test_targets_share_all(spark):
     got = {r["source"]: r["target"] for r in source_targets(rows).collect()}
     want = plain_targets({"a": 10, "b": 1000, None: 5, "c": 3})
     assert all(abs(got[s] - want[s]) < 1e-9 for s in want) and abs(sum(got.values()) - 1018) < 1e-9
+
+
+def test_one_row_repeated_many_times(spark):
+    """Equal rows fall in different cells, none of which grows with their number."""
+    docs = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("doc_id"),
+                                      F.when(F.col("id") % 3 == 0, F.expr("repeat('w ', int(1 + id % 9))")).otherwise("a b c").alias("text"),
+                                      F.when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id") % 7)).otherwise("hot").alias("source"))
+    rows = check(docs)
+    hot = [r["copies"] for r in rows if r["doc_id"] == -1]
+    assert len(hot) == 26_666 and abs(sum(hot) * 3 - next(r["target"] for r in rows if r["doc_id"] == -1)) <= 3
