@@ -8,8 +8,9 @@ other, so that the spreads cancel; one partition is left in the end.
 
 On Spark: every task differences the groups of one hash bucket, each group
 being a partial partition at first, which leaves one partial partition a
-bucket; these are differenced again, at most ``FAN`` in a task, level by level.  What a task holds is bounded by the number
-of buckets (the cluster's shuffle partitions) and by FAN.
+bucket; these are differenced again, at most ``FAN`` in a task, level by level.
+There are as many buckets as give ``LEAF`` groups each, so what a task holds is
+bounded and the result depends on the data alone.
 
 Sizes: UTF-8 bytes plus ``row_bytes``; a null text has none.  Null texts are
 one group, apart from empty ones.  A group larger than an even share fills its
@@ -27,10 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, utf8_bytes, written
+from closure_engine.operators.skew import hot_keys, split_join
+
+from .common import utf8_bytes, written
 
 #: Partial partitions differenced in one task of the upper levels.
 FAN = 256
+#: Groups differenced in one task of the lowest level, and rows numbered in one.
+LEAF = 20_000
 
 
 def difference(sums: np.ndarray) -> np.ndarray:
@@ -131,29 +136,35 @@ def _buckets_to_shards(sums: DataFrame, shards: int, buckets: int) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
                     row_bytes: int = 16) -> DataFrame:
     """id, size, text_crc32, shard, slot for every row of ``docs``."""
-    spark, buckets = docs.sparkSession, shuffle_partitions(docs.sparkSession)
     text = F.col(text_col)
     rows = written(docs.select(
         F.col(id_col).alias("id"), (utf8_bytes(text) + row_bytes).alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.coalesce(F.md5(text.cast("binary")), F.lit("null")).alias("grp")), "shard-rows")
-    groups = rows.groupBy("grp").agg(F.sum("size").alias("bytes")).withColumn(
-        "bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)))
-    placed = written(groups.groupBy("bucket").applyInPandas(
+    groups = written(rows.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-sizes")
+    held = groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    buckets = max(1, -(-held["groups"] // LEAF))
+    placed = written(groups.withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets))).groupBy("bucket").applyInPandas(
         _leaf(shards), "grp string, bytes long, bucket long, part long"), "shard-groups")
     sums = placed.groupBy("bucket", "part").agg(F.sum("bytes").alias("bytes"))
     to = _buckets_to_shards(sums, shards, buckets)
-    of = placed.join(F.broadcast(to), ["bucket", "part"]).select("grp", "shard")  # at most buckets x shards rows
-    out = written(rows.join(of, "grp").select("id", "size", "text_crc32", "shard"), "shard-placed")
-    return _numbered(out, buckets).withColumnRenamed("id", id_col)
+    of = written(placed.join(to, ["bucket", "part"]).select("grp", "shard"), "shard-of-group")
+    # a text that many rows share is looked up in a table of 2^18 groups at most
+    hot = of.join(hot_keys(groups, "grp", "n").select("grp"), "grp", "left_semi")
+    out = split_join(rows, of, "grp", hot).select("id", "size", "text_crc32", "shard")
+    return _numbered(written(out, "shard-placed"), max(1, -(-held["rows"] // (shards * LEAF)))).withColumnRenamed("id", id_col)
 
 
 def _numbered(rows: DataFrame, pieces: int) -> DataFrame:
-    """Adds slot: 0, 1, ... within each shard, counted piece by piece so that no shard is one task."""
-    cut = rows.withColumn("piece", F.pmod(F.xxhash64("id", "size", "text_crc32"), F.lit(pieces)))
-    held = cut.groupBy("shard", "piece").agg(F.count("*").alias("n"))
+    """Adds slot: 0, 1, ... within each shard, counted piece by piece so that no shard is one task.
+
+    Equal rows are one row with a count until their numbers are told.
+    """
+    keys = ["id", "size", "text_crc32", "shard"]
+    cut = rows.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("piece", F.pmod(F.xxhash64("id", "size", "text_crc32"), F.lit(pieces)))
+    held = cut.groupBy("shard", "piece").agg(F.sum("n").alias("n"))
     before = held.select("shard", "piece", (F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")).alias("before"))
-    own = F.row_number().over(Window.partitionBy("shard", "piece").orderBy("id", "size", "text_crc32"))
-    # at most shards x pieces rows
-    return cut.withColumn("own", own).join(F.broadcast(before), ["shard", "piece"]).select(
-        "id", "size", "text_crc32", "shard", (F.col("before") + F.col("own") - 1).cast("long").alias("slot"))
+    order = Window.partitionBy("shard", "piece").orderBy("id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = cut.withColumn("own", F.sum("n").over(order) - F.col("n")).join(before, ["shard", "piece"])
+    return first.select("id", "size", "text_crc32", "shard", F.explode(F.sequence(
+        F.col("before") + F.col("own"), F.col("before") + F.col("own") + F.col("n") - 1)).alias("slot"))

@@ -75,3 +75,26 @@ def test_differencing_many_groups():
     sizes = np.random.default_rng(2).integers(1, 10_000, 700)
     total = np.bincount(difference_groups(sizes, 40), sizes, 40)
     assert total.sum() == sizes.sum() and np.ptp(total) < 0.01 * total.mean()
+
+
+def test_buckets_follow_the_groups(spark, monkeypatch):
+    """Several leaves and levels, the same shards whatever the session's number of partitions."""
+    monkeypatch.setattr("closure_engine.llm.sharding.FAN", 2)
+    monkeypatch.setattr("closure_engine.llm.sharding.LEAF", 150)
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat('y', int(1 + id * 7 % 1000))").alias("text"))
+    sums = check(docs, 8)
+    assert max(sums.values()) < 1.05 * min(sums.values())
+    one = sorted(shard_documents(docs, 8).collect())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    assert sorted(shard_documents(docs, 8).collect()) == one
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_one_row_repeated_many_times(spark):
+    docs = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("doc_id"),
+                                       F.when(F.col("id") % 3 == 0, F.concat(F.lit("t"), "id")).otherwise("copy").alias("text"))
+    rows = shard_documents(docs, 5)
+    got = rows.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("top")).collect()
+    assert all(r["n"] == r["d"] == r["top"] + 1 for r in got) and sum(r["n"] for r in got) == 100_000
+    assert rows.where("doc_id = -1").select("shard").distinct().count() == 1
