@@ -12,6 +12,7 @@ Ids are little-endian numbers of 16 bits where the vocabulary allows it, else 32
 
 from __future__ import annotations
 
+import gc
 import struct
 
 import numpy as np
@@ -150,4 +151,6 @@ def worker_ids(path: str, special: bool = True) -> WordIds:
     """The worker process's encoder, made once and kept between its tasks."""
     if (path, special) not in _HELD:
         _HELD[path, special] = WordIds(path, special)
+        # the library's answers are many small objects without cycles; looking for cycles among them took a seventh of the time
+        gc.set_threshold(100_000, 50, 50)
     return _HELD[path, special]
