@@ -20,10 +20,10 @@ from closure_engine.sources import (
 )
 
 from closure_engine.plans.programs import closure_from_text, global_coefficient
-from closure_engine.sources.sinks import write_closure
+from closure_engine.sources.sinks import read_closure, write_closure
 
 __all__ = list(_ops_all) + [
-    "closure_from_text", "global_coefficient", "write_closure",
+    "closure_from_text", "global_coefficient", "read_closure", "write_closure",
     "customer_supplier_edges", "edges_from_columns", "example_graph", "parse_edge_lines",
     "read_edge_text", "supply_edges",
 ]

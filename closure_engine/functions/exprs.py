@@ -55,6 +55,27 @@ def guarded_ratio(num, den) -> Column:
     return F.when(d > 0, n.cast("double") / d.cast("double")).otherwise(nan())
 
 
+def exact_mean(value, n) -> Column:
+    """Aggregate: the mean over ``n`` rows of doubles between 0 and 1; the same bits in every order of addition.
+
+    A value becomes a whole number of 2^-62 (values of 2^-9 and above exactly,
+    smaller ones rounded down by less than 2^-62), cut into parts of 20, 21 and
+    21 bits whose sums are whole numbers and fit 64 bits up to 2^42 rows.  The
+    sum is put together as a decimal and rounded to a double once; dividing by
+    ``n`` and by 2^62 rounds once more.  So the result is off by less than 2^-62
+    plus 2^-52 of its size.  NaN for no rows; nulls count as 0.
+    """
+    whole = F.floor(_c(value) * F.lit(float(1 << 62))).cast("bigint")
+    low = (1 << 21) - 1
+    parts = (F.shiftright(whole, 42), F.shiftright(whole, 21).bitwiseAND(F.lit(low)), whole.bitwiseAND(F.lit(low)))
+    total = F.lit(0).cast("decimal(38,0)")
+    for part in parts:
+        held = F.coalesce(F.sum(part), zero()).cast("decimal(20,0)")
+        total = (total * F.lit(1 << 21).cast("decimal(8,0)")).cast("decimal(38,0)") + held
+    mean = total.cast("decimal(38,0)").cast("double") / n.cast("double") / F.lit(float(1 << 62))
+    return F.when(n > 0, mean).otherwise(nan())
+
+
 def sort3(a, b, c) -> list[Column]:
     """The three ids in ascending order (no arithmetic, safe for any bigint)."""
     arr = F.sort_array(F.array(_c(a), _c(b), _c(c)))

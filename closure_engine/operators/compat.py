@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from closure_engine.functions.exprs import guarded_ratio, local_ratio, triplets_of, zero
 from closure_engine.operators.adjacency import degree
 from closure_engine.operators.skew import hot_keys, hot_lookup, split_join
-from closure_engine.operators.triangles import common_neighbour_counts, triangle_list
+from closure_engine.operators.triangles import closing_with_multiplicity, common_neighbour_counts
 
 
 def _summary(per_vertex: DataFrame, triangle_factor: int, with_average: bool = True) -> DataFrame:
@@ -153,18 +153,20 @@ def common_neighbours_multiset(raw: DataFrame, src: str = "src", dst: str = "dst
     """``(u, v, n_common)`` per simple edge: the size of the multiset intersection of both neighbour lists.
 
     The lists are those of the loop-free multigraph, so a common neighbour w
-    counts min(multiplicity of u-w, multiplicity of v-w) times.  Every
-    triangle looks up the multiplicities of its three pairs, each pair being
-    one row.
+    counts min(multiplicity of u-w, multiplicity of v-w) times.  The closing
+    step's list entries carry the multiplicities, so a triangle comes with the
+    three of its pairs and nothing is looked up afterwards.
     """
-    pairs = _undirected(raw, src, dst).where("non_loop").select("u", "v", "n")
-    t = triangle_list(pairs.select("u", "v"))
-    for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
-        t = t.join(pairs.select(F.col("u").alias(x), F.col("v").alias(y), F.col("n").alias(x + y)), [x, y])
-
-    def edge(u, v, one, two):
-        return F.struct(F.col(u).alias("u"), F.col(v).alias("v"), F.least(one, two).alias("n"))
-
-    counts = t.select(F.explode(F.array(edge("a", "b", "ac", "bc"), edge("a", "c", "ab", "bc"), edge("b", "c", "ab", "ac"))).alias("e"))
-    none = pairs.select("u", "v", F.when(F.col("n") > 0, zero()).alias("n"))
-    return none.unionByName(counts.select("e.u", "e.v", "e.n")).groupBy("u", "v").agg(F.sum("n").alias("n_common"))
+    pairs = _undirected(raw, src, dst).where("non_loop").select("u", "v", F.col("n").alias("w"))
+    found = closing_with_multiplicity(pairs)
+
+    def edge(u, v, n):
+        return F.struct(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"), n.alias("n"))
+
+    a, b, ab = F.col("a"), F.col("b"), F.col("ab")
+    own = F.array(edge(a, b, F.aggregate("common", zero(), lambda s, x: s + F.least(x["ac"], x["bc"]))))
+    via_a = F.transform("common", lambda x: edge(a, x["c"], F.least(ab, x["bc"])))
+    via_b = F.transform("common", lambda x: edge(b, x["c"], F.least(ab, x["ac"])))
+    counts = found.select(F.explode(F.concat(own, via_a, via_b)).alias("e")).select("e.u", "e.v", "e.n")
+    none = pairs.select("u", "v", F.when(F.col("w") > 0, zero()).alias("n"))
+    return none.unionByName(counts).groupBy("u", "v").agg(F.sum("n").alias("n_common"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,15 +22,45 @@ def vertices_from_edges(edges: DataFrame, default=None, src: str = "src", dst: s
     return endpoints(edges, src, dst).select("id", value.alias(attr))
 
 
+def repeated_ids(vertices: DataFrame, id: str = "id") -> DataFrame:
+    """``(id, rows)`` of the ids that stand in more than one row; ``.isEmpty()`` of it is the uniqueness check.
+
+    One partial aggregate over the id column only.
+    """
+    return vertices.groupBy(id).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
+
+def one_per_id(vertices: DataFrame, id: str = "id", merge: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """The vertex table with one row an id: a graph holds one value a vertex.
+
+    ``merge`` names a built-in aggregate for an attribute (``{"seen": F.max,
+    "total": F.sum}``).  An attribute it doesn't name takes its largest value
+    that isn't null, so the result doesn't depend on the order of rows; as that is taken
+    attribute by attribute, it may come from different rows.  Rows without an id are
+    dropped, as no edge can reach them.  One partial aggregate: an id
+    repeated a billion times is one row per task before the shuffle.
+    """
+    merge = merge or {}
+    unknown = set(merge) - set(vertices.columns)
+    if unknown:
+        raise ValueError(f"no such attributes: {sorted(unknown)}")
+    attrs = [c for c in vertices.columns if c != id]
+    known = vertices.where(F.col(id).isNotNull())
+    if not attrs:
+        return known.select(id).distinct()
+    return known.groupBy(id).agg(*[merge.get(c, F.max)(F.col(c)).alias(c) for c in attrs])
+
+
 def with_vertices(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
-                  id: str = "id") -> DataFrame:
-    """Vertex set of ``Graph(vertices, edges)``: declared vertices plus every endpoint.
+                  id: str = "id", merge: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Vertex set of ``Graph(vertices, edges)``: declared vertices plus every endpoint, one row an id.
 
-    Declared vertices keep their attributes (isolated ones too); endpoints that
-    were not declared get null attributes.
+    Declared vertices keep their attributes (isolated ones too); repeated ones
+    are merged by :func:`one_per_id`.  Endpoints that were not declared get null
+    attributes.
     """
     ends = endpoints(edges, src, dst).withColumnRenamed("id", id)
-    return vertices.join(ends, id, "full_outer")
+    return one_per_id(vertices, id, merge).join(ends, id, "full_outer").select(*vertices.columns)
 
 
 def join_vertices(left: DataFrame, right: DataFrame, value: str, new_value: str | None = None,
@@ -52,11 +84,13 @@ _NARROW = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean",
 
 def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
                  id: str = "id", attrs: list[str] | None = None, skew_safe: bool = True,
-                 hubs: DataFrame | None = None) -> DataFrame:
+                 hubs: DataFrame | None = None, unique: bool = False,
+                 merge: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Each edge with both endpoints' attributes as ``src_<attr>`` / ``dst_<attr>``.
 
-    Two equi-joins on the vertex id (``vertices`` has one row per id; edges
-    whose endpoint has no row keep null attributes).  With ``skew_safe`` and
+    Two equi-joins on the vertex id; edges whose endpoint has no row keep null
+    attributes.  Repeated ids are merged by :func:`one_per_id` first, so an edge
+    stays one row; ``unique=True`` says that there are none and saves the step.  With ``skew_safe`` and
     attributes of bounded width, the hub endpoints (bounded set, from the
     edge degrees) read a broadcast copy of their rows.  Wider attributes
     (text, arrays) are never broadcast: each hub's row is copied once per
@@ -67,6 +101,8 @@ def triplet_view(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: s
     from closure_engine.operators.adjacency import degree
 
     attrs = attrs if attrs is not None else [c for c in vertices.columns if c != id]
+    if not unique:
+        vertices = one_per_id(vertices.select(id, *attrs), id, {k: f for k, f in (merge or {}).items() if k in attrs})
     sv = vertices.select(F.col(id).alias(src), *[F.col(a).alias(f"{src}_{a}") for a in attrs])
     dv = vertices.select(F.col(id).alias(dst), *[F.col(a).alias(f"{dst}_{a}") for a in attrs])
     if not skew_safe:

@@ -8,6 +8,9 @@ Definitions on the simple undirected graph, degree d(v), T(v) triangles on v:
 * average     = sum local(v) / #vertices    (vertices with d < 2 count as 0)
 
 An empty graph (no triplet, no vertex) gives NaN, never a division error.
+The average adds up fixed-point values, whose sum doesn't depend on the order of
+addition, so reruns and other partitionings give the same bits (its error is
+stated at :func:`closure_engine.functions.exprs.exact_mean`).
 ``triplets`` is a ``decimal(38,0)`` everywhere, as it passes 64 bits at a
 degree of about 4.3 billion; sums of it stay exact.
 All global values come from one final aggregate over the per-vertex table;
@@ -21,10 +24,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closure_engine.functions.exprs import guarded_ratio, int_div, local_ratio, triplets_of, zero
-from closure_engine.operators.adjacency import degree as _degree
+from closure_engine.functions.exprs import exact_mean, guarded_ratio, int_div, local_ratio, triplets_of, zero
 from closure_engine.operators.clean import canonical_edges
-from closure_engine.operators.triangles import SkewConfig, triangle_counts
+from closure_engine.operators.triangles import SkewConfig, prepared, triangle_counts
 from closure_engine.operators.triangles import triangles_total as _triangles_total
 
 
@@ -50,14 +52,14 @@ def _graph_vertices(degrees: DataFrame, vertices: DataFrame | None) -> DataFrame
             .select("id", F.coalesce("degree", zero()).alias("degree")))
 
 
-def local_closure(canonical: DataFrame, vertices: DataFrame | None = None,
+def local_closure(canonical, vertices: DataFrame | None = None,
                   degrees: DataFrame | None = None, cfg: SkewConfig | None = None) -> DataFrame:
     """Per vertex ``(id, degree, triangles, triplets, local)``.
 
     ``degrees`` and the triangle counts are both aggregated by ``id``, so the
     final join reuses that hash partitioning instead of shuffling again.
     """
-    deg = degrees if degrees is not None else _degree(canonical, "u", "v")
+    _, deg, _ = prepared(canonical, degrees)
     tri = triangle_counts(canonical, deg, cfg)
     base = _graph_vertices(deg, vertices)
     j = base.join(tri, "id", "left")
@@ -72,7 +74,7 @@ def summarize(local: DataFrame, average_digits: int | None = None) -> DataFrame:
     n = F.count(F.lit(1))
     sum_t = F.coalesce(F.sum("triangles"), zero())
     sum_p = _whole(F.sum("triplets"))
-    avg = F.when(n > 0, F.sum("local") / n).otherwise(F.lit(float("nan")))
+    avg = exact_mean("local", n)
     if average_digits is not None:
         avg = F.round(avg, average_digits)
     return local.agg(
@@ -85,20 +87,20 @@ def summarize(local: DataFrame, average_digits: int | None = None) -> DataFrame:
     )
 
 
-def transitivity(canonical: DataFrame, degrees: DataFrame | None = None, cfg: SkewConfig | None = None) -> DataFrame:
+def transitivity(canonical, degrees: DataFrame | None = None, cfg: SkewConfig | None = None) -> DataFrame:
     """One row ``triangles, triplets, transitivity`` (the global coefficient).
 
     Needs no per-vertex counts: one sum over the closing step and one over the
     degrees, added up in a single final row.
     """
-    deg = degrees if degrees is not None else _degree(canonical, "u", "v")
+    _, deg, _ = prepared(canonical, degrees)
     found = _triangles_total(canonical, deg, cfg).select("triangles", F.lit(0).cast("decimal(38,0)").alias("triplets"))
     both = found.unionByName(triplets_total(deg).select(zero().alias("triangles"), "triplets"))
     t, p = F.sum("triangles"), _whole(F.sum("triplets"))
     return both.agg(t.alias("triangles"), p.alias("triplets"), guarded_ratio(3 * t, p).alias("transitivity"))
 
 
-def average_closure(canonical: DataFrame, vertices: DataFrame | None = None,
+def average_closure(canonical, vertices: DataFrame | None = None,
                     average_digits: int | None = None) -> DataFrame:
     """One row ``n_vertices, average`` (the mean of the local coefficients)."""
     s = summarize(local_closure(canonical, vertices), average_digits)
@@ -129,11 +131,14 @@ class Closure:
         self.canonical.unpersist()
 
 
-def closure(edges: DataFrame, vertices: DataFrame | None = None, src: str = "src", dst: str = "dst",
+def closure(edges, vertices: DataFrame | None = None, src: str = "src", dst: str = "dst",
             materialize: str | None = None, average_digits: int | None = None,
             cfg: SkewConfig | None = None) -> Closure:
     """Everything from a raw edge table: clean once, then local, global and average.
 
+    ``edges`` may also be a stored graph (:mod:`closure_engine.operators.stored`),
+    which is already clean and ranked; it takes no ``materialize``.
+
     Within one action the plan reuses its shuffles, so the edge table is
     read once.  For several actions on the result, ``materialize`` keeps the
     canonical edge set:
@@ -144,6 +149,11 @@ def closure(edges: DataFrame, vertices: DataFrame | None = None, src: str = "src
       shared reliable folder on a cluster; the lineage is cut, so later
       jobs and retries start from the written edge set.
     """
+    if not isinstance(edges, DataFrame):
+        if materialize is not None:
+            raise ValueError("a stored graph is kept already")
+        per_vertex = local_closure(edges, vertices, cfg=cfg)
+        return Closure(edges.canonical, per_vertex, summarize(per_vertex, average_digits))
     canon = canonical_edges(edges, src, dst)
     if materialize == "persist":
         from pyspark import StorageLevel

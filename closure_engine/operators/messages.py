@@ -12,7 +12,11 @@ join + aggregate to the plan, so with more than one round the edges are
 checkpointed once and the vertex state every ``checkpoint_every`` rounds
 (reliable ``checkpoint()`` in ``spark.checkpoint.dir``; eager, so building
 the result runs jobs); a lost executor then recomputes from the last
-checkpoint only.  ``checkpoint_every=0`` keeps everything lazy.
+checkpoint only.  ``checkpoint_every=0`` keeps everything lazy.  Each round
+shuffles the edges to both ends, as a message may read both; rounds whose messages read
+their sender only don't shuffle edges on a stored graph
+(:mod:`closure_engine.operators.stored`), and messages that are sets are rows in
+:mod:`closure_engine.operators.sets`.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closure_engine.operators.adjacency import degree
-from closure_engine.operators.graph import triplet_view
+from closure_engine.operators.graph import one_per_id, triplet_view
 from closure_engine.operators.skew import hot_keys
 from closure_engine.operators.triangles import SkewConfig
 from closure_engine.session import ensure_checkpoint_dir
@@ -34,12 +38,13 @@ Merge = Callable[[Column], Column]
 def aggregate_messages(edges: DataFrame, vertices: DataFrame | None, to_src: Column | None,
                        to_dst: Column | None, merge: Merge = F.sum, name: str = "msg",
                        src: str = "src", dst: str = "dst", id: str = "id",
-                       count_name: str | None = None, hubs: DataFrame | None = None) -> DataFrame:
+                       count_name: str | None = None, hubs: DataFrame | None = None, unique: bool = False) -> DataFrame:
     """One round of messages: ``(id, <name>[, <count_name>])`` for vertices that got any.
 
-    ``hubs`` (bounded ``id`` table) is forwarded to :func:`triplet_view`.
+    ``hubs`` (bounded ``id`` table) and ``unique`` (no id is repeated) are
+    forwarded to :func:`triplet_view`.
     """
-    view = edges if vertices is None else triplet_view(edges, vertices, src, dst, id, hubs=hubs)
+    view = edges if vertices is None else triplet_view(edges, vertices, src, dst, id, hubs=hubs, unique=unique)
     out = []
     if to_src is not None:
         out.append(F.struct(F.col(src).alias("id"), to_src.alias("msg")))
@@ -73,11 +78,11 @@ def message_rounds(edges: DataFrame, vertices: DataFrame | Callable[[DataFrame],
     if checkpoint_every and rounds > 1:
         ensure_checkpoint_dir(edges.sparkSession)  # the cluster's spark.checkpoint.dir if set
         edges = edges.checkpoint(eager=True)  # read once, not once a round
-    cur = (vertices(edges) if callable(vertices) else vertices).select(id, state)
+    cur = one_per_id(vertices(edges) if callable(vertices) else vertices, id).select(id, state)
     skew = skew or SkewConfig()
     hubs = hot_keys(degree(edges, src, dst), "id", "degree", skew.max_hot, skew.min_hot_rows).select("id")  # same edges every round
     for r in range(rounds):
-        got = aggregate_messages(edges, cur, to_src, to_dst, merge, "_msg", src, dst, id, hubs=hubs)
+        got = aggregate_messages(edges, cur, to_src, to_dst, merge, "_msg", src, dst, id, hubs=hubs, unique=True)
         j = cur.join(got, id, "left")
         old, msg = F.col(state), F.col("_msg")
         new = msg if update is None else update(old, msg)

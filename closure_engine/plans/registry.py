@@ -327,6 +327,60 @@ def q_message_rounds_walks(spark, sf_dir):
                           merge=F.sum, src="u", dst="v")
 
 
+# ------------------------------------- stored graph, set messages (A9, E, J3)
+
+
+def _stored(spark, sf_dir):
+    import uuid
+
+    from closure_engine.operators.stored import store_graph
+    from closure_engine.session import ensure_checkpoint_dir
+
+    return store_graph(_k(spark, sf_dir), f"{ensure_checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}")
+
+
+@register("stored_graph_summary", _summary_sql("K"))
+def q_stored_graph_summary(spark, sf_dir):
+    """The whole summary of a graph that was prepared, stored and opened again."""
+    from closure_engine.operators.stored import open_graph
+
+    return _long_triplets(closure(open_graph(spark, _stored(spark, sf_dir).path), average_digits=AVG_DIGITS).summary)
+
+
+@register("stored_rounds_walks", K + """, h AS (SELECT u AS id, v AS nb FROM e UNION ALL SELECT v, u FROM e),
+w2 AS (SELECT h.id, sum(d.degree) AS w FROM h JOIN d ON d.id = h.nb GROUP BY h.id),
+w3 AS (SELECT h.id, sum(w2.w) AS w FROM h JOIN w2 ON w2.id = h.nb GROUP BY h.id)
+SELECT h.id, CAST(sum(w3.w) AS BIGINT) AS walks4 FROM h JOIN w3 ON w3.id = h.nb GROUP BY h.id""")
+def q_stored_rounds_walks(spark, sf_dir):
+    """Walks of four steps that end at each vertex: four rounds over edges that stay where they are."""
+    from closure_engine.operators.stored import stored_rounds
+
+    graph = _stored(spark, sf_dir)
+    start = graph.degrees.select("id", F.lit(1).cast("bigint").alias("walks4"))
+    return stored_rounds(graph, start, "walks4", 4, to_u=F.col("v_walks4"), to_v=F.col("u_walks4"))
+
+
+@register("set_messages_intersect", K + ", " + _CN_SUM + "SELECT id, n_common_sum FROM ns")
+def q_set_messages_intersect(spark, sf_dir):
+    """Two rounds of set-valued messages: neighbour sets, then their intersections, as rows."""
+    from closure_engine.operators.sets import common_element_sums, neighbour_sets
+
+    canon = _kc(spark, sf_dir)
+    return common_element_sums(canon, neighbour_sets(canon, "u", "v"), "u", "v")
+
+
+@register("graph_with_repeated_vertices", f"""WITH raw AS ({RAW_SQL['B']}),
+ends AS (SELECT DISTINCT id FROM (SELECT src AS id FROM raw UNION ALL SELECT dst FROM raw)),
+p AS (SELECT o_custkey AS id, max(o_orderstatus) AS status, min(o_orderkey) AS first_order, count(o_orderkey) AS n_orders
+      FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+SELECT coalesce(p.id, ends.id) AS id, p.status, p.first_order, p.n_orders FROM p FULL OUTER JOIN ends ON p.id = ends.id""")
+def q_graph_with_repeated_vertices(spark, sf_dir):
+    """Every order declares its customer again; a vertex is one row with merged attributes."""
+    declared = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status"),
+                                                     F.col("o_orderkey").alias("first_order"), F.col("o_orderkey").alias("n_orders"))
+    return with_vertices(raw_edges(spark, sf_dir, "B"), declared, merge={"first_order": F.min, "n_orders": F.count})
+
+
 # ------------------------------------------------------------- compat (L)
 
 _COMPAT_ROWS = "SELECT id, degree, triangles, triplets, local FROM pl"
