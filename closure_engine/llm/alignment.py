@@ -62,39 +62,10 @@ class _Lossy(Exception):
     """A part's token bytes are not the part's."""
 
 
-class _Uneven(Exception):
-    """A part is empty or ends in white space: the space after it is no boundary."""
-
-
-class _Pieces(dict):
-    """Part of a text -> ids of the sentencepiece model, which puts a space before it; two bounded generations."""
-
-    def __init__(self, owner: PieceIds, memo: int):
-        super().__init__()
-        self.owner, self.memo, self.old = owner, memo, {}
-
-    def __missing__(self, part: str) -> bytes:
-        value = self.old.get(part)
-        if value is None:
-            if not part or part[-1].isspace():
-                raise _Uneven
-            value = self.owner.ask(part)
-            if len(part) > _LONG:
-                return value
-        self.keep(part, value)
-        return value
-
-    def keep(self, part: str, value: bytes) -> None:
-        if len(self) >= self.memo:
-            self.old = dict(self)
-            self.clear()
-        self[part] = value
-
-
 class PieceIds:
     """Ids of a sentencepiece model, word by word where no piece holds a space inside."""
 
-    def __init__(self, path: str, memo: int = 1 << 18):
+    def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -104,18 +75,17 @@ class PieceIds:
         self.dtype = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         #: No merge crosses a space after a word then, so the words' ids are those of the text.
         self.by_words = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.held = _Pieces(self, memo)
-
         self.code = "H" if self.dtype.itemsize == 2 else "I"
 
-    def _checked(self, part: str, ids: list[int]) -> bytes | None:
+    def checked(self, part: str, ids: list[int]) -> bytes | None:
+        """The ids as bytes; None where their bytes are not those of a space and the part."""
         if b"".join(map(self.bytes.__getitem__, ids)) != b" " + part.encode():
             return None
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def ask(self, part: str) -> bytes:
         """The ids of a part with a space before it; checked against its bytes."""
-        value = self._checked(part, self.model.encode(part) if part else [self.model.piece_to_id("▁")])
+        value = self.checked(part, self.model.encode(part) if part else [self.model.piece_to_id("▁")])
         if value is None:
             raise _Lossy
         return value
@@ -124,10 +94,7 @@ class PieceIds:
         """Ids of the text, to which the model itself adds a space; raises ``_Lossy`` where their bytes differ."""
         if not self.by_words:
             return self.ask(text)
-        try:
-            return b"".join(map(self.held.__getitem__, text.split(" ")))
-        except _Uneven:
-            return b"".join(self.ask(part[1:]) for part in _SAFE.split(" " + text))
+        return b"".join(self.ask(part[1:]) for part in _SAFE.split(" " + text))
 
 
 def token_bytes(tokenizer) -> list[bytes]:
@@ -239,10 +206,15 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) ->
 
 
 class Aligner:
-    """Both encoders of a worker process, with the bytes of their tokens."""
+    """Both encoders of a worker process, with the bytes of their tokens.
 
-    def __init__(self, path_a: str, path_b: str):
+    ``memo``: parts of texts, with both encoders' ids, that are remembered in
+    each of two generations.
+    """
+
+    def __init__(self, path_a: str, path_b: str, memo: int = 1 << 19):
         self.a, self.b = worker_ids(path_a, special=False), PieceIds(path_b)
+        self.memo, self.held, self.old = memo, {}, {}
         self.bytes_a = token_bytes(self.a.tokenizer)
         #: With an entry for every byte and no normalizer, A's joined token bytes are those of the text.
         self.lossless = self.a.tokenizer.normalizer is None and {bytes([b]) for b in range(256)} <= set(self.bytes_a)
@@ -252,19 +224,56 @@ class Aligner:
         #: An id's decimal digits before a comma, before the bar and before the semicolon, padded with zero bytes.
         self.spelled = np.array([f"{i}{mark}" for mark in ",|;" for i in range(self.width)], "S")
 
-    def align(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of A, ids of B, group sizes in A, in B); all empty for a text without tokens."""
+    def _learn(self, parts: set[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """The ids of parts that aren't remembered (None: lossy), asked for all at once; uneven parts are left out."""
+        known = {x: value for x in parts if (value := self.old.get(x)) is not None}
+        new = [x for x in parts if x not in known and x and not x[-1].isspace()]
+        for x, ids in zip(new, self.b.model.encode(new, num_threads=1) if new else ()):
+            b = self.b.checked(x, ids)
+            known[x] = None if b is None else (self.a.ask(x, self.a.later), b)
+        if len(self.held) >= self.memo:
+            self.held, self.old = {}, self.held
+        self.held.update((x, value) for x, value in known.items() if value is not None and len(x) <= _LONG)
+        return known
+
+    def _ids(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        """Both encoders' ids of each text; None for a text without tokens."""
+        texts = [x or "" for x in texts]
+        split = [x.split(" ") if x and self.b.by_words else [] for x in texts]
+        met = [list(map(self.held.get, parts)) for parts in split]
+        fresh = self._learn({x for parts, values in zip(split, met) if None in values for x, value in zip(parts, values) if value is None})
+        out: list[tuple[bytes, bytes] | None] = []
+        for text, parts, values in zip(texts, split, met):
+            try:
+                if None in values:
+                    values = [value or fresh[x] for x, value in zip(parts, values)]
+                if not text or None in values:
+                    out.append(None)
+                elif parts:
+                    out.append((b"".join([x for x, _ in values]), b"".join([x for _, x in values])))
+                else:
+                    out.append((self.a.spaced(text), self.b.spaced(text)))
+            except KeyError:  # a part is empty or ends in white space, so the space after it is no boundary
+                try:
+                    out.append((self.a.spaced(text), self.b.spaced(text)))
+                except _Lossy:
+                    out.append(None)
+            except _Lossy:
+                out.append(None)
+        return out
+
+    def align(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids of A, ids of B, group sizes in A, in B) of each text; all empty for a text without tokens."""
         none = np.zeros(0, np.int64)
-        if not text:
-            return none, none, none, none
-        try:
-            b = np.frombuffer(self.b.spaced(text), self.b.dtype)
-        except _Lossy:
-            return none, none, none, none
-        a = np.frombuffer(self.a.spaced(text), self.a.dtype)
-        if not self.lossless and b"".join(map(self.bytes_a.__getitem__, a.tolist())) != b" " + text.encode():
-            return none, none, none, none
-        return a, b, *group_sizes(np.cumsum(self.lengths_a[a]).tolist(), np.cumsum(self.lengths_b[b]).tolist())
+        for text, ids in zip(texts, self._ids(texts)):
+            if ids is None:
+                yield none, none, none, none
+                continue
+            a, b = np.frombuffer(ids[0], self.a.dtype), np.frombuffer(ids[1], self.b.dtype)
+            if not self.lossless and b"".join(map(self.bytes_a.__getitem__, a.tolist())) != b" " + text.encode():
+                yield none, none, none, none
+            else:
+                yield a, b, *group_sizes(np.cumsum(self.lengths_a[a]).tolist(), np.cumsum(self.lengths_b[b]).tolist())
 
     def group_text(self, a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
@@ -318,8 +327,7 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "
                 held: list[tuple[np.ndarray, np.ndarray]] = []
                 at: list[int] = []
                 some = texts[start:end].to_pylist()
-                for k, text in zip(range(start, end), some):
-                    a, b, n, m = aligner.align(text)
+                for k, (a, b, n, m) in zip(range(start, end), aligner.align(some)):
                     keys, times = linked_pairs(a, b, n, m)
                     spelled = hashlib.sha256(aligner.group_text(a, b, n, m)).hexdigest() if len(a) else ""
                     out.append((row, len(a), len(b), len(n), int(times.sum()), spelled))

@@ -140,6 +140,6 @@ def test_links_spelled_out_in_slices(monkeypatch, most):
 
 def test_one_large_group():
     aligner = Aligner(A, B)
-    a, b, n, m = aligner.align("ｱ" * 3000)
+    (a, b, n, m), = aligner.align(["ｱ" * 3000])
     keys, times = linked_pairs(a, b, n, m)
     assert times.sum() == (n * m).sum() and len(set(keys.tolist())) == len(keys)
