@@ -97,7 +97,8 @@ def test_decoding_gives_the_nearest_point(seed):
 
 def test_repeated_and_missing_ids(spark):
     """Rows are vectors: an id that holds two vectors loses neither, one without an id links with nothing."""
-    rows = [(5, [1.0, 0, 0]), (5, [0, 1.0, 0]), (6, [1.0, 0.01, 0]), (7, [0, 1.0, 0.01]), (None, [1.0, 0, 0]), (9, [0, 0, 1.0]), (9, [0, 0, 1.0])]
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (6, [1.0, 0.01, 0.0]), (7, [0.0, 1.0, 0.01]), (None, [1.0, 0.0, 0.0]),
+            (9, [0.0, 0.0, 1.0]), (9, [0.0, 0.0, 1.0])]
     got = near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False),
                                                        (None, 0, None, False), (9, 1, 9, True), (9, 1, 9, True)], key=str)
