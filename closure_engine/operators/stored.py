@@ -69,13 +69,21 @@ class StoredGraph:
     def hubs(self) -> DataFrame:
         return self.spark.read.schema("id bigint, degree bigint").parquet(f"{self.path}/hubs")
 
+    def _table(self, end: str) -> str:
+        return f"closure_{end}_{self.mark}"
+
     def layout(self, end: str) -> DataFrame:
         """(u, v, _key, _side), bucketed by the end ``u`` or ``v``: declared over the written files in this session's catalog."""
-        name = f"closure_{end}_{self.mark}"
+        name = self._table(end)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_LAYOUT}) USING parquet CLUSTERED BY (_key, _side) INTO {self.buckets} BUCKETS "
                        f"LOCATION '{self.path}/by_{end}'")
         return self.spark.table(name)
 
+    def forget(self) -> None:
+        """Takes the layouts out of the session's catalog; the files stay."""
+        for end in ("u", "v"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(end)}")
+
 
 def store_graph(edges: DataFrame, path: str, src: str = "src", dst: str = "dst", mode: str = "errorifexists",
                 cfg: SkewConfig | None = None, buckets: int | None = None) -> StoredGraph:

@@ -87,6 +87,14 @@ def test_messages_one_way_and_with_wide_states(stored):
         stored_messages(stored, state, None, F.col("u_x") + F.col("v_x"))
 
 
+def test_layouts_leave_the_catalog_and_come_back(spark, tmp_path):
+    graph = store_graph(edges_df(spark, PAIRS), str(tmp_path / "g"), buckets=2)
+    assert graph.layout("u").count() == graph.n_edges == graph.layout("v").count()
+    graph.forget()
+    assert not [t.name for t in spark.catalog.listTables() if graph.mark in t.name]
+    assert graph.layout("u").count() == graph.n_edges
+
+
 def test_edges_are_not_shuffled_by_rounds(spark, tmp_path):
     pairs = gnp(300, 0.2, 5)
     graph = store_graph(edges_df(spark, pairs), str(tmp_path / "g"), buckets=8)
