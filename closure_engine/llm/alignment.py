@@ -212,7 +212,7 @@ class Aligner:
     each of two generations.
     """
 
-    def __init__(self, path_a: str, path_b: str, memo: int = 1 << 19):
+    def __init__(self, path_a: str, path_b: str, memo: int = 1 << 18):
         self.a, self.b = worker_ids(path_a, special=False), PieceIds(path_b)
         self.memo, self.held, self.old = memo, {}, {}
         self.bytes_a = token_bytes(self.a.tokenizer)
