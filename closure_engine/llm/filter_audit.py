@@ -78,22 +78,23 @@ def mask_cells(docs: DataFrame, labels: DataFrame, conditions: dict[str, Column]
     return held.groupBy("part", "mask").agg(F.sum("n").alias("n"), marked("good"), marked("toxic"))
 
 
-#: {letters}: the filters with their bits; {cells}: the counted cells.  A level's rows are (prefix, mask) pairs.
-_ENUMERATE = """WITH RECURSIVE letters(letter, bit) AS (VALUES {values}),
-steps(filter_prefix, letter, step, applied, mask, keeps, removes, late) AS (
-  SELECT CAST('' AS STRING), CAST('' AS STRING), 0, 0, mask, true, false, false FROM (SELECT DISTINCT mask FROM {cells})
+#: {values}: the letters that a set of applied filters leaves, with their bits; {cells}: the counted cells.  A level's rows
+#: are (prefix, mask) pairs.
+_ENUMERATE = """WITH RECURSIVE unused(applied, letter, bit) AS (VALUES {values}),
+steps(filter_prefix, letter, bit, step, applied, mask, keeps, removes, late) AS (
+  SELECT CAST('' AS STRING), CAST('' AS STRING), 0, 0, 0, mask, true, false, false FROM (SELECT DISTINCT mask FROM {cells})
   UNION ALL
-  SELECT concat(s.filter_prefix, l.letter), l.letter, s.step + 1, s.applied | l.bit, s.mask, s.mask & (s.applied | l.bit) = 0,
+  SELECT concat(s.filter_prefix, l.letter), l.letter, l.bit, s.step + 1, s.applied | l.bit, s.mask, s.mask & (s.applied | l.bit) = 0,
          s.mask & l.bit <> 0 AND s.mask & s.applied = 0, s.mask & l.bit <> 0 AND s.mask & s.applied <> 0
-  FROM steps s JOIN letters l ON s.applied & l.bit = 0
+  FROM steps s JOIN unused l ON l.applied = s.applied
 )
-SELECT s.filter_prefix, s.letter, s.step, s.mask, s.keeps, s.removes, s.late, s.mask = l.bit AS alone
-FROM steps s JOIN letters l ON l.letter = s.letter"""
+SELECT filter_prefix, letter, step, mask, keeps, removes, late, mask = bit AS alone FROM steps WHERE step > 0"""
 
 
 def filter_orders(cells: DataFrame, letters: str) -> DataFrame:
     """(filter_prefix, letter, step, mask, keeps, removes, late, alone): what every step of every order does to a mask."""
-    values = ", ".join(f"('{x}', {1 << i})" for i, x in enumerate(letters))
+    unused = [(applied, x, 1 << i) for applied in range(1 << len(letters)) for i, x in enumerate(letters) if not applied >> i & 1]
+    values = ", ".join(f"({applied}, '{x}', {bit})" for applied, x, bit in unused)
     return cells.sparkSession.sql(_ENUMERATE.replace("{values}", values), cells=cells)
 
 
