@@ -2,28 +2,36 @@
 
 A round sends a vertex's elements over its edges; what a vertex receives is
 merged by a partial aggregate of (id, element), so a hub's set is many rows
-spread over many tasks and no row or task holds it whole.  Sets of two ends are
-intersected without arrays: the elements of the end with the smaller set are sent along
-the edge and looked up at the other end by an equi-join on (id, element).
+spread over many tasks and no row or task holds it whole.
+
+For an intersection of two ends, every set is dealt by a hash of the element into
+blocks of about ``split_rows`` elements, a power of two of them, and kept as an
+array a block.  The blocks of the end with the smaller set travel along the edge,
+cut into the parts that belong to one block of the other end each, and meet that
+block in an equi-join on (id, block).  An array of a block is what a row holds.
 
 Cost of an intersection: an edge sends the smaller of its two sets, for neighbour
-sets at most sqrt(2m) rows an edge on average of the worst graph (the sum of the
-smaller degrees over all edges is O(m^1.5)).  The elements of a large set are dealt
-over salts by a hash of the element and its edges are copied once per salt.
-In the look-up a pair (id, element) may be asked for by many edges; both its
-sides come straight from a shuffle of written tables, which is what adaptive
-execution can split.
+sets at most sqrt(2m) elements an edge on average of the worst graph (the sum of the
+smaller degrees over all edges is O(m^1.5)), eight bytes each before compression.
+An element that is sent is compared with one block at most.  In the look-up a
+block may be asked for by many edges; both its sides come straight from a shuffle
+of written tables, which is what adaptive execution can split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closure_engine.operators import skew
 from closure_engine.operators.adjacency import half_edges
 from closure_engine.session import ensure_checkpoint_dir
 
+#: Elements of a block of a set, about: sets of more are dealt into several.
+BLOCK_ROWS = 1 << 10
+
 
 def neighbour_sets(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """First round: every vertex sends its id to its neighbours; ``(id, element, count)``, count > 1 for parallel edges."""
@@ -59,36 +67,83 @@ def send_sets(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "d
     return met.groupBy("id", "element").agg(F.sum("count").alias("count"))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table under ``spark.checkpoint.dir``: a round's boundary, a third of a checkpoint's bytes."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/sets-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(element: Column, n: Column) -> Column:
+    """The block of an element where its set has ``n`` of them, a power of two: that among fewer blocks follows from that among more."""
+    return F.pmod(F.xxhash64(element), n.cast("bigint"))
+
+
+def _meetings(edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: str, split_rows: int) -> DataFrame:
+    """``(_less, _more, _by_src, _sent, _held, _once)``: for every edge, parts of the smaller set with the block of the larger one that they belong to.
+
+    ``_sent`` and ``_held`` are arrays of elements, ``counted``: of (element, count); an element of both ends is in both arrays of exactly one row.
+    ``_once``: neither block has an element in several rows.
+    """
+    entry = F.struct("element", "count") if counted else F.col("element")
+    element = lambda x: x["element"] if counted else x
+    held = _written(sets.where(F.col("element").isNotNull()).select("id", "element", *["count"] * counted))
+    pairs = _written(edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")))
+    sizes = _sizes(held)
+    # sets of several blocks: at most MAX_HOT_KEYS ids, as their sizes add up to the rows
+    wide = skew.hot_keys(sizes, "id", "size", min_rows=split_rows + 1).select(
+        "id", F.pow(F.lit(2), F.ceil(F.log2(F.col("size") / F.lit(split_rows)))).cast("int").alias("_n"))
+    n_blocks = lambda df: df.join(F.broadcast(wide), "id", "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    dealt = n_blocks(held).groupBy("id", _place(F.col("element"), F.col("_n")).alias("_block"))
+    dealt = dealt.agg(F.collect_list(entry).alias("_entries"))
+    blocks = _written(dealt.withColumn("_single", F.size(F.array_distinct(element(F.col("_entries")))) == F.size("_entries")))
+    facts = n_blocks(sizes)
+
+    def with_facts(df: DataFrame, end: str, mark: str) -> DataFrame:
+        hot = skew.hot_keys(pairs.groupBy(end).agg(F.count(F.lit(1)).alias("_rows")), end, "_rows")
+        of_end = facts.select(F.col("id").alias(end), F.col("size").alias(f"_size{mark}"), F.col("_n").alias(f"_n{mark}"))
+        return skew.split_join(df, of_end, end, skew.hot_lookup(of_end, end, hot))
+
+    by_src = F.col("_size_s") <= F.col("_size_d")
+    pick = lambda x, y: F.when(by_src, F.col(x)).otherwise(F.col(y))
+    chosen = with_facts(with_facts(pairs, "_s", "_s"), "_d", "_d").select(
+        pick("_s", "_d").alias("_less"), pick("_d", "_s").alias("_more"), by_src.alias("_by_src"),
+        pick("_n_s", "_n_d").alias("_few"), pick("_n_d", "_n_s").alias("_many"))
+    asked = chosen.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_few").cast("bigint") - 1)))
+    sent = asked.join(blocks.select(F.col("id").alias("_less"), "_block", F.col("_entries").alias("_sent"), F.col("_single").alias("_single_sent")).hint("shuffle_hash"), ["_less", "_block"])
+    whole = F.col("_few") == F.col("_many")
+    place = lambda x: _place(element(x), F.col("_many"))
+    sent = sent.withColumn("_to", F.explode(F.when(whole, F.array("_block")).otherwise(F.array_distinct(F.transform("_sent", place)))))
+    sent = sent.select("_less", "_more", "_by_src", "_to", "_single_sent",
+                       F.when(whole, F.col("_sent")).otherwise(F.filter("_sent", lambda x: place(x) == F.col("_to"))).alias("_sent"))
+    there = blocks.select(F.col("id").alias("_more"), F.col("_block").alias("_to"), F.col("_entries").alias("_held"), "_single")
+    met = sent.join(there.hint("shuffle_hash"), ["_more", "_to"])
+    return met.select("_less", "_more", "_by_src", "_sent", "_held", (F.col("_single") & F.col("_single_sent")).alias("_once"))
+
+
 def intersect_sets(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst",
-                   split_rows: int = skew.SPLIT_ROWS) -> DataFrame:
+                   split_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(src, dst, element, src_count, dst_count)``: the elements that the sets of both ends of an edge share, one row each.
 
     ``edges``: one row a pair.  ``sets`` are written to ``spark.checkpoint.dir`` first,
     a round's boundary.
     """
-    ensure_checkpoint_dir(sets.sparkSession)
-    held = sets.checkpoint(eager=True)
-    sizes = _sizes(held)
-
-    def with_size(df: DataFrame, end: str, name: str) -> DataFrame:
-        return skew.skew_safe_lookup(df, sizes.select(F.col("id").alias(end), F.col("size").alias(name)), end)
-
-    sized = with_size(with_size(edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")), "_s", "_ns"), "_d", "_nd")
-    by_src = F.col("_ns") <= F.col("_nd")
-    chosen = sized.select(F.when(by_src, F.col("_s")).otherwise(F.col("_d")).alias("_less"),
-                          F.when(by_src, F.col("_d")).otherwise(F.col("_s")).alias("_more"),
-                          F.least("_ns", "_nd").alias("_n"), by_src.alias("_by_src"))
-    sent = _salted(chosen, held, sizes, "_less", "_n", split_rows).drop("_n")
-    there = held.select(F.col("id").alias("_more"), "element", F.col("count").alias("_there"))
-    met = sent.join(there.hint("merge"), ["_more", "element"])
+    met = _meetings(edges, sets, True, src, dst, split_rows)
+    met = met.withColumn("_shared", F.array_intersect("_held.element", "_sent.element")).where(F.size("_shared") > 0)
+    met = met.withColumn("_x", F.explode(F.filter("_sent", lambda x: F.array_contains("_shared", x["element"]))))
+    met = met.withColumn("_y", F.explode(F.filter("_held", lambda y: y["element"] == F.col("_x.element"))))
     pick = lambda x, y: F.when(F.col("_by_src"), F.col(x)).otherwise(F.col(y))
-    return met.select(pick("_less", "_more").alias(src), pick("_more", "_less").alias(dst), "element",
-                      pick("count", "_there").alias(f"{src}_count"), pick("_there", "count").alias(f"{dst}_count"))
+    return met.select(pick("_less", "_more").alias(src), pick("_more", "_less").alias(dst), F.col("_x.element").alias("element"),
+                      pick("_x.count", "_y.count").alias(f"{src}_count"), pick("_y.count", "_x.count").alias(f"{dst}_count"))
 
 
-def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst", split_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(id, n_common_sum)``: over a vertex's edges, the elements shared with the other end; 0 where there are none."""
-    shared = intersect_sets(edges, sets, src, dst).groupBy(src, dst).agg(F.count(F.lit(1)).alias("n"))
+    met = _meetings(edges, sets, False, src, dst, split_rows)
+    # an element that a set holds in several rows counts as often
+    often = F.aggregate("_sent", F.lit(0), lambda n, x: n + F.size(F.filter("_held", lambda y: y == x)))
+    n = F.when(F.col("_once"), F.size(F.array_intersect("_held", "_sent"))).otherwise(often)
+    shared = met.select(F.col("_less").alias(src), F.col("_more").alias(dst), n.cast("bigint").alias("n"))
     none = edges.select(src, dst, F.lit(0).cast("bigint").alias("n"))
     both = none.unionByName(shared)
     ends = F.array(F.col(src), F.col(dst))

@@ -118,3 +118,38 @@ def test_multiplicities_come_with_the_triangles(spark, wide):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     # on each side of the closing join, the lists' two degree look-ups with their hub tables; no join after it
     assert plan.count("Join ") == 2 * 4 + 1
+
+
+@pytest.mark.parametrize("split_rows", [2, 16])
+def test_sets_travel_as_blocks_not_as_rows(spark, split_rows):
+    import closure_engine.operators.sets as module
+
+    *_, adj = brute(PAIRS)
+    canon = canonical_edges(edges_df(spark, PAIRS))
+    met = module._meetings(canon, neighbour_sets(canon, "u", "v"), False, "u", "v", split_rows)
+    rows = met.select("_less", "_more", F.size("_sent").alias("n")).collect()
+    ends = {(min(p), max(p)) for p in PAIRS}
+    # every row has a part of the smaller set; parts are disjoint, and one where a set is one block
+    assert all(r.n > 0 for r in rows) and Counter((min(r._less, r._more), max(r._less, r._more)) for r in rows).keys() <= ends
+    total = Counter()
+    for r in rows:
+        total[min(r._less, r._more), max(r._less, r._more)] += r.n
+    assert all(total[u, v] <= min(len(adj[u]), len(adj[v])) for u, v in ends)
+    if split_rows == 16:
+        assert len(rows) < sum(total.values()) / 3
+    sums = {r.id: r.n_common_sum for r in common_element_sums(canon, neighbour_sets(canon, "u", "v"), "u", "v", split_rows).collect()}
+    assert sums == {v: sum(len(adj[v] & adj[w]) for w in ws) for v, ws in adj.items()}
+
+
+@pytest.mark.parametrize("split_rows", [1, 1 << 10])
+def test_repeated_and_null_elements_of_sets(spark, split_rows):
+    edges = edges_df(spark, [(1, 2), (3, 2), (2, 2), (2, 9)])
+    held = [(1, 7, 3), (1, 7, 1), (1, 8, 1), (1, None, 1), (2, 7, 5), (2, 9, 1), (2, 9, 2), (2, None, 1), (3, 9, 4), (None, 7, 1)]
+    sets = spark.createDataFrame(held, "id bigint, element bigint, count bigint")
+    want = sorted((s, d, e, m, n) for s, d in [(1, 2), (3, 2), (2, 2), (2, 9)] for i, e, m in held for j, f, n in held
+                  if (i, j) == (s, d) and e is not None and e == f)
+    assert sorted(map(tuple, intersect_sets(edges, sets, split_rows=split_rows).collect())) == want
+    sums = Counter({1: 0, 2: 0, 3: 0, 9: 0})
+    for s, d, *_ in want:
+        sums.update([s, d])
+    assert dict(map(tuple, common_element_sums(edges, sets, split_rows=split_rows).collect())) == dict(sums)
