@@ -144,7 +144,8 @@ def _with_state(graph: StoredGraph, end: str, state: DataFrame, hot: DataFrame,
     # _side is 0 for every state; not a constant, which the planner would take out of the join's keys and the buckets with it
     cold = state.select(F.col("id").alias("_key"), (F.col("id") - F.col("id")).alias("_side"), *values("_cold_"))
     cold = cold.repartition(graph.buckets, "_key", "_side")
-    joined = probed.join(cold.hint("merge"), ["_key", "_side"], "left")
+    # a bucket's states are a row a vertex and are hashed; the edges are not sorted
+    joined = probed.join(cold.hint("shuffle_hash"), ["_key", "_side"], "left")
     pick = [F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(f"{end}_{c}") for c in columns]
     return joined.select("u", "v", *pick)
 

@@ -108,6 +108,13 @@ def test_edges_are_not_shuffled_by_rounds(spark, tmp_path):
     assert seen[6] - seen[2] <= 4 * 300 * 30 and seen[2] - seen[1] < len(pairs)
 
 
+def test_edges_are_not_sorted_by_rounds(spark, tmp_path):
+    graph = store_graph(edges_df(spark, PAIRS), str(tmp_path / "g"), buckets=4)
+    start = graph.degrees.select("id", F.lit(1.0).alias("w"))
+    plan = stored_messages(graph, start, F.col("v_w"), F.col("u_w"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in plan and "Sort [" not in plan
+
+
 def test_a_folder_is_whole_or_absent(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "res")
     old = closure(edges_df(spark, [(1, 2), (2, 3), (1, 3)]))
