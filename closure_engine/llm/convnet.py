@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import copy
+from collections.abc import Callable
+
 import numpy as np
 
 #: Code 0: no character; 1: outside of printable ASCII; the others: printable ASCII.
@@ -32,65 +35,128 @@ class CharNet:
         self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
         self.scale, self.shift = 1.0, 0.0
 
-    def _forward(self, x: np.ndarray) -> tuple:
-        w, n, half = self.w, len(x), self.width // 2
-        padded = np.pad(x, ((0, 0), (half, half)))
-        windows = np.lib.stride_tricks.sliding_window_view(padded, self.width, 1)  # rows, columns, width
-        seen = w["chars"][windows].reshape(n, x.shape[1], -1)
-        maps = seen @ w["conv"] + w["conv_b"]
-        top, where = [], []
-        for a, b in zip(self.bounds[:-1], self.bounds[1:]):
-            i = maps[:, a:b].argmax(1)
-            where.append(i + a)
-            top.append(np.take_along_axis(maps[:, a:b], i[:, None], 1)[:, 0])
-        pooled = np.maximum(np.concatenate(top, 1), 0)
+    def _tables(self) -> np.ndarray:
+        """What a character adds to each filter's answer, by its place in the filter: (width, codes, filters)."""
+        return self.w["chars"] @ self.w["conv"].reshape(self.width, -1, self.w["conv"].shape[1])
+
+    def _answers(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The padded codes, and each filter's answer at each column without its shift: (rows, columns, filters)."""
+        half, cols = self.width // 2, x.shape[1]
+        padded = np.pad(x.astype(np.intp), ((0, 0), (half, half)))
+        tables = self._tables()
+        maps = tables[0].take(padded[:, :cols], 0)
+        for j in range(1, self.width):
+            maps += tables[j].take(padded[:, j:j + cols], 0)
+        return padded, maps
+
+    def _above(self, top: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pooled, inner, logits) from the largest answers of the regions."""
+        w = self.w
+        pooled = np.maximum(np.concatenate([t + w["conv_b"] for t in top], 1), 0)
         inner = np.maximum(pooled @ w["hidden"] + w["hidden_b"], 0)
-        return windows, seen, where, pooled, inner, inner @ w["out"] + w["out_b"][0]
+        return pooled, inner, inner @ w["out"] + w["out_b"][0]
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 4e-3, seed: int = 7) -> CharNet:
-        r, m, v, step = np.random.default_rng(seed), {}, {}, 0
+    def _forward(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        maps = self._answers(x)[1]
+        return self._above([maps[:, a:b].max(1) for a, b in zip(self.bounds[:-1], self.bounds[1:])])
+
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, seed: int = 7) -> CharNet:
+        r, moments, step = np.random.default_rng(seed), ({}, {}), 0
         for _ in range(epochs):
-            order = r.permutation(len(x))
-            for a in range(0, len(x), batch):
-                at, step = order[a:a + batch], step + 1
-                for k, g in self._gradients(x[at], y[at]).items():
-                    m[k] = 0.9 * m.get(k, 0.0) + 0.1 * g
-                    v[k] = 0.999 * v.get(k, 0.0) + 0.001 * g * g
-                    self.w[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+            step = self._epoch(x, y, r, moments, step)
+        return self
+
+    def _epoch(self, x: np.ndarray, y: np.ndarray, r: np.random.Generator, moments: tuple[dict, dict], step: int, batch: int = 128, rate: float = 4e-3) -> int:
+        """Adam's steps over all rows once; ``moments`` and the number of steps go on."""
+        m, v = moments
+        order = r.permutation(len(x))
+        for a in range(0, len(x), batch):
+            at, step = order[a:a + batch], step + 1
+            for k, g in self._gradients(x[at], y[at]).items():
+                m[k] = 0.9 * m.get(k, 0.0) + 0.1 * g
+                v[k] = 0.999 * v.get(k, 0.0) + 0.001 * g * g
+                self.w[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+        return step
+
+    def fit_blocks(self, summed: Callable, rows: Callable, epochs: int = 12, seed: int = 7) -> CharNet:
+        """Fits on blocks of rows: in each epoch every block takes its own steps over its rows, then the nets and Adam's moments are averaged by rows.
+
+        ``summed(vector)`` adds up ``vector(block, *buffers)`` over the blocks, ``rows(*buffers)`` gives a block's (x, y).
+        """
+        names = sorted(self.w)
+        moments = tuple({k: np.zeros_like(self.w[k]) for k in names} for _ in range(2))
+        steps = 0.0
+
+        for epoch in range(epochs):
+            net, start = copy.deepcopy(self), int(steps)
+
+            def vector(block: int, *buffers: bytes) -> np.ndarray:
+                x, y = rows(*buffers)
+                own, kept = copy.deepcopy(net), copy.deepcopy(moments)
+                taken = own._epoch(x, y, np.random.default_rng((seed, block, epoch)), kept, start) - start
+                return len(x) * np.concatenate([[1.0, taken], *(part[k].ravel().astype(float) for part in (own.w, *kept) for k in names)])
+
+            total = summed(vector)
+            total, at = total / total[0], 2
+            steps += total[1]
+            for part in (self.w, *moments):
+                for k in names:
+                    n = self.w[k].size
+                    part[k] = total[at:at + n].reshape(self.w[k].shape).astype(np.float32)
+                    at += n
         return self
 
     def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        w, n = self.w, len(x)
-        windows, seen, where, pooled, inner, logit = self._forward(x)
+        w, n, filters = self.w, len(x), self.w["conv"].shape[1]
+        padded, maps = self._answers(x)
+        where = [maps[:, a:b].argmax(1) + a for a, b in zip(self.bounds[:-1], self.bounds[1:])]
+        pooled, inner, logit = self._above([np.take_along_axis(maps, at[:, None], 1)[:, 0] for at in where])
         d = ((1 / (1 + np.exp(-logit)) - y) / n).astype(np.float32)
         out = {"out": inner.T @ d, "out_b": np.array([d.sum()])}
         d_inner = d[:, None] * w["out"] * (inner > 0)
         out |= {"hidden": pooled.T @ d_inner, "hidden_b": d_inner.sum(0)}
         d_pooled = (d_inner @ w["hidden"].T) * (pooled > 0)
-        filters = w["conv"].shape[1]
-        conv, chars = np.zeros_like(w["conv"]), np.zeros_like(w["chars"])
-        rows = np.arange(n)[:, None]
-        for i, at in enumerate(where):  # only the largest answer of a region has a gradient
-            g = d_pooled[:, i * filters:(i + 1) * filters]
-            conv += np.einsum("nfc,nf->cf", seen[rows, at], g)
-            back = (g[:, :, None] * w["conv"].T[None]).reshape(n, filters, self.width, -1)
-            np.add.at(chars, windows[rows, at].reshape(-1), back.reshape(-1, back.shape[-1]))
-        return out | {"conv": conv, "conv_b": sum(d_pooled[:, i * filters:(i + 1) * filters].sum(0) for i in range(len(where))), "chars": chars}
-
-    def calibrate(self, x: np.ndarray, y: np.ndarray, steps: int = 30) -> CharNet:
-        z = np.concatenate([self._forward(x[a:a + 512])[-1] for a in range(0, len(x), 512)]).astype(float)
+        rows, column = np.arange(n)[:, None], np.arange(filters)
+        at = np.stack(where)  # only the largest answer of a region has a gradient
+        g = d_pooled.reshape(n, len(where), filters).transpose(1, 0, 2)
+        tables = np.stack([np.bincount((padded[rows, at + j] * filters + column).ravel(), g.ravel(), N_CODES * filters)
+                           for j in range(self.width)]).reshape(self.width, N_CODES, filters).astype(np.float32)
+        conv = w["conv"].reshape(self.width, -1, filters)
+        return out | {"conv": (w["chars"].T @ tables).reshape(-1, filters), "conv_b": g.sum((0, 1)),
+                      "chars": (tables @ conv.transpose(0, 2, 1)).sum(0)}
+
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([self._forward(x[a:a + 512])[-1] for a in range(0, len(x), 512)] or [np.zeros(0)]).astype(float)
+
+    def calibrate(self, x: np.ndarray, y: np.ndarray) -> CharNet:
+        z = self.logits(x)
+        return self.calibrate_by(lambda a, b: newton_sums(z, y, a, b))
+
+    def calibrate_by(self, sums: Callable[[float, float], np.ndarray], steps: int = 30) -> CharNet:
+        """``sums(a, b)``: what ``newton_sums`` gives for all held-out rows."""
         a, b = 1.0, 0.0
         for _ in range(steps):  # Newton's method, with a weak pull to the uncalibrated answer
-            p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            g = np.array([((p - y) * z).sum() + 0.1 * (a - 1), (p - y).sum() + 0.1 * b])
-            q = p * (1 - p)
-            h = np.array([[(q * z * z).sum() + 0.1, (q * z).sum()], [(q * z).sum(), q.sum() + 0.1]])
+            ga, gb, haa, hab, hbb = sums(a, b)
+            g = np.array([ga + 0.1 * (a - 1), gb + 0.1 * b])
+            h = np.array([[haa + 0.1, hab], [hab, hbb + 0.1]])
+            before = a, b
             a, b = np.array([a, b]) - np.linalg.solve(h, g)
             a = max(a, 1e-3)
+            if max(abs(a - before[0]), abs(b - before[1])) < 1e-12:
+                break
         self.scale, self.shift = float(a), float(b)
         return self
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probability of the label 1."""
-        z = np.concatenate([self._forward(x[a:a + 512])[-1] for a in range(0, len(x), 512)] or [np.zeros(0)]).astype(float)
+        return self.probability(self.logits(x))
+
+    def probability(self, z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30)))
+
+
+def newton_sums(z: np.ndarray, y: np.ndarray, a: float, b: float) -> np.ndarray:
+    """Gradient and second derivatives of the logistic loss of ``a * z + b``."""
+    p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
+    q = p * (1 - p)
+    return np.array([((p - y) * z).sum(), (p - y).sum(), (q * z * z).sum(), (q * z).sum(), q.sum()])

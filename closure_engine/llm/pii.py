@@ -9,12 +9,13 @@ candidate by its format (digits, groups, separators, checksums) and its context
 added when its calibrated probability reaches the threshold; of overlapping added ones the most likely stays.  An added span may reach beyond a
 base span that it overlaps; redaction replaces both once.
 
-Training, on the driver, uses candidates of at most ``SAMPLE_ROWS`` documents
-and ``SAMPLE_CANDIDATES`` candidates: those that base spans cover are the
+Training uses the candidates of all documents: those that base spans cover are the
 positives, the rest negatives; for the formats that the base leaves out,
 findings are rewritten in their own contexts (positives) and spoilt (wrong
-checksum, too large parts, dates: negatives).  Half of the candidates fit the
-trees; the other half calibrate each kind's probabilities by a logistic function
+checksum, too large parts, dates: negatives).  Candidates are dealt by hash into
+blocks of about ``BLOCK_CANDIDATES``; every split of a tree is decided by sums over
+all blocks, and a corpus of one block is fitted on the driver.  Half of the
+candidates fit the trees; the other half calibrate each kind's probabilities by a logistic function
 of the trees' score (Platt), which makes a probability a different score for each
 kind, and set the threshold of the probabilities for the precision ``PRECISION``.
 (Thresholds set for each kind alone hung on single candidates: they left a fifth of
@@ -28,19 +29,21 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .boosting import BoostedTrees, precise_threshold
-from .spans import Span, byte_table, having, redacted, sampled, span_rows, text_slices
+from .blocks import Blocks, running, scored
+from .boosting import BoostedTrees, NO_THRESHOLD, Part, binned, precise_threshold
+from .convnet import newton_sums
+from .spans import Span, byte_table, having, redacted, span_rows, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_ROWS = 20_000
-SAMPLE_CANDIDATES = 20_000
+#: Candidates of a block, on average.
+BLOCK_CANDIDATES = 20_000
 PRECISION = 0.995
 
 # Fixed formats of the base spans.
@@ -207,59 +210,144 @@ def examples(text: str, seed: int = 0) -> list[tuple[list[float], float]]:
     return out
 
 
+def logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-9, 1 - 1e-9)
+    return np.log(p / (1 - p))
+
+
 class CalibratedTrees:
     """Trees whose score becomes a probability kind by kind; a candidate's first features tell its kind."""
 
-    def __init__(self, trees: BoostedTrees, x: np.ndarray, y: np.ndarray):
-        """``x``, ``y``: labelled candidates that the trees weren't fitted on."""
-        self.trees = trees
-        raw = self._logit(x)
-        self.lines = np.array([_platt(raw[x[:, k] == 1], y[x[:, k] == 1]) for k in range(len(KINDS))])
+    def __init__(self, trees: BoostedTrees, x: np.ndarray | None = None, y: np.ndarray | None = None, lines: np.ndarray | None = None):
+        """``x``, ``y``: labelled candidates that the trees weren't fitted on; or ``lines``: slope and shift by kind."""
+        self.trees, self.lines = trees, lines
+        if lines is None:
+            raw, kind = logit(trees.score(x)), x[:, :len(KINDS)]
+            self.lines = _platt_lines(lambda values: np.array([values(k, raw[kind[:, k] == 1], y[kind[:, k] == 1]) for k in range(len(KINDS))]))
 
-    def _logit(self, x: np.ndarray) -> np.ndarray:
-        p = np.clip(self.trees.score(x), 1e-9, 1 - 1e-9)
-        return np.log(p / (1 - p))
+    def probability(self, kind: np.ndarray, raw: np.ndarray) -> np.ndarray:
+        line = self.lines[kind]
+        return 1 / (1 + np.exp(-(line[:, 0] * raw + line[:, 1])))
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        line = self.lines[x[:, :len(KINDS)].argmax(1)]
-        return 1 / (1 + np.exp(-(line[:, 0] * self._logit(x) + line[:, 1])))
+        return self.probability(x[:, :len(KINDS)].argmax(1), logit(self.trees.score(x)))
 
 
 def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic function that fits the labels best, with Platt's targets; the score as it is where a class lacks."""
-    if len(y) == 0 or y.min() == y.max():
-        return 1.0, 0.0
-    good, bad = y.sum(), (1 - y).sum()
-    target = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
-    x, w = np.column_stack((raw, np.ones(len(raw)))), np.array([1.0, 0.0])
+    """Slope and shift of one kind."""
+    return tuple(_platt_lines(lambda values: values(0, raw, y)[None], 1)[0].tolist())
+
+
+def _platt_lines(sums: Callable[[Callable], np.ndarray], kinds: int = len(KINDS)) -> np.ndarray:
+    """Slope and shift, by kind, of the logistic function that fits the labels best, with Platt's targets; the score as it is where a class lacks.
+
+    ``sums(values)``: a row a kind, ``values(kind, raw, y)`` added up over all candidates.
+    """
+    counts = sums(lambda k, raw, y: np.array([y.sum(), (1 - y).sum()]))
+    lines = np.tile([1.0, 0.0], (kinds, 1))
+    open_ = (counts > 0).all(1)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (p - target))
-        w = w - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
+        if not open_.any():
             break
-    return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)  # never turn the order round
+
+        def newton(k: int, raw: np.ndarray, y: np.ndarray) -> np.ndarray:
+            good, bad = counts[k]
+            return newton_sums(raw, np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2)), *lines[k])
+
+        for k, (ga, gb, haa, hab, hbb) in enumerate(sums(newton)):
+            if open_[k]:
+                step = np.linalg.solve(np.array([[haa, hab], [hab, hbb]]) + 1e-6 * np.eye(2), np.array([ga, gb]))
+                lines[k] -= np.clip(step, -2, 2)
+                open_[k] = np.abs(step).max() >= 1e-9
+    lines[lines[:, 0] <= 0] = 1.0, 0.0  # never turn the order round
+    return lines
 
 
 def train(docs: DataFrame, id_col: str, text_col: str, seed: int = 9) -> tuple[CalibratedTrees, float] | None:
-    """The calibrated trees and the least probability to add; None where the sample holds nothing to learn from."""
+    """The calibrated trees and the least probability to add; None where the table holds nothing to learn from."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_slices(batches, text_col):
-            held = np.flatnonzero(having(texts, _NEEDED))
-            got = [x for i in held.tolist() for x in examples(texts[i].as_py() or "", seed)]
+            held = texts.to_pylist()
+            got = [x for i in np.flatnonzero(_gate(held, texts)).tolist() for x in examples(held[i], seed)]
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.list_(pa.float64())), pa.array([y for _, y in got])], ["x", "y"])
 
-    rows = sampled(docs, id_col, text_col, SAMPLE_ROWS, seed).mapInArrow(gather, "x array<double>, y double")
-    got = rows.orderBy(F.xxhash64("x", "y"), "x", "y").limit(SAMPLE_CANDIDATES).toPandas()
-    if not len(got) or got["y"].nunique() < 2:
+    rows = docs.select(text_col).mapInArrow(gather, "x array<double>, y double")
+    blocks = Blocks(rows, BLOCK_CANDIDATES, _packed, ("x", "y"), "pii")
+    if not blocks.n or not blocks.both:
         return None
-    order = np.random.default_rng(seed).permutation(len(got))
-    x, y = np.array(got["x"].tolist())[order], got["y"].to_numpy()[order]
-    half = len(x) // 2
-    model = CalibratedTrees(BoostedTrees().fit(x[:half], y[:half]), x[half:], y[half:])
-    return model, max(0.5, precise_threshold(model.score(x[half:]), y[half:], PRECISION))
+    if blocks.count == 1:
+        (x, y), held = _halves(*blocks.only(), seed)
+        model = CalibratedTrees(BoostedTrees().fit(x, y), *held)
+        return model, max(0.5, precise_threshold(model.score(held[0]), held[1], PRECISION))
+    trees = BoostedTrees()
+    edges = _edges(blocks, trees.shares(), seed)
+
+    def cut(x: bytes, y: bytes) -> dict[str, bytes]:
+        own, labels = _halves(x, y, seed)[0]
+        return {"bins": binned(own, edges).tobytes(), "y": labels.tobytes()}
+
+    parts = blocks.map(cut, ("bins", "y"), "pii-bins")
+    part = lambda b, y: Part(np.frombuffer(b, np.uint8).reshape(len(edges), -1), np.frombuffer(y))
+    n, good = parts.summed(lambda _, b, y: np.array([len(y) // 8, np.frombuffer(y).sum()]))
+    trees.grow(edges, good / n, lambda grown: parts.summed(lambda _, *b: part(*b).sums(grown)))
+
+    def answers(x: bytes, y: bytes) -> dict[str, bytes]:
+        own, labels = _halves(x, y, seed)[1]
+        return {"kind": own[:, :len(KINDS)].argmax(1).astype(np.int8).tobytes(), "raw": logit(trees.score(own)).tobytes(), "y": labels.tobytes()}
+
+    held = blocks.map(answers, ("kind", "raw", "y"), "pii-answers")
+
+    def sums(values) -> np.ndarray:
+        """``values(k, raw, y)`` of each kind, added up over the blocks."""
+        def of(_: int, kind: bytes, raw: bytes, y: bytes) -> np.ndarray:
+            at = np.frombuffer(kind, np.int8)
+            return np.concatenate([values(k, np.frombuffer(raw)[at == k], np.frombuffer(y)[at == k]) for k in range(len(KINDS))])
+
+        return held.summed(of).reshape(len(KINDS), -1)
+
+    model = CalibratedTrees(trees, lines=_platt_lines(sums))
+
+    def probabilities(_: int, kind: bytes, raw: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return model.probability(np.frombuffer(kind, np.int8), np.frombuffer(raw)), np.frombuffer(y)
+
+    upto = running(scored(held, probabilities), "pii-scores")
+    least = upto.where(F.col("good") / F.col("n") >= PRECISION).agg(F.min("score")).first()[0]
+    return model, max(0.5, NO_THRESHOLD if least is None else least)
+
+
+def _packed(t: pa.Table) -> dict[str, bytes]:
+    """Candidates as buffers: features and labels."""
+    return {"x": t.column("x").combine_chunks().flatten().to_numpy().tobytes(), "y": t.column("y").to_numpy().tobytes()}
+
+
+def _halves(x: bytes, y: bytes, seed: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """The candidates of a block that fit the trees, and those that calibrate them: (features, labels) each."""
+    labels = np.frombuffer(y)
+    order = np.random.default_rng(seed).permutation(len(labels))
+    rows, labels, half = np.frombuffer(x).reshape(len(labels), -1)[order], labels[order], len(labels) // 2
+    return (rows[:half], labels[:half]), (rows[half:], labels[half:])
+
+
+def _edges(blocks: Blocks, shares: np.ndarray, seed: int) -> list[np.ndarray]:
+    """The exact quantiles of every feature, from the counts of its different values (lengths and counts of characters)."""
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                for f, c in enumerate(_halves(batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), seed)[0][0].T):
+                    found, n = np.unique(c, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), f, np.int32)), pa.array(found), pa.array(n)], ["feature", "value", "n"])
+
+    held = blocks.rows.mapInArrow(values, "feature int, value double, n long").groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    cuts = held.groupBy("feature").agg(F.percentile("value", F.array(*map(F.lit, shares.tolist())), F.col("n")).alias("cuts")).collect()
+    return [np.unique(r["cuts"]) for r in sorted(cuts)]
+
+
+def _gate(texts: list[str | None], array: pa.Array) -> np.ndarray:
+    """Which texts may hold candidates."""
+    return having(array, _NEEDED) | np.array([t is not None and _AT_WORD.search(t) is not None for t in texts], bool)
 
 
 def _covered(span: Span, others: list[Span]) -> bool:
@@ -273,8 +361,7 @@ def finder(model: tuple | None):
         out: list = [([], [])] * len(texts)
         open_: list[tuple[int, Span]] = []
         rows: list[list[float]] = []
-        worded = [t is not None and _AT_WORD.search(t) is not None for t in texts]
-        for i in np.flatnonzero(having(array, _NEEDED) | np.array(worded, bool)).tolist():
+        for i in np.flatnonzero(_gate(texts, array)).tolist():
             base = base_spans(texts[i])
             out[i] = (base, base)
             if model:

@@ -46,13 +46,6 @@ def text_slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = 4
             yield part, column(part, text_col)
 
 
-def sampled(docs: DataFrame, id_col: str, text_col: str, bound: int, seed: int) -> DataFrame:
-    """About ``bound`` rows at most, by hash, to fit a model on."""
-    n = docs.count()
-    share = min(1.0, bound / max(n, 1))
-    return docs.where(F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(text_col)
-
-
 def span_rows(docs: DataFrame, id_col: str, text_col: str, counts: tuple[str, ...],
               find: Callable[[list[str | None], pa.Array], list[tuple[list[Span], list[Span]]]]) -> DataFrame:
     """id, the number of base spans of each kind, base_sha256, spans.
