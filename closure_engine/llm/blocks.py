@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, discard, shuffle_partitions, written
+from .common import column, discard, shuffle_partitions, sparing, written
 
 #: Blocks whose vectors are added up in one task before the driver gets them.
 _TOGETHER = 64
@@ -78,7 +78,7 @@ def _over(rows: DataFrame, make: Callable[..., list], columns: list[tuple[str, s
                 made = make(block.as_py(), *(b.as_py() for b in buffers))
                 yield pa.RecordBatch.from_arrays([pa.array([x], kinds[k]) for x, (_, k) in zip(made, columns)], [c for c, _ in columns])
 
-    return rows.mapInArrow(each, ", ".join(f"{c} {k}" for c, k in columns))
+    return rows.mapInArrow(sparing(each), ", ".join(f"{c} {k}" for c, k in columns))
 
 
 def scored(blocks: Blocks, score: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -90,7 +90,7 @@ def scored(blocks: Blocks, score: Callable[..., tuple[np.ndarray, np.ndarray]])
                 values, labels = score(*(c[i].as_py() for c in batch.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), pa.array(labels, pa.float64())], ["score", "label"])
 
-    return blocks.rows.mapInArrow(each, "score double, label double")
+    return blocks.rows.mapInArrow(sparing(each), "score double, label double")
 
 
 def running(rows: DataFrame, name: str) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, string_buffers, written
+from .common import byte_slices, column, sparing, string_buffers, written
 from .components import components
 from .rolling import Texts, mix
 
@@ -110,7 +110,7 @@ def _first_pass(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFram
                 pa.array([x.tobytes() for x in np.split(total, SLICES)], pa.binary())]
         yield pa.RecordBatch.from_arrays([pa.nulls(SLICES, t) for t in types[:4]] + sent, names)
 
-    return docs.select(id_col, text_col).mapInArrow(read, "id long, n long, d1 long, d2 long, salt int, part int, counts binary")
+    return docs.select(id_col, text_col).mapInArrow(sparing(read), "id long, n long, d1 long, d2 long, salt int, part int, counts binary")
 
 
 def _bucket_counts(first: DataFrame) -> np.ndarray:
@@ -146,7 +146,7 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(kept.view(np.int64)))],
                     ["id", "n", "ranges", "prefix"]).filter(pa.array(n > 0))
 
-    return docs.select(id_col, text_col).mapInArrow(describe, "id long, n long, ranges array<int>, prefix array<long>")
+    return docs.select(id_col, text_col).mapInArrow(sparing(describe), "id long, n long, ranges array<int>, prefix array<long>")
 
 
 class _Bitmap:
@@ -203,7 +203,7 @@ def _shared_rows(reps: DataFrame, shared: DataFrame) -> DataFrame:
                 [pa.array(h[hit]), column(batch, "id").take(pa.array(row[hit])), column(batch, "n").take(pa.array(row[hit])), pa.array(pos[hit])],
                 ["h", "id", "n", "pos"])
 
-    rows = reps.select("id", "n", "prefix").mapInArrow(pick, "h long, id long, n long, pos long").join(shared, "h", "left_semi")
+    rows = reps.select("id", "n", "prefix").mapInArrow(sparing(pick), "h long, id long, n long, pos long").join(shared, "h", "left_semi")
     return rows.withColumn("s", F.row_number().over(Window.partitionBy("id").orderBy("pos")).cast("long"))
 
 
@@ -255,10 +255,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, t
 
     # a few texts too many pass the bitmap; the joins drop them
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("long")).alias("h"))
-    texts = written(texts.mapInArrow(held, "id long, text string"), f"{name}-texts")
+    texts = written(texts.mapInArrow(sparing(held), "id long, text string"), f"{name}-texts")
     joined = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    return joined.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
+    return joined.select("a", "b", "ta", "tb").mapInArrow(sparing(compare), "a long, b long")
 
 
 def _repeats(rows: pa.RecordBatch) -> bool:

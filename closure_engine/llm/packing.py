@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, written
+from .common import byte_slices, column, sparing, written
 from .word_ids import worker_ids
 
 #: Sequence numbers: the block in the upper bits, the place in the block in the lower ones.
@@ -172,7 +172,7 @@ def encoded_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
                      pa.array([len(x) // width + 1 for x in ids], pa.int64()), column(batch, "h")[a:b], pa.array(places[a:b], pa.int64())],
                     ["id", "source", "ids", "n", "h", "place"])
 
-    made = rows.mapInArrow(encode, f"id {id_type}, source string, ids binary, n long, h long, place long")
+    made = rows.mapInArrow(sparing(encode), f"id {id_type}, source string, ids binary, n long, h long, place long")
     return made.select("id", "source", "ids", "n", F.xxhash64("h", "place").alias("deal"))
 
 

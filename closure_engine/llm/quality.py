@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import byte_slices, column, string_buffers
+from .common import byte_slices, column, sparing, string_buffers
 from .rolling import Texts, mix, repeated
 
 BASE_GRAM = 5
@@ -124,4 +124,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                          *(pa.array(m[x].astype(np.float64)) for x in shares)],
                         [id_col, *counts, "base_failed", "kept", *shares])
 
-    return chosen.mapInArrow(judge, schema)
+    return chosen.mapInArrow(sparing(judge), schema)

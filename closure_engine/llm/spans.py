@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, string_buffers
+from .common import byte_slices, column, sparing, string_buffers
 
 #: (kind, start, end) in code points, end exclusive.
 Span = tuple[str, int, int]
@@ -65,7 +65,7 @@ def span_rows(docs: DataFrame, id_col: str, text_col: str, counts: tuple[str, ..
                  pa.array([digest(base) for base, _ in found]), pa.array([joined(every) for _, every in found])],
                 [id_col, *(f"n_{k}" for k in counts), "base_sha256", "spans"])
 
-    return chosen.mapInArrow(scan, schema)
+    return chosen.mapInArrow(sparing(scan), schema)
 
 
 def redacted(docs: DataFrame, text_col: str,
@@ -85,4 +85,4 @@ def redacted(docs: DataFrame, text_col: str,
             i = part.schema.get_field_index(text_col)
             yield part.set_column(i, part.schema.field(i), pa.array(out, part.schema.field(i).type))
 
-    return docs.mapInArrow(rewrite, docs.schema)
+    return docs.mapInArrow(sparing(rewrite), docs.schema)
