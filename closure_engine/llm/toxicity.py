@@ -21,8 +21,10 @@ On Spark: the labels are joined to the texts by id (a shuffled join), each task
 adds up the character n-grams of its texts, and the sums meet in one
 aggregation.  Continuation counts, backoffs and probabilities are aggregates and
 joins over all of these n-grams and those of all words to score; none is left
-out, and the model grows with the input.  Every distinct word is valued once.
-The most frequent ``HOT_WORDS`` values are sent to the tasks that score, so that
+out, and the model grows with the input.  Every distinct word is valued once:
+words go in batches, a batch asks for each of its n-grams once, and the answers
+meet its words.  A step's tables and shuffles are removed when its successor is
+written.  The most frequent ``HOT_WORDS`` values are sent to the tasks that score, so that
 no word is hot in a join; the other words of a text meet theirs in a join.
 
 Rows with crc32(id as text) mod ``folds`` = 0 are held out and never learnt
@@ -38,12 +40,13 @@ from collections.abc import Iterator
 from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, string_buffers, written
+from .common import byte_slices, column, discard, shuffles_removed, sparing, string_buffers, written
 from .rolling import LETTERS, Texts
 
 #: Symbols of an n-gram; one byte each of a 64-bit key, the predicted one last.
@@ -53,6 +56,8 @@ DISCOUNT = 0.75
 MARGIN = 2.0
 #: Words whose values are sent to the tasks; all others are joined, with the same result.
 HOT_WORDS = 1 << 17
+#: Bounds on the words that ask for their n-grams together: their number and bytes.
+BATCH_WORDS, BATCH_BYTES = 1 << 17, 4 << 20
 #: Bound on the labelled training rows that the logistic function is fitted on.
 MAX_FITTED = 50_000
 #: The logistic function where these rows lack a class: toxic is a text whose words differ by MARGIN on average.
@@ -183,7 +188,7 @@ def _count(docs: DataFrame, text_col: str) -> DataFrame:
                 keys, counts = _summed(np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), *map(pa.array, counts.astype(np.int64).T)], ["key", *_COUNTS])
 
-    counted = docs.mapInArrow(count, "key long, " + ", ".join(f"{c} long" for c in _COUNTS))
+    counted = docs.mapInArrow(sparing(count), "key long, " + ", ".join(f"{c} long" for c in _COUNTS))
     return counted.groupBy("key").agg(*(F.sum(c).alias(c) for c in _COUNTS))
 
 
@@ -196,7 +201,7 @@ def gram_values(counts: DataFrame, asked: DataFrame) -> DataFrame:
     """key and, by model, what the toxic model's log-likelihood exceeds the ordinary one's by, for each key of ``asked``.
 
     ``counts``: key and _COUNTS of all training n-grams; ``asked``: distinct
-    keys.  A key has at most 255 keys after it in its context and at most 255
+    keys.  The result is written.  A key has at most 255 keys after it in its context and at most 255
     keys that it is the lower order of, so no key is hot.
     """
     known = counts.select("key", *(sum(F.col(c) for c in _MODELS[m][k]).cast("double").alias(f"{m}_{k}") for m in _MODELS for k in (0, 1)),
@@ -226,6 +231,7 @@ def gram_values(counts: DataFrame, asked: DataFrame) -> DataFrame:
         "n", "key", "asked", *_CLASSES, *(total[c].alias(f"total_{c}") for c in _CLASSES),
         *(F.when(total[c] > 0, DISCOUNT * kinds[c] / F.greatest(total[c], F.lit(1.0))).otherwise(1.0).alias(f"rest_{c}") for c in _CLASSES)),
         "toxic-tables")
+    discard(seen)
 
     def level(rows: DataFrame, lower: dict[str, Column]) -> DataFrame:
         p = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(f"total_{c}", F.lit(1.0)) + F.col(f"rest_{c}") * lower[c] for c in _CLASSES}
@@ -239,17 +245,21 @@ def gram_values(counts: DataFrame, asked: DataFrame) -> DataFrame:
     p = level(first, {c: F.col(f"shared_{c.split('_')[0]}") for c in _CLASSES}).alias("p").join(first.select(
         F.col("key").alias("same"), *(own[m].alias(f"own_{m}") for m in _MODELS)), F.col("key") == F.col("same"))
     p = p.select("key", "asked", *(F.when(F.col(f"own_{c.split('_')[0]}") > 0, F.col(f"p_{c}")).otherwise(1.0).alias(f"p_{c}") for c in _CLASSES))
-    out = []
+    out, orders = [], []
     for n in range(1, ORDER + 1):
         if n > 1:
             rows = tables.where(F.col("n") == n).withColumn("lower", below(key, n - 1))
             lower = p.select(F.col("key").alias("lower"), *(F.col(f"p_{c}").alias(f"lower_{c}") for c in _CLASSES))
             p = level(rows.join(lower, "lower"), {c: F.col(f"lower_{c}") for c in _CLASSES})
         p = written(p, f"toxic-order{n}")
+        orders.append(p)
         out.append(p.where("asked = 1").select("key", *(F.log(F.col(f"p_{m}_1") / F.col(f"p_{m}_0")).alias(m) for m in _MODELS)))
     values = out[0]
     for x in out[1:]:
         values = values.unionByName(x)
+    values = written(values, "toxic-values")
+    for x in (tables, *orders):
+        discard(x)
     return values
 
 
@@ -260,41 +270,92 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
         for batch in batches:
             for a, b in byte_slices(column(batch, text_col), 4 << 20):
                 t = Texts(*string_buffers(column(batch, text_col)[a:b]), lower=True, solid=LETTERS)
-                words, first, n = np.unique(t.words(), return_index=True, return_counts=True)
+                _, first, n = np.unique(t.words(), return_index=True, return_counts=True)
                 letters = [t.data[x:y].tobytes() for x, y in zip(t.start[first].tolist(), t.stop[first].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(letters, pa.binary()), pa.array(n)], ["word", "letters", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(letters, pa.binary()), pa.array(n)], ["letters", "n"])
 
-    return docs.select(text_col).mapInArrow(read, "word long, letters binary, n long").groupBy("word", "letters").agg(F.sum("n").alias("n"))
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in byte_slices(column(batch, "letters"), 4 << 20):
+                part = batch.slice(a, b - a)
+                data, ends = string_buffers(column(part, "letters"))
+                words = Texts(data, ends, solid=LETTERS).words()
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), column(part, "letters"), column(part, "n")], ["word", "letters", "n"])
 
+    counted = docs.select(text_col).mapInArrow(sparing(read), "letters binary, n long").groupBy("letters").agg(F.sum("n").alias("n"))
+    return counted.mapInArrow(sparing(name), "word long, letters binary, n long")
 
-def _spelled(words: DataFrame) -> DataFrame:
-    """word, n, key, times: the distinct character n-grams of every word."""
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batched(words: DataFrame) -> DataFrame:
+    """``words`` with the batch that each belongs to; a batch keeps to BATCH_WORDS and, but for a longer word, BATCH_BYTES."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n, size = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
-            for a, b in byte_slices(column(batch, "letters"), 1 << 20):
-                part = batch.slice(a, b - a)
-                data, ends = string_buffers(column(part, "letters"))
-                keys, word = word_grams(SimpleNamespace(data=data, start=ends[:-1], stop=ends[1:]), np.arange(b - a))
-                order = np.lexsort((keys, word))
-                keys, word = keys[order], word[order]
-                first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (word[1:] != word[:-1]))))
-                at = pa.array(word[first])
-                yield pa.RecordBatch.from_arrays(
-                    [column(part, "word").take(at), column(part, "n").take(at), pa.array(keys[first].astype(np.int64)),
-                     pa.array(np.diff(np.append(first, len(keys))))], ["word", "n", "key", "times"])
+            lengths = np.diff(string_buffers(column(batch, "letters"))[1])
+            numbers = np.empty(len(lengths), np.int64)
+            for i, length in enumerate(lengths.tolist()):
+                if n and (n >= BATCH_WORDS or size + length > BATCH_BYTES):
+                    at, n, size = at + 1, 0, 0
+                numbers[i], n, size = at, n + 1, size + length
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), *batch.columns], ["batch", *batch.schema.names])
+
+    return words.select("word", "letters", "n").mapInArrow(sparing(deal), "batch long, word long, letters binary, n long")
+
+
+def _spellings(letters: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Of a slice of words at a time: where it begins and ends, its n-grams' keys and the word, from the slice's first on, of each."""
+    for a, b in byte_slices(letters, 1 << 20):
+        data, ends = string_buffers(letters[a:b])
+        yield a, b, *word_grams(SimpleNamespace(data=data, start=ends[:-1], stop=ends[1:]), np.arange(b - a))
 
-    return words.mapInArrow(spell, "word long, n long, key long, times long")
+
+def _asked(words: DataFrame) -> DataFrame:
+    """batch, key: the character n-grams of every batch of words; once a batch, or once for each task that reads a part of it."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys = None, np.zeros(0, _U)
+        answer = lambda: pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now)), pa.array(keys.astype(np.int64))], ["batch", "key"])
+        for batch in batches:
+            numbers = column(batch, "batch").to_numpy()
+            cuts = np.flatnonzero(numbers[1:] != numbers[:-1]) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(numbers)]):
+                if a == b:
+                    continue
+                if now != numbers[a]:
+                    if now is not None:
+                        yield answer()
+                    now, keys = numbers[a], np.zeros(0, _U)
+                keys = np.unique(np.concatenate([keys, *(np.unique(k) for _, _, k, _ in _spellings(column(batch, "letters")[a:b]))]))
+        if now is not None:
+            yield answer()
+
+    return words.select("batch", "letters").mapInArrow(sparing(ask), "batch long, key long")
 
 
 def word_values(counts: DataFrame, words: DataFrame) -> DataFrame:
-    """word, n and, by model, the difference of the word's log-likelihoods; ``words``: word, letters, n."""
-    spelled = _spelled(words)
-    values = written(gram_values(counts, spelled.select("key").distinct()), "toxic-values")
-    short = F.col("key") < 1 << 24  # starts of words, which many words share: at most 255 + 255^2 keys, each with the mark of the start
-    met = spelled.where(short).join(F.broadcast(values.where(short)), "key").unionByName(
-        spelled.where(~short).join(values.where(~short).hint("merge"), "key"))
-    return met.groupBy("word").agg(F.max("n").alias("n"), *(F.sum(F.col("times") * F.col(m)).alias(m) for m in _MODELS))
+    """word, n and, by model, the difference of the word's log-likelihoods; ``words``: word, letters, n, each word once."""
+    words = written(_batched(words), "toxic-words")
+    asked = written(_asked(words), "toxic-asked")
+    values = gram_values(counts, asked.select("key").distinct())
+    answers = asked.join(values.hint("merge"), "key").select("batch", "key", *_MODELS)
+
+    def add(words: pa.Table, answers: pa.Table) -> pa.Table:
+        words, answers = words.combine_chunks(), answers.combine_chunks()
+        keys, first = np.unique(answers.column("key").to_numpy(), return_index=True)
+        of_key = np.stack([answers.column(m).to_numpy()[first] for m in _MODELS], 1)
+        sums = np.zeros((len(words), len(_MODELS)))
+        for chunk in words.column("letters").chunks[:1]:
+            for a, b, asked, word in _spellings(chunk):
+                at = np.searchsorted(keys, asked.astype(np.int64))
+                sums[a:b] = np.stack([np.bincount(word, x[at], b - a) for x in of_key.T], 1)
+        return pa.table([words.column("word"), words.column("n"), *map(pa.array, sums.T)], ["word", "n", *_MODELS])
+
+    valued = written(words.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        add, "word long, n long, " + ", ".join(f"{m} double" for m in _MODELS)), "toxic-word-values")
+    for x in (words, asked, values):
+        discard(x)
+    return valued
 
 
 def evidence(texts: pa.Array, model: KneserNeyPair) -> np.ndarray:
@@ -325,6 +386,11 @@ def _logistic(e: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              folds: int = 5) -> DataFrame:
     """id, held_out, score, predicted for every row of ``docs``."""
+    with shuffles_removed(docs.sparkSession):
+        return _toxicity(docs, labels, id_col, text_col, label_col, folds)
+
+
+def _toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int) -> DataFrame:
     chosen = docs.select(id_col, text_col)
     marked = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col, folds) & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("label_id")).agg(F.max(label_col).cast("int").alias("toxic"))
@@ -334,8 +400,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     has = {m: all(sum(held[c] for c in of) > 0 for of in _MODELS[m]) for m in _MODELS}
     if not has["all"]:
         return chosen.select(id_col, held_out(id_col, folds).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    values = written(word_values(counts, written(_vocabulary(docs, text_col), "toxic-words")), "toxic-word-values")
+    values = word_values(counts, _vocabulary(docs, text_col))
+    discard(counts)
     measured = _measured(chosen, values, id_col, text_col)
+    discard(values)
     share = min(1.0, MAX_FITTED / max(1, learnt.select(id_col).count()))
     sampled = F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 20)) <= int(share * (1 << 20))
     usable = F.when(_half(id_col) == 0, F.lit(has["half1"])).otherwise(F.lit(has["half0"]))
@@ -349,10 +417,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def _hot(values: DataFrame) -> pd.DataFrame:
+    """The most frequent words, HOT_WORDS at most, by word.
+
+    Those of the highest levels that fit as a whole; the first rows of a sorted
+    table would send as many rows of every partition to the driver.
+    """
+    level = F.floor(F.log2("n") * 32)
+    n, least = 0, None
+    for x in values.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():  # 2,048 rows at most
+        if (n := n + x["words"]) > HOT_WORDS:
+            break
+        least = x["level"]
+    return (values.limit(0) if least is None else values.where(level >= least)).toPandas().sort_values("word")
+
+
 def _measured(docs: DataFrame, values: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, mean, beyond, other_mean, other_beyond for every row of ``docs``; "other" is by the model of the half without the row."""
     names = ("mean", "beyond", "other_mean", "other_beyond")
-    hot = values.orderBy(F.desc("n"), "word").limit(HOT_WORDS).toPandas().sort_values("word")
+    hot = _hot(values)
     hot_words, hot_values = hot["word"].to_numpy(np.int64), hot[list(_MODELS)].to_numpy(float)
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -379,14 +462,20 @@ def _measured(docs: DataFrame, values: DataFrame, id_col: str, text_col: str) ->
                 row += t.n
 
     rows = written(docs.withColumn("half", _half(id_col).cast("long")).mapInArrow(
-        measure, f"`{id_col}` {id_type}, row long, half long, words long, " + ", ".join(f"{x} double" for x in names) + ", cold array<long>"),
+        sparing(measure), f"`{id_col}` {id_type}, row long, half long, words long, " + ", ".join(f"{x} double" for x in names) + ", cold array<long>"),
         "toxic-evidence")
+    kept = rows
     if values.count() > len(hot_words):
         over = lambda c: F.greatest(c - MARGIN, F.lit(0.0))
-        own, other = F.col("all"), F.when(F.col("half") == 0, F.col("half1")).otherwise(F.col("half0"))
-        cold = rows.select("row", "half", F.explode("cold").alias("word")).join(values.hint("merge"), "word").groupBy(F.col("row").alias("cold_row")).agg(
+        own, other = F.col("own"), F.col("other")
+        # two values a word travel, not their four partial sums: hardly two words of a text are in one task
+        cold = rows.select("row", "half", F.explode("cold").alias("word")).join(values.drop("n").hint("merge"), "word").select(
+            F.col("row").alias("cold_row"), F.col("all").alias("own"), F.when(F.col("half") == 0, F.col("half1")).otherwise(F.col("half0")).alias("other"))
+        cold = cold.repartition("cold_row").groupBy("cold_row").agg(
             *(F.sum(x).alias(f"cold_{name}") for name, x in zip(names, (own, over(own), other, over(other)))))
         rows = rows.join(cold, F.col("row") == F.col("cold_row"), "left").withColumns(
             {x: F.col(x) + F.coalesce(F.col(f"cold_{x}"), F.lit(0.0)) for x in names})
     n = F.greatest("words", F.lit(1))
-    return written(rows.select(id_col, *((F.col(x) / n).alias(x) for x in names)), "toxic-means")
+    means = written(rows.select(id_col, *((F.col(x) / n).alias(x) for x in names)), "toxic-means")
+    discard(kept)
+    return means

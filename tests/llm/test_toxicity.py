@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
+from closure_engine.llm import common
 from closure_engine.llm import toxicity as toxicity_module
 from closure_engine.llm.toxicity import KneserNeyPair, evidence, toxicity, word_grams
 from closure_engine.llm.rolling import LETTERS, Texts
@@ -140,3 +141,50 @@ def test_sample_without_a_class(spark):
     assert zlib.crc32(b"50") % 5
     rows = {r["doc_id"]: r["predicted"] for r in toxicity(*frames(spark, docs, labels)).collect()}
     assert rows[50] == rows[51] == 1 and rows[52] == rows[53] == rows[0] == 0
+
+
+def test_words_ask_in_batches(spark, monkeypatch):
+    """A batch asks for each n-gram once, however many of its words have it; values don't depend on the batches."""
+    r = random.Random(10)
+    words = sorted({"".join(r.choice(["ba", "nan", "do", "ri"]) for _ in range(r.randint(1, 9))) for _ in range(800)}) + ["ü" * 5, "b" * 300]
+    keys, word = _grams(words)
+    kinds = np.array([i % 4 if i % 3 else -1 for i in range(len(words))])
+    trained = kinds[word] >= 0
+    names, counts = toxicity_module._summed(keys[trained], np.eye(4)[kinds[word[trained]]])
+    grams = spark.createDataFrame(pd.DataFrame(counts.astype(int), columns=toxicity_module._COUNTS).assign(key=names.astype(np.int64)))
+    rows = spark.createDataFrame([(i, bytearray(x.encode()), i + 1) for i, x in enumerate(words)], "word long, letters binary, n long").coalesce(1)
+    one = toxicity_module._batched(rows)
+    assert one.select("batch").distinct().count() == 1
+    assert toxicity_module._asked(one).count() == len(np.unique(keys)) < len(keys) / 4
+    value = np.bincount(word, KneserNeyPair(names, counts[:, :2] + counts[:, 2:]).excess(keys))
+    for most_words, most_bytes in ((1 << 17, 4 << 20), (50, 4 << 20), (1 << 17, 64)):
+        monkeypatch.setattr(toxicity_module, "BATCH_WORDS", most_words)
+        monkeypatch.setattr(toxicity_module, "BATCH_BYTES", most_bytes)
+        batched = toxicity_module._batched(rows).groupBy("batch").agg({"letters": "count"}).collect()
+        assert sum(x[1] for x in batched) == len(words) and all(x[1] <= most_words for x in batched)
+        got = {x["word"]: x for x in toxicity_module.word_values(grams, rows).collect()}
+        assert len(got) == len(words) and all(got[i]["n"] == i + 1 for i in got)
+        assert np.allclose([got[i]["all"] for i in range(len(words))], value, atol=1e-4)
+
+
+def test_steps_remove_what_they_need_no_more(spark, monkeypatch):
+    """Only the result's table is left, no step's shuffle outlives it, and the session's setting is as it was."""
+    name, held = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", set()
+    before, plain = spark.conf.get(name, None), toxicity_module.written
+    monkeypatch.setattr(toxicity_module, "written", lambda df, *a: held.add(spark.conf.get(name)) or plain(df, *a))
+    common.release(spark)
+    docs, labels = corpus(60, 5)
+    scores = toxicity(*frames(spark, docs, labels))
+    assert held == {"true"} and spark.conf.get(name, None) == before
+    assert ["toxic-means" in x for x in common._WRITTEN] == [True]
+    assert scores.count() == len(docs)
+
+
+def test_hot_words_are_few_rows_of_any_partition(spark, monkeypatch):
+    """The driver gets HOT_WORDS rows at most, the most frequent, whatever the number of partitions."""
+    monkeypatch.setattr(toxicity_module, "HOT_WORDS", 100)
+    values = spark.range(1000).selectExpr("id AS word", "1000 DIV (id + 1) AS n", "0D AS all", "0D AS half0", "0D AS half1").repartition(40)
+    hot = toxicity_module._hot(values.where("n > 0"))
+    assert 80 <= len(hot) <= 100 and hot["word"].tolist() == list(range(len(hot)))
+    assert len(toxicity_module._hot(values.where("word < 70"))) == 70
+    assert len(toxicity_module._hot(values.withColumn("n", values["n"] * 0 + 1))) == 0
