@@ -264,7 +264,7 @@ def gram_values(counts: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
-    """Every distinct word of all texts: word (its hash), letters, n."""
+    """Every distinct word of all texts: letters, n."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,20 +274,18 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
                 letters = [t.data[x:y].tobytes() for x, y in zip(t.start[first].tolist(), t.stop[first].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(letters, pa.binary()), pa.array(n)], ["letters", "n"])
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in byte_slices(column(batch, "letters"), 4 << 20):
-                part = batch.slice(a, b - a)
-                data, ends = string_buffers(column(part, "letters"))
-                words = Texts(data, ends, solid=LETTERS).words()
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), column(part, "letters"), column(part, "n")], ["word", "letters", "n"])
-
-    counted = docs.select(text_col).mapInArrow(sparing(read), "letters binary, n long").groupBy("letters").agg(F.sum("n").alias("n"))
-    return counted.mapInArrow(sparing(name), "word long, letters binary, n long")
+    return docs.select(text_col).mapInArrow(sparing(read), "letters binary, n long").groupBy("letters").agg(F.sum("n").alias("n"))
 
 
 def _batched(words: DataFrame) -> DataFrame:
-    """``words`` with the batch that each belongs to; a batch keeps to BATCH_WORDS and, but for a longer word, BATCH_BYTES."""
+    """batch, word, letters, n; a batch keeps to BATCH_WORDS and, but for a longer word, BATCH_BYTES.
+
+    ``words``: letters, n and, if it is not to be the letters' hash, word.
+    """
+
+    def hashes(letters: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *(
+            Texts(*string_buffers(letters[a:b]), solid=LETTERS).words().view(np.int64) for a, b in byte_slices(letters, 2 << 20))]))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, n, size = TaskContext.get().partitionId() << 32, 0, 0
@@ -298,9 +296,11 @@ def _batched(words: DataFrame) -> DataFrame:
                 if n and (n >= BATCH_WORDS or size + length > BATCH_BYTES):
                     at, n, size = at + 1, 0, 0
                 numbers[i], n, size = at, n + 1, size + length
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), *batch.columns], ["batch", *batch.schema.names])
+            letters = column(batch, "letters")
+            word = column(batch, "word") if "word" in batch.schema.names else hashes(letters)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), word, letters, column(batch, "n")], ["batch", "word", "letters", "n"])
 
-    return words.select("word", "letters", "n").mapInArrow(sparing(deal), "batch long, word long, letters binary, n long")
+    return words.mapInArrow(sparing(deal), "batch long, word long, letters binary, n long")
 
 
 def _spellings(letters: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -334,7 +334,7 @@ def _asked(words: DataFrame) -> DataFrame:
 
 
 def word_values(counts: DataFrame, words: DataFrame) -> DataFrame:
-    """word, n and, by model, the difference of the word's log-likelihoods; ``words``: word, letters, n, each word once."""
+    """word, n and, by model, the difference of the word's log-likelihoods; ``words``: as for ``_batched``, each word once."""
     words = written(_batched(words), "toxic-words")
     asked = written(_asked(words), "toxic-asked")
     values = gram_values(counts, asked.select("key").distinct())
@@ -442,7 +442,7 @@ def _measured(docs: DataFrame, values: DataFrame, id_col: str, text_col: str) ->
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a, b in byte_slices(column(batch, text_col), 4 << 20):
+            for a, b in byte_slices(column(batch, text_col), 2 << 20):
                 part = batch.slice(a, b - a)
                 t = Texts(*string_buffers(column(part, text_col)), lower=True, solid=LETTERS)
                 half = column(part, "half").to_numpy().astype(np.int64)
