@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closure_engine.operators.skew import hot_keys, split_join
@@ -13,12 +13,15 @@ from .common import discard, written
 _MANY = 256
 
 
-def _least_joined(links: DataFrame, key: str, value: str) -> DataFrame:
+def _least_joined(links: DataFrame, key: str, value: str, hot: bool) -> DataFrame:
     """``links`` with m, the least ``value`` of their ``key``; ids with many links read it from a bounded table.
 
     An id is in that table if it has at least the 2^18th part of all links, so
-    they are 2^18 ids at most; the links of the others fit a task.
+    they are 2^18 ids at most; the links of the others fit a task.  If no id is
+    ``hot``, that table would be empty and the links meet by their key alone.
     """
+    if not hot:
+        return links.withColumn("m", F.min(value).over(Window.partitionBy(key)))
     least = links.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("n"))
     return split_join(links, least.select(key, "m"), key, hot_keys(least, key, "n", min_rows=_MANY).select(key, "m"))
 
@@ -29,20 +32,25 @@ def components(links: DataFrame, name: str) -> DataFrame:
     ``links``: columns a and b, whole numbers.  A large-star step links the
     larger neighbours of an id to the smallest one, a small-star step the
     smaller ones; each step is a partial aggregate and a join in which the links of
-    an id that holds many stay where they are.  Every round is written, the one
-    before is deleted, and the rounds grow with the logarithm of the longest path.
+    an id that holds many stay where they are, or one exchange where no id holds
+    many.  Every round is written, the one before is deleted, and the rounds grow
+    with the logarithm of the longest path.
     """
     now = written(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), f"{name}-links")
     state = None
     while True:
-        check = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if state == (check[0], check[1]):
+        both = now.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")),
+                                            F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("x")).select("x.u", "x.v")
+        of_id = both.groupBy("u").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"))
+        n, h, most = of_id.agg(F.sum("n"), F.bit_xor("h"), F.max("n")).first()
+        if state == (n, h):
             return now.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
-        state = (check[0], check[1])
-        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        large = _least_joined(both, "u", "v").where("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
-        joined = _least_joined(large, "hi", "lo")
-        small = joined.select("hi", F.col("m").alias("lo")).unionByName(
-            joined.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
+        state = (n, h)
+        hot = (most or 0) >= _MANY
+        # an id has at most as many rows in the second step as it has links
+        large = _least_joined(both, "u", "v", hot).where("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
+        pair = lambda hi: F.struct(F.col(hi).alias("hi"), F.col("m").alias("lo"))
+        small = _least_joined(large, "hi", "lo", hot).select(
+            F.explode(F.array_compact(F.array(pair("hi"), F.when(F.col("lo") != F.col("m"), pair("lo"))))).alias("x")).select("x.hi", "x.lo")
         before, now = now, written(small.distinct(), f"{name}-round")
         discard(before)
