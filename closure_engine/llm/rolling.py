@@ -13,7 +13,9 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-_BLOCK = 1 << 20
+#: Bytes read at a time, and blocks that a text may have: their powers are held by every worker process, 10 MB in all.
+_BITS, _BLOCKS = 16, 1 << 18
+_BLOCK = 1 << _BITS
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -26,12 +28,12 @@ _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.int64).astype(_U)
 
 
 class _Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, any exponent below 2^40."""
+    """Powers of an odd base and of its inverse modulo 2^64, any exponent below 2^34 (a string has less than 2^31 bytes)."""
 
     def __init__(self, base: int):
         inverse = pow(base, -1, 1 << 64)
-        self.low, self.high = self._table(base, _BLOCK), self._table(pow(base, _BLOCK, 1 << 64), _BLOCK)
-        self.inv_low, self.inv_high = self._table(inverse, _BLOCK), self._table(pow(inverse, _BLOCK, 1 << 64), _BLOCK)
+        self.low, self.high = self._table(base, _BLOCK), self._table(pow(base, _BLOCK, 1 << 64), _BLOCKS)
+        self.inv_low, self.inv_high = self._table(inverse, _BLOCK), self._table(pow(inverse, _BLOCK, 1 << 64), _BLOCKS)
 
     @staticmethod
     def _table(base: int, n: int) -> np.ndarray:
@@ -40,10 +42,10 @@ class _Powers:
         return np.multiply.accumulate(out)
 
     def of(self, i: np.ndarray) -> np.ndarray:
-        return self.low[i & (_BLOCK - 1)] * self.high[i >> 20]
+        return self.low[i & (_BLOCK - 1)] * self.high[i >> _BITS]
 
     def inverse(self, i: np.ndarray) -> np.ndarray:
-        return self.inv_low[i & (_BLOCK - 1)] * self.inv_high[i >> 20]
+        return self.inv_low[i & (_BLOCK - 1)] * self.inv_high[i >> _BITS]
 
 
 _TABLES: list[_Powers] = []
@@ -75,7 +77,7 @@ def _prefix(values, n: int, at: np.ndarray, powers: _Powers) -> np.ndarray:
             m = int(np.searchsorted(at, b, "right")) if b < n else len(at)
             sums = np.zeros(b - a + 1, _U)
             np.cumsum(values(a, b) * powers.low[:b - a], out=sums[1:])
-            sums *= powers.high[a >> 20]
+            sums *= powers.high[a >> _BITS]
             sums += total
             out[k:m] = sums[at[k:m] - a]
             total, k = sums[-1], m

@@ -38,17 +38,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from types import SimpleNamespace
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, discard, shuffles_removed, sparing, string_buffers, written
+from .common import byte_slices, column, discard, shuffles_removed, sized_batches, sparing, string_buffers, written
 from .rolling import LETTERS, Texts
 
+if TYPE_CHECKING:  # Python workers import this module and need no pandas
+    import pandas as pd
+
 #: Symbols of an n-gram; one byte each of a 64-bit key, the predicted one last.
 ORDER = 6
 DISCOUNT = 0.75
@@ -176,7 +179,7 @@ def _count(docs: DataFrame, text_col: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for a, b in byte_slices(column(batch, text_col), 4 << 20):
+            for a, b in byte_slices(column(batch, text_col), 2 << 20):
                 t = Texts(*string_buffers(column(batch, text_col)[a:b]), lower=True, solid=LETTERS)
                 toxic, half = (column(batch, c)[a:b].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("toxic", "half"))
                 kind = (2 * half + toxic)[t.doc]
@@ -268,7 +271,7 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in byte_slices(column(batch, text_col), 4 << 20):
+            for a, b in byte_slices(column(batch, text_col), 2 << 20):
                 t = Texts(*string_buffers(column(batch, text_col)[a:b]), lower=True, solid=LETTERS)
                 _, first, n = np.unique(t.words(), return_index=True, return_counts=True)
                 letters = [t.data[x:y].tobytes() for x, y in zip(t.start[first].tolist(), t.stop[first].tolist())]
@@ -305,7 +308,7 @@ def _batched(words: DataFrame) -> DataFrame:
 
 def _spellings(letters: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Of a slice of words at a time: where it begins and ends, its n-grams' keys and the word, from the slice's first on, of each."""
-    for a, b in byte_slices(letters, 1 << 20):
+    for a, b in byte_slices(letters, 1 << 18):
         data, ends = string_buffers(letters[a:b])
         yield a, b, *word_grams(SimpleNamespace(data=data, start=ends[:-1], stop=ends[1:]), np.arange(b - a))
 
@@ -386,7 +389,7 @@ def _logistic(e: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              folds: int = 5) -> DataFrame:
     """id, held_out, score, predicted for every row of ``docs``."""
-    with shuffles_removed(docs.sparkSession):
+    with shuffles_removed(docs.sparkSession), sized_batches(docs.sparkSession):
         return _toxicity(docs, labels, id_col, text_col, label_col, folds)
 
 
