@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closure_engine.session import ensure_checkpoint_dir
+from closure_engine.session import ensure_checkpoint_dir, setting
 
 #: Separators of words: space and the five ASCII controls 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,30 +58,13 @@ def discard(df: DataFrame) -> None:
             _delete(spark, held)
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Inside, Spark removes a query's shuffle files when the query ends, not when the driver happens to collect its garbage."""
-    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        yield
-
-
 @contextmanager
 def sized_batches(spark: SparkSession, limit: int = 4 << 20) -> Iterator[None]:
     """Inside, a batch of rows that Spark sends to Python ends at about ``limit`` bytes, not only at a number of rows of any length.
 
     Both sides hold a whole batch, the JVM in buffers that it doesn't give back.
     """
-    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(limit)):
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(limit)):
         yield
 
 

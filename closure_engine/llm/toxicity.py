@@ -46,7 +46,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, discard, shuffles_removed, sized_batches, sparing, string_buffers, written
+from closure_engine.session import shuffles_removed
+
+from .common import byte_slices, column, discard, sized_batches, sparing, string_buffers, written
 from .rolling import LETTERS, Texts
 
 if TYPE_CHECKING:  # Python workers import this module and need no pandas

@@ -16,21 +16,33 @@ smaller degrees over all edges is O(m^1.5)), eight bytes each before compression
 An element that is sent is compared with one block at most.  In the look-up a
 block may be asked for by many edges; both its sides come straight from a shuffle
 of written tables, which is what adaptive execution can split.
+
+Disk: what is sent may be far more than the sets themselves, so sums over the
+intersections are taken in slices of the edges, by a hash of the end that is sent
+to.  As many slices are made as keep what one sends at a few times the elements of
+all sets; of neighbour sets, one vertex gets no more than these elements once.
+Every step ends in a written table, its shuffles are removed then, and a table
+is dropped when its successors are written.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closure_engine.operators import skew
 from closure_engine.operators.adjacency import half_edges
-from closure_engine.session import ensure_checkpoint_dir
+from closure_engine.session import ensure_checkpoint_dir, shuffles_removed
+from closure_engine.sources.manifest import _Files
 
 #: Elements of a block of a set, about: sets of more are dealt into several.
 BLOCK_ROWS = 1 << 10
+#: Elements that a slice of the edges sends, about: a share of the elements of all sets, and so many at least.
+SLICE_SHARE, SLICE_ROWS = 3, 1 << 23
+#: Elements of a slot of a block, about.
+SLOT_ROWS = 32
 
 
 def neighbour_sets(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -67,11 +79,21 @@ def send_sets(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "d
     return met.groupBy("id", "element").agg(F.sum("count").alias("count"))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table under ``spark.checkpoint.dir``: a round's boundary, a third of a checkpoint's bytes."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/sets-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class _Tables:
+    """Tables of one call in a folder under ``spark.checkpoint.dir``: written where a step ends, dropped when its successors are written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/sets-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a Parquet table, a third of a checkpoint's bytes and less; a name that is kept again gets more rows."""
+        df.write.mode("append").option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        files = _Files(self.spark, self.folder)
+        for name in names:
+            files.delete(f"{self.folder}/{name}")
 
 
 def _place(element: Column, n: Column) -> Column:
@@ -79,46 +101,73 @@ def _place(element: Column, n: Column) -> Column:
     return F.pmod(F.xxhash64(element), n.cast("bigint"))
 
 
-def _meetings(edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: str, split_rows: int) -> DataFrame:
-    """``(_less, _more, _by_src, _sent, _held, _once)``: for every edge, parts of the smaller set with the block of the larger one that they belong to.
+def _power_of_two(x: Column) -> Column:
+    """The least one that isn't below ``x``, 1 at least; never null, so that a join doesn't ask for it once more."""
+    return F.coalesce(F.pow(F.lit(2), F.ceil(F.log2(F.greatest(x, F.lit(1.0))))).cast("int"), F.lit(1))
 
-    ``_sent`` and ``_held`` are arrays of elements, ``counted``: of (element, count); an element of both ends is in both arrays of exactly one row.
-    ``_once``: neither block has an element in several rows.
+
+def _dealt(tables: _Tables, edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: str, split_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(_less, _more, _by_src, _size, _few, _many)`` of every edge and ``(id, _block, _entries)`` of the sets, both written.
+
+    ``_less`` is the end with the smaller set, which has ``_size`` elements, 0 where it has no set.
     """
-    entry = F.struct("element", "count") if counted else F.col("element")
-    element = lambda x: x["element"] if counted else x
-    held = _written(sets.where(F.col("element").isNotNull()).select("id", "element", *["count"] * counted))
-    pairs = _written(edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")))
-    sizes = _sizes(held)
+    known = sets.where(F.col("id").isNotNull() & F.col("element").isNotNull())
+    held = tables.keep(known.select("id", "element", *["count"] * counted), "held")
+    sizes = tables.keep(_sizes(held), "sizes")
+    rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     # sets of several blocks: at most MAX_HOT_KEYS ids, as their sizes add up to the rows
-    wide = skew.hot_keys(sizes, "id", "size", min_rows=split_rows + 1).select(
-        "id", F.pow(F.lit(2), F.ceil(F.log2(F.col("size") / F.lit(split_rows)))).cast("int").alias("_n"))
-    n_blocks = lambda df: df.join(F.broadcast(wide), "id", "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
-    dealt = n_blocks(held).groupBy("id", _place(F.col("element"), F.col("_n")).alias("_block"))
-    dealt = dealt.agg(F.collect_list(entry).alias("_entries"))
-    blocks = _written(dealt.withColumn("_single", F.size(F.array_distinct(element(F.col("_entries")))) == F.size("_entries")))
-    facts = n_blocks(sizes)
-
-    def with_facts(df: DataFrame, end: str, mark: str) -> DataFrame:
-        hot = skew.hot_keys(pairs.groupBy(end).agg(F.count(F.lit(1)).alias("_rows")), end, "_rows")
-        of_end = facts.select(F.col("id").alias(end), F.col("size").alias(f"_size{mark}"), F.col("_n").alias(f"_n{mark}"))
-        return skew.split_join(df, of_end, end, skew.hot_lookup(of_end, end, hot))
-
+    threshold = max(split_rows + 1, -(-rows // skew.MAX_HOT_KEYS))
+    n_blocks = lambda size: F.when(size >= threshold, _power_of_two(size / F.lit(split_rows))).otherwise(1)
+    wide = sizes.where(F.col("size") >= threshold).select("id", n_blocks(F.col("size")).alias("_n"))
+    if not counted and dict(held.dtypes)["element"] == "bigint":
+        # elements only meet elements, so where all of them fit into four bytes they travel in four
+        lo, hi = held.agg(F.min("element"), F.max("element")).first()
+        if rows and -(1 << 31) <= lo and hi < 1 << 31:
+            held = held.withColumn("element", F.col("element").cast("int"))
+    n = F.coalesce("_n", F.lit(1))
+    dealt = held.join(F.broadcast(wide), "id", "left").groupBy("id", _place(F.col("element"), n).alias("_block"))
+    blocks = tables.keep(dealt.agg(F.collect_list(F.struct("element", "count") if counted else F.col("element")).alias("_entries")), "blocks")
+    tables.drop("held")
+
+    def with_size(df: DataFrame, end: str) -> DataFrame:
+        hot = skew.hot_keys(df.groupBy(end).agg(F.count(F.lit(1)).alias("_rows")), end, "_rows")
+        of_end = sizes.select(F.col("id").alias(end), F.col("size").alias(f"_size{end}"))
+        sized = skew.split_join(df, of_end, end, skew.hot_lookup(of_end, end, hot), "left")
+        return sized.withColumn(f"_size{end}", F.coalesce(f"_size{end}", F.lit(0).cast("bigint")))
+
+    # a table between the two look-ups, so that the shuffles of only one of them lie on disk
+    pairs = tables.keep(edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")), "pairs")
+    half = tables.keep(with_size(pairs, "_s"), "half")
+    tables.drop("pairs")
     by_src = F.col("_size_s") <= F.col("_size_d")
     pick = lambda x, y: F.when(by_src, F.col(x)).otherwise(F.col(y))
-    chosen = with_facts(with_facts(pairs, "_s", "_s"), "_d", "_d").select(
-        pick("_s", "_d").alias("_less"), pick("_d", "_s").alias("_more"), by_src.alias("_by_src"),
-        pick("_n_s", "_n_d").alias("_few"), pick("_n_d", "_n_s").alias("_many"))
-    asked = chosen.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_few").cast("bigint") - 1)))
-    sent = asked.join(blocks.select(F.col("id").alias("_less"), "_block", F.col("_entries").alias("_sent"), F.col("_single").alias("_single_sent")).hint("shuffle_hash"), ["_less", "_block"])
+    chosen = tables.keep(with_size(half, "_d").select(
+        pick("_s", "_d").alias("_less"), pick("_d", "_s").alias("_more"), by_src.alias("_by_src"), pick("_size_s", "_size_d").alias("_size"),
+        n_blocks(pick("_size_s", "_size_d")).alias("_few"), n_blocks(pick("_size_d", "_size_s")).alias("_many")), "chosen")
+    tables.drop("half", "sizes")
+    return chosen, blocks
+
+
+def _sent(chosen: DataFrame, blocks: DataFrame, counted: bool) -> DataFrame:
+    """``(_less, _more, _by_src, _to, _sent)``: for every edge, the smaller set in parts of one block ``_to`` of the larger one."""
+    asked = chosen.where("_size > 0").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_few").cast("bigint") - 1)))
+    sent = asked.join(blocks.select(F.col("id").alias("_less"), "_block", F.col("_entries").alias("_sent")).hint("shuffle_hash"), ["_less", "_block"])
     whole = F.col("_few") == F.col("_many")
-    place = lambda x: _place(element(x), F.col("_many"))
+    place = lambda x: _place(x["element"] if counted else x, F.col("_many"))
     sent = sent.withColumn("_to", F.explode(F.when(whole, F.array("_block")).otherwise(F.array_distinct(F.transform("_sent", place)))))
-    sent = sent.select("_less", "_more", "_by_src", "_to", "_single_sent",
+    return sent.select("_less", "_more", "_by_src", "_to",
                        F.when(whole, F.col("_sent")).otherwise(F.filter("_sent", lambda x: place(x) == F.col("_to"))).alias("_sent"))
-    there = blocks.select(F.col("id").alias("_more"), F.col("_block").alias("_to"), F.col("_entries").alias("_held"), "_single")
-    met = sent.join(there.hint("shuffle_hash"), ["_more", "_to"])
-    return met.select("_less", "_more", "_by_src", "_sent", "_held", (F.col("_single") & F.col("_single_sent")).alias("_once"))
+
+
+def _meetings(edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: str, split_rows: int) -> DataFrame:
+    """``(_less, _more, _by_src, _sent, _held)``: for every edge, parts of the smaller set with the block of the larger one that they belong to.
+
+    ``_sent`` and ``_held`` are arrays of elements, ``counted``: of (element, count); an element of both ends is in both arrays of exactly one row.
+    """
+    with shuffles_removed(edges.sparkSession):
+        chosen, blocks = _dealt(_Tables(edges.sparkSession), edges, sets, counted, src, dst, split_rows)
+    there = blocks.select(F.col("id").alias("_more"), F.col("_block").alias("_to"), F.col("_entries").alias("_held"))
+    return _sent(chosen, blocks, counted).join(there.hint("shuffle_hash"), ["_more", "_to"]).drop("_to")
 
 
 def intersect_sets(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst",
@@ -137,14 +186,45 @@ def intersect_sets(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str
                       pick("_x.count", "_y.count").alias(f"{src}_count"), pick("_y.count", "_x.count").alias(f"{dst}_count"))
 
 
-def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst", split_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(id, n_common_sum)``: over a vertex's edges, the elements shared with the other end; 0 where there are none."""
-    met = _meetings(edges, sets, False, src, dst, split_rows)
-    # an element that a set holds in several rows counts as often
-    often = F.aggregate("_sent", F.lit(0), lambda n, x: n + F.size(F.filter("_held", lambda y: y == x)))
-    n = F.when(F.col("_once"), F.size(F.array_intersect("_held", "_sent"))).otherwise(often)
-    shared = met.select(F.col("_less").alias(src), F.col("_more").alias(dst), n.cast("bigint").alias("n"))
-    none = edges.select(src, dst, F.lit(0).cast("bigint").alias("n"))
-    both = none.unionByName(shared)
-    ends = F.array(F.col(src), F.col(dst))
-    return both.select(F.explode(ends).alias("id"), "n").groupBy("id").agg(F.sum("n").alias("n_common_sum"))
+def _slot(element: Column, n: Column) -> Column:
+    """The slot of an element among ``n``, a power of two, by other bits than those of its block."""
+    return F.shiftrightunsigned(F.xxhash64(element), 32).bitwiseAND(n.cast("bigint") - 1).cast("int")
+
+
+def _slots(blocks: DataFrame) -> DataFrame:
+    """``(id, _block, _slots)``: a block's elements in arrays of about SLOT_ROWS by their hash, so that an element is looked for in one of them."""
+    n = lambda entries: _power_of_two(F.size(entries) / F.lit(SLOT_ROWS))
+    tagged = blocks.select("id", "_block", F.transform("_entries", lambda x: F.struct(_slot(x, n("_entries")).alias("at"), x.alias("x"))).alias("_tagged"))
+    in_slot = F.transform(F.sequence(F.lit(0), n("_tagged") - 1), lambda k: F.filter("_tagged", lambda y: y["at"] == k)["x"])
+    return tagged.select("id", "_block", in_slot.alias("_slots"))
+
+
+def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst", split_rows: int = BLOCK_ROWS,
+                        slice_rows: int | None = None) -> DataFrame:
+    """``(id, n_common_sum)``: over a vertex's edges, the elements shared with the other end; 0 where there are none.
+
+    Runs when it is called, in slices of the edges by a hash of the end with the
+    larger set, which send about ``slice_rows`` elements each (default: SLICE_SHARE
+    times the elements of all sets, SLICE_ROWS at least).
+    """
+    spark, zero = edges.sparkSession, F.lit(0).cast("bigint")
+    tables = _Tables(spark)
+    with shuffles_removed(spark):
+        chosen, blocks = _dealt(tables, edges, sets, False, src, dst, split_rows)
+        if slice_rows is None:
+            slice_rows = max(SLICE_ROWS, int(SLICE_SHARE * (blocks.agg(F.sum(F.size("_entries"))).first()[0] or 0)))
+        slices = max(1, -(-(chosen.agg(F.sum("_size")).first()[0] or 0) // slice_rows))
+        ends = lambda df: df.select(F.explode(F.array("_less", "_more")).alias("id"), "n").groupBy("id").agg(F.sum("n").alias("n_common_sum"))
+        sums = tables.keep(ends(chosen.select("_less", "_more", zero.alias("n"))), "sums")
+        for k in range(slices):
+            mine = lambda id: F.pmod(F.xxhash64(id), F.lit(slices)) == k  # noqa: B023, E731
+            there = _slots(blocks.where(mine("id"))).select(F.col("id").alias("_more"), F.col("_block").alias("_to"), "_slots")
+            met = _sent(chosen.where(mine("_more")), blocks, False).join(there.hint("shuffle_hash"), ["_more", "_to"])
+            met = met.select("_less", "_more", "_slots", F.explode("_sent").alias("_x"))
+            slot = F.get("_slots", _slot(F.col("_x"), F.size("_slots")))
+            # an element that a set holds in several rows counts as often
+            often = (F.size(slot) - F.size(F.array_remove(slot, F.col("_x")))).cast("bigint")
+            sums = tables.keep(ends(met.where(F.array_contains(slot, F.col("_x"))).select("_less", "_more", often.alias("n"))), "sums")
+        found = tables.keep(sums.groupBy("id").agg(F.sum("n_common_sum").alias("n_common_sum")), "found")
+    tables.drop("chosen", "blocks", "sums")
+    return found

@@ -153,3 +153,48 @@ def test_repeated_and_null_elements_of_sets(spark, split_rows):
     for s, d, *_ in want:
         sums.update([s, d])
     assert dict(map(tuple, common_element_sums(edges, sets, split_rows=split_rows).collect())) == dict(sums)
+
+
+def test_what_is_sent_lies_on_disk_a_slice_at_a_time(spark, monkeypatch):
+    import os
+
+    import closure_engine.operators.sets as module
+    from closure_engine.session import ensure_checkpoint_dir
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    spill_dirs = [d.toString() for d in env.blockManager().diskBlockManager().localDirs()]
+    kept_dir = ensure_checkpoint_dir(spark).removeprefix("file:")
+    under = lambda top: {os.path.join(d, x) for d, _, names in os.walk(top) for x in names}
+    shuffles = lambda: {f for d in spill_dirs for f in under(d) if f.endswith(".data") and "/shuffle_" in f}
+    *_, adj = brute(PAIRS)
+    canon = canonical_edges(edges_df(spark, PAIRS))
+    sets = neighbour_sets(canon, "u", "v")
+    rows, slices, sent = sum(map(len, adj.values())), [], module._sent
+
+    def watched(chosen, blocks, counted):
+        found = sent(chosen, blocks, counted)
+        slices.append(found.agg(F.coalesce(F.sum(F.size("_sent")), F.lit(0))).first()[0])
+        return found
+
+    monkeypatch.setattr(module, "_sent", watched)
+    before, tables = shuffles(), under(kept_dir)
+    sums = common_element_sums(canon, sets, "u", "v", slice_rows=rows)
+    monkeypatch.undo()
+    assert {r.id: r.n_common_sum for r in sums.collect()} == {v: sum(len(adj[v] & adj[w]) for w in ws) for v, ws in adj.items()}
+    total = sum(min(len(adj[v]), len(adj[w])) for v, ws in adj.items() for w in ws if v < w)
+    assert sum(slices) == total and len(slices) == -(-total // rows) > 2 and max(slices) <= 2 * rows
+    # only the watched counts, which ran without removal, may leave shuffles; of the tables, the sums are left
+    assert {f.split("/")[-2] for f in under(kept_dir) - tables} == {"found"}
+    again = shuffles()
+    common_element_sums(canon, sets, "u", "v", slice_rows=rows)
+    assert shuffles() <= again
+
+
+def test_wide_ids_and_edges_without_sets(spark):
+    far = 1 << 40
+    edges = edges_df(spark, [(far, 2), (2, 3), (None, 2), (4, 5)])
+    held = [(far, x, 1) for x in range(far, far + 100)] + [(2, x, 1) for x in range(far + 50, far + 120)] + [(3, far + 60, 2)]
+    sets = spark.createDataFrame(held, "id bigint, element bigint, count bigint")
+    assert dict(map(tuple, common_element_sums(edges, sets).collect())) == {far: 50, 2: 51, 3: 1, 4: 0, 5: 0, None: 0}
+    named = sets.withColumn("element", F.col("element").cast("string"))
+    assert dict(map(tuple, common_element_sums(edges, named, split_rows=16, slice_rows=20).collect())) == {far: 50, 2: 51, 3: 1, 4: 0, 5: 0, None: 0}
