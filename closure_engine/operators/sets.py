@@ -106,8 +106,8 @@ def _power_of_two(x: Column) -> Column:
     return F.coalesce(F.pow(F.lit(2), F.ceil(F.log2(F.greatest(x, F.lit(1.0))))).cast("int"), F.lit(1))
 
 
-def _dealt(tables: _Tables, edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: str, split_rows: int) -> tuple[DataFrame, DataFrame]:
-    """``(_less, _more, _by_src, _size, _few, _many)`` of every edge and ``(id, _block, _entries)`` of the sets, both written.
+def _dealt(tables: _Tables, edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: str, split_rows: int) -> tuple[DataFrame, DataFrame, bool]:
+    """``(_less, _more, _by_src, _size, _few, _many)`` of every edge and ``(id, _block, _entries)`` of the sets, both written; whether a set has several blocks.
 
     ``_less`` is the end with the smaller set, which has ``_size`` elements, 0 where it has no set.
     """
@@ -144,14 +144,17 @@ def _dealt(tables: _Tables, edges: DataFrame, sets: DataFrame, counted: bool, sr
     chosen = tables.keep(with_size(half, "_d").select(
         pick("_s", "_d").alias("_less"), pick("_d", "_s").alias("_more"), by_src.alias("_by_src"), pick("_size_s", "_size_d").alias("_size"),
         n_blocks(pick("_size_s", "_size_d")).alias("_few"), n_blocks(pick("_size_d", "_size_s")).alias("_many")), "chosen")
+    several = not wide.isEmpty()
     tables.drop("half", "sizes")
-    return chosen, blocks
+    return chosen, blocks, several
 
 
-def _sent(chosen: DataFrame, blocks: DataFrame, counted: bool) -> DataFrame:
+def _sent(chosen: DataFrame, blocks: DataFrame, several: bool, counted: bool) -> DataFrame:
     """``(_less, _more, _by_src, _to, _sent)``: for every edge, the smaller set in parts of one block ``_to`` of the larger one."""
     asked = chosen.where("_size > 0").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_few").cast("bigint") - 1)))
     sent = asked.join(blocks.select(F.col("id").alias("_less"), "_block", F.col("_entries").alias("_sent")).hint("shuffle_hash"), ["_less", "_block"])
+    if not several:
+        return sent.select("_less", "_more", "_by_src", F.col("_block").alias("_to"), "_sent")
     whole = F.col("_few") == F.col("_many")
     place = lambda x: _place(x["element"] if counted else x, F.col("_many"))
     sent = sent.withColumn("_to", F.explode(F.when(whole, F.array("_block")).otherwise(F.array_distinct(F.transform("_sent", place)))))
@@ -165,9 +168,9 @@ def _meetings(edges: DataFrame, sets: DataFrame, counted: bool, src: str, dst: s
     ``_sent`` and ``_held`` are arrays of elements, ``counted``: of (element, count); an element of both ends is in both arrays of exactly one row.
     """
     with shuffles_removed(edges.sparkSession):
-        chosen, blocks = _dealt(_Tables(edges.sparkSession), edges, sets, counted, src, dst, split_rows)
+        chosen, blocks, several = _dealt(_Tables(edges.sparkSession), edges, sets, counted, src, dst, split_rows)
     there = blocks.select(F.col("id").alias("_more"), F.col("_block").alias("_to"), F.col("_entries").alias("_held"))
-    return _sent(chosen, blocks, counted).join(there.hint("shuffle_hash"), ["_more", "_to"]).drop("_to")
+    return _sent(chosen, blocks, several, counted).join(there.hint("shuffle_hash"), ["_more", "_to"]).drop("_to")
 
 
 def intersect_sets(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst",
@@ -193,10 +196,23 @@ def _slot(element: Column, n: Column) -> Column:
 
 def _slots(blocks: DataFrame) -> DataFrame:
     """``(id, _block, _slots)``: a block's elements in arrays of about SLOT_ROWS by their hash, so that an element is looked for in one of them."""
-    n = lambda entries: _power_of_two(F.size(entries) / F.lit(SLOT_ROWS))
-    tagged = blocks.select("id", "_block", F.transform("_entries", lambda x: F.struct(_slot(x, n("_entries")).alias("at"), x.alias("x"))).alias("_tagged"))
-    in_slot = F.transform(F.sequence(F.lit(0), n("_tagged") - 1), lambda k: F.filter("_tagged", lambda y: y["at"] == k)["x"])
-    return tagged.select("id", "_block", in_slot.alias("_slots"))
+    n = _power_of_two(F.size("_entries") / F.lit(SLOT_ROWS))
+    # groups of slots first, then their slots: an element is asked for its slot about twice the root of their number of times
+    sized = blocks.select("id", "_block", "_entries", n.alias("_n"), _power_of_two(F.sqrt(n)).alias("_groups"))
+    sized = sized.withColumn("_each", (F.col("_n") / F.col("_groups")).cast("int"))
+
+    def tag(x: Column) -> Column:
+        at = _slot(x, F.col("_n"))
+        return F.struct((at / F.col("_each")).cast("int").alias("group"), at.alias("at"), x.alias("x"))
+
+    def dealt(tagged: Column) -> Column:
+        groups = F.transform(F.sequence(F.lit(0), F.col("_groups") - 1), lambda g: F.filter(tagged, lambda y: y["group"] == g))
+        own = lambda group, g: F.transform(F.sequence(g * F.col("_each"), (g + 1) * F.col("_each") - 1), lambda k: F.filter(group, lambda y: y["at"] == k)["x"])
+        return F.flatten(F.transform(groups, own))
+
+    # an array of one holds what is tagged, which is then done once and not for each group
+    once = F.flatten(F.transform(F.array(F.transform("_entries", tag)), dealt))
+    return sized.select("id", "_block", F.coalesce(once, F.array()).alias("_slots"))
 
 
 def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst: str = "dst", split_rows: int = BLOCK_ROWS,
@@ -210,7 +226,7 @@ def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst
     spark, zero = edges.sparkSession, F.lit(0).cast("bigint")
     tables = _Tables(spark)
     with shuffles_removed(spark):
-        chosen, blocks = _dealt(tables, edges, sets, False, src, dst, split_rows)
+        chosen, blocks, several = _dealt(tables, edges, sets, False, src, dst, split_rows)
         if slice_rows is None:
             slice_rows = max(SLICE_ROWS, int(SLICE_SHARE * (blocks.agg(F.sum(F.size("_entries"))).first()[0] or 0)))
         slices = max(1, -(-(chosen.agg(F.sum("_size")).first()[0] or 0) // slice_rows))
@@ -219,7 +235,7 @@ def common_element_sums(edges: DataFrame, sets: DataFrame, src: str = "src", dst
         for k in range(slices):
             mine = lambda id: F.pmod(F.xxhash64(id), F.lit(slices)) == k  # noqa: B023, E731
             there = _slots(blocks.where(mine("id"))).select(F.col("id").alias("_more"), F.col("_block").alias("_to"), "_slots")
-            met = _sent(chosen.where(mine("_more")), blocks, False).join(there.hint("shuffle_hash"), ["_more", "_to"])
+            met = _sent(chosen.where(mine("_more")), blocks, several, False).join(there.hint("shuffle_hash"), ["_more", "_to"])
             met = met.select("_less", "_more", "_slots", F.explode("_sent").alias("_x"))
             slot = F.get("_slots", _slot(F.col("_x"), F.size("_slots")))
             # an element that a set holds in several rows counts as often
